@@ -52,9 +52,10 @@ def rulings_by_type(
 ) -> DataFrame:
     """Final rulings of the interval counted per court and type, with court totals.
 
-    Counts are taken per court code and label before the directory is joined.
+    Counts are taken per court code and label before the population and the
+    directory are joined.
     """
-    scoped = members(in_interval(cases, start, end), population)
+    scoped = in_interval(cases, start, end)
     ruled, code = date_of(scoped, "fres"), F.col("tres")
     final = ~code.eqNullSafe(INTERIM_CODE) if settings.keep_missing_code else code != INTERIM_CODE
     ruling_class = F.upper(F.col("as"))
@@ -70,6 +71,7 @@ def rulings_by_type(
         .groupBy(F.col("iep").alias("organismo"), kind.alias(name))
         .agg(F.count("*").alias("cantidad"))
     )
+    counted = members(counted, population, key="organismo", counted=True)
     court = ["circunscripcion", "organismo_descripcion"]
     return with_total_rows(
         with_court_names(counted, courts), [*court, name], ["cantidad"], group=court

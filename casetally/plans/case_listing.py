@@ -29,9 +29,10 @@ def case_listing(
 ) -> DataFrame:
     """Every ruled case with its marks: interim, on time, late, inconsistent.
 
-    A narrow plan: no shuffle beyond what the population and directory joins need.
-    With two deadlines a population of higher courts uses the first one only; that
-    is asked once of the population, not of the cases.
+    A narrow plan: the population and the directory are small tables next to the
+    cases. With two deadlines a population of higher courts uses the first one
+    only; that is asked once of the population, not of the cases. The total row
+    is summed before the directory is joined.
     """
     scoped = members(in_interval(cases, start, end), population).withColumn(
         "organismo", remap(F.col("iep"))
@@ -65,8 +66,9 @@ def case_listing(
         ruled.alias("fecha_resolucion"),
         *[m.alias(name) for name, m in marks.items()],
     )
-    named = with_court_names(rows, courts)
-    columns = ["circunscripcion", "organismo_descripcion",
-               *[c for c in rows.columns if c != "organismo"]]
-    listing = named.select(*columns)
-    return with_grand_total(listing, list(marks)) if total else listing
+    if total:
+        rows = with_grand_total(rows, list(marks))
+    columns = [c for c in rows.columns if c != "organismo"]
+    return with_court_names(rows, courts, counted=False).select(
+        "circunscripcion", "organismo_descripcion", *columns
+    )

@@ -43,14 +43,19 @@ def mediation_report(
     """Mediations with one column per outcome, a total column and total rows.
 
     ``outcomes`` maps outcome codes to columns; outcomes not listed are counted in
-    ``rest``. Cases are counted straight into the wide form.
+    ``rest``. Cases are counted straight into the wide form, per court when a
+    population is given, which is then applied to the counts.
     """
     scoped = in_interval(mediations, start, end)
-    if population is not None:
-        scoped = members(scoped, population)
-    keys = [F.col("tipo_circ").alias("circunscripcion"), *(_INTERVAL if monthly else ())]
-    wide = widen(scoped, keys, "tres_disc", outcomes, rest=rest)
+    keys = ["circunscripcion", *(_INTERVAL if monthly else ())]
+    court = ["iep"] if population is not None else []
+    scoped = scoped.withColumnRenamed("tipo_circ", "circunscripcion")
+    wide = widen(scoped, [*keys, *court], "tres_disc", outcomes, rest=rest)
     values = [*outcomes.values(), rest]
+    if population is not None:
+        wide = members(wide, population, counted=True).groupBy(*keys).agg(
+            *[F.sum(v).alias(v) for v in values]
+        )
     wide = wide.withColumn("total", row_total(*values))
     measures = [*values, "total"]
     if not monthly:

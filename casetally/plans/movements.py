@@ -27,7 +27,7 @@ def movements_between(
     return (
         movements.filter(F.col("fecha").between(day(first), day(last)))
         .groupBy("jurisdiccion", "juzgado", "movimientos_tipo")
-        .agg(F.count("*").alias("cantidad"))
+        .agg(F.sum("cantidad").alias("cantidad"))
     )
 
 
@@ -48,7 +48,10 @@ def violence_movements(
         & name.contains(F.when(family, "fam").otherwise("paz"))
         & ~name.contains(NOT_A_COURT)
     )
-    wide = widen(scoped, ["jurisdiccion", "juzgado"], "movimientos_tipo", MOVEMENT_TYPES)
+    wide = widen(
+        scoped, ["jurisdiccion", "juzgado"], "movimientos_tipo", MOVEMENT_TYPES,
+        value=F.col("cantidad"),
+    )
     return wide.select(
         title_case(F.col("jurisdiccion")).alias("jurisdiccion"),
         title_case(F.col("juzgado")).alias("juzgado"),

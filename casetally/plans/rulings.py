@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casetally.functions.codes import MERGED_COURTS, remap
@@ -67,8 +67,10 @@ def ruling_counts(
     their dispatch. Both come out of one pass over the cases: grouping sets give
     the two keys, and the pending count then moves to the rulings of its month
     over the few counted rows. Months are whole dates, so two years never mix.
+    The population and the merged courts are applied to the counts as well, so no
+    case is ever shuffled by its court.
     """
-    scoped = members(in_interval(cases, start, end), population)
+    scoped = in_interval(cases, start, end)
     if settings.exclude:
         scoped = excluding(scoped, "tproc", settings.exclude)
 
@@ -77,10 +79,9 @@ def ruling_counts(
     flags = timing(ruled, F.col("tres"), *due)
     late = [f for f in (flags.after_first, flags.after_second) if f is not None]
     dispatched = date_of(scoped, dispatch_column(scoped))
-    court = remap(F.col("iep"), settings.merged) if settings.merged else F.col("iep")
     in_range = (dispatched >= month_start(F.lit(to_day(start)))) & (dispatched < F.lit(to_day(end)))
 
-    measures: dict[str, F.Column] = {
+    measures: dict[str, Column] = {
         "causas_resueltas": flags.resolved,
         "a_termino": flags.on_time,
         **dict(zip(settings.late_columns, late)),
@@ -92,46 +93,49 @@ def ruling_counts(
         measures[first] = flags.after_first & again
         measures["_late_other"] = flags.after_first & ~again
 
+    interval = ["data_interval_start", "data_interval_end"] if monthly else []
     narrow = scoped.select(
-        court.alias("organismo"),
-        F.col("iep").alias("_dispatch_court"),
-        "data_interval_start",
-        "data_interval_end",
-        month_start(dispatched).alias("_dispatch_month"),
+        "iep",
+        *interval,
+        *([month_start(dispatched).alias("_dispatch_month")] if monthly else []),
         in_range.alias("_pending"),
         *[m.alias(name) for name, m in measures.items()],
     )
-    by_ruling = ["organismo", "data_interval_start", "data_interval_end"] if monthly else ["organismo"]
-    by_dispatch = ["_dispatch_court", "_dispatch_month"] if monthly else ["_dispatch_court"]
-    keys = by_ruling + by_dispatch
-    counted = narrow.groupingSets(
-        [[F.col(k) for k in by_ruling], [F.col(k) for k in by_dispatch]], *keys
-    ).agg(
-        (F.grouping("organismo") == 0).alias("_is_ruling"),
-        F.count_if("_pending").alias("_pending_count"),
-        *[F.count_if(name).alias(name) for name in measures],
-    )
-    is_ruling = F.col("_is_ruling")
-    counted = counted.withColumn(
-        "_court", F.when(is_ruling, F.col("organismo")).otherwise(F.col("_dispatch_court"))
-    )
-    place = ["_court"]
+    counts = [F.count_if(c).alias(c) for c in ("_pending", *measures)]
     if monthly:
-        counted = counted.withColumn(
-            "mes_inicio",
-            F.when(is_ruling, month_start(F.col("data_interval_start")))
-            .otherwise(F.col("_dispatch_month")),
+        keys = ["iep", *interval, "_dispatch_month"]
+        sets = [[F.col(k) for k in ("iep", *interval)], [F.col("iep"), F.col("_dispatch_month")]]
+        counted = narrow.groupingSets(sets, *keys).agg(
+            (F.grouping("_dispatch_month") == 1).alias("_is_ruling"), *counts
+        )
+    else:
+        keys = ["iep"]
+        counted = narrow.groupBy(*keys).agg(*counts).withColumn(
+            "_is_ruling", F.explode(F.array(F.lit(True), F.lit(False)))
         )
+    counted = members(counted, population, counted=True)
+
+    is_ruling = F.col("_is_ruling")
+    if settings.merged:
+        current = F.when(is_ruling, remap(F.col("iep"), settings.merged)).otherwise(F.col("iep"))
+        counted = counted.withColumn("iep", current).groupBy(*keys, "_is_ruling").agg(
+            *[F.sum(c).alias(c) for c in ("_pending", *measures)]
+        )
+    place = ["iep"]
+    if monthly:
+        month = F.when(is_ruling, month_start(F.col("data_interval_start")))
+        counted = counted.withColumn("mes_inicio", month.otherwise(F.col("_dispatch_month")))
         place.append("mes_inicio")
-    pending = F.max(
-        F.when(~is_ruling & (F.col("_pending_count") > 0), F.col("_pending_count"))
-    ).over(Window.partitionBy(*place))
-    out = counted.withColumn("causas_adespacho", pending).filter("_is_ruling")
+    pending = F.max(F.when(~is_ruling & (F.col("_pending") > 0), F.col("_pending")))
+    out = counted.withColumn("causas_adespacho", pending.over(Window.partitionBy(*place)))
+    out = out.filter(is_ruling)
     if settings.appeal_split:
         first = settings.late_columns[0]
         out = out.withColumn(first, add_ignoring_null(F.col(first), F.col("_late_other")))
-    dates = ["mes_inicio", "data_interval_start", "data_interval_end"] if monthly else []
-    return out.select("organismo", *dates, "causas_adespacho", *ruling_measures(settings))
+    dates = ["mes_inicio", *interval] if monthly else []
+    return out.select(
+        F.col("iep").alias("organismo"), *dates, "causas_adespacho", *ruling_measures(settings)
+    )
 
 
 def rulings_report(
@@ -190,11 +194,11 @@ def pending_by_month(
     exclude: str | None = None,
 ) -> DataFrame:
     """Cases awaiting a ruling per court and month of dispatch."""
-    scoped = members(in_interval(cases, start, end), population)
+    scoped = in_interval(cases, start, end)
     if exclude:
         scoped = excluding(scoped, "tproc", exclude)
     month = month_start(date_of(scoped, dispatch_column(scoped)))
-    return (
+    counted = (
         scoped.groupBy("iep", month.alias("mes_inicio"))
         .agg(F.count("*").alias("causas_adespacho"))
         .filter(
@@ -203,3 +207,4 @@ def pending_by_month(
         )
         .withColumn("mes", month_label(F.col("mes_inicio")))
     )
+    return members(counted, population, counted=True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casetally.operators.scope import matching, members
+from casetally.operators.scope import matching
 
 # Categories of the list and the id of external agents.
 OFFICIALS = "JUEZ|SECRETARIO|VOCAL|FISCAL|DEFENSOR"
@@ -30,4 +30,4 @@ def official_ids(posts: DataFrame, persons: DataFrame, pattern: str = OFFICIALS)
 
 def agents(persons: DataFrame, ids: DataFrame) -> DataFrame:
     """Personnel rows of the given ids."""
-    return members(persons, ids, key="idagente", member="idagente")
+    return persons.join(ids.select("idagente").distinct(), "idagente", "left_semi")

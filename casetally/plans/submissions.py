@@ -19,12 +19,6 @@ def current_submissions(log: DataFrame) -> DataFrame:
     return without_payload(log).filter(F.col("enabled"))
 
 
-def _scoped(
-    log: DataFrame, population: DataFrame, start: str | dt.date, end: str | dt.date
-) -> DataFrame:
-    return members(current_submissions(in_interval(log, start, end)), population)
-
-
 def submission_tracking(
     log: DataFrame,
     population: DataFrame,
@@ -43,7 +37,8 @@ def submission_tracking(
         F.col("id_submission").cast("string"), F.lit("/"), timestamp_day(F.col("datetime")),
         F.lit(")"),
     )
-    scoped = _scoped(log, population, start, end).select(
+    current = current_submissions(in_interval(log, start, end))
+    scoped = members(current, population).select(
         "iep", "operation", "id_submission",
         month_start(F.col("data_interval_start")).alias("_month"), entry.alias("_entry"),
     )
@@ -75,9 +70,16 @@ def has_submission(
     end: str | dt.date,
     operation: str,
 ) -> DataFrame:
-    """One row, one boolean: did any court submit this operation?"""
-    return _scoped(log, population, start, end).agg(
-        F.coalesce(F.bool_or(F.col("operation").rlike(operation)), F.lit(False)).alias("presentada")
+    """One row, one boolean: did any court submit this operation?
+
+    The log shrinks to one flag per court before the population is joined.
+    """
+    named = F.coalesce(F.bool_or(F.col("operation").rlike(operation)), F.lit(False))
+    courts = (
+        current_submissions(in_interval(log, start, end)).groupBy("iep").agg(named.alias("_any"))
+    )
+    return members(courts, population, counted=True).agg(
+        F.coalesce(F.bool_or("_any"), F.lit(False)).alias("presentada")
     )
 
 

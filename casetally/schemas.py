@@ -43,7 +43,7 @@ MEDIATIONS = _struct(
     mediana_durac_inic_fin=T.DoubleType(),
 )
 MOVEMENTS = _struct(
-    jurisdiccion=_S, juzgado=_S, fecha=_D, movimientos_tipo=_S,
+    jurisdiccion=_S, juzgado=_S, fecha=_D, movimientos_tipo=_S, cantidad=_L,
 )
 SUBMISSIONS = _struct(
     id_submission=_L, iep=_S, operation=_S, jurisdiction=_S, **_INTERVAL,

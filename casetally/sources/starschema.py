@@ -209,25 +209,30 @@ def ended_mediations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def movements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One movement per event of a court in the directory."""
+    """Daily counts of movements, from the events of the courts in the directory.
+
+    Events are counted per court, day and type before the directory is joined.
+    """
     kind = F.pmod(F.col("user_id"), F.lit(4))
     court = (
         F.when(kind == 0, "JUZGADO DE FAMILIA").when(kind == 1, "juzgado de paz")
         .when(kind == 2, "DEFENSORIA DE FAMILIA").otherwise("Juzgado FAM. y Penal")
     )
-    return (
+    daily = (
         table(spark, sf_dir, "events")
-        .join(
-            submitting_courts(spark, sf_dir).withColumnRenamed("organismo", "iep"),
-            F.col("user_id").cast("string") == F.col("iep"),
-        )
-        .select(
-            F.col("circunscripcion").alias("jurisdiccion"),
-            F.concat_ws(" ", court, "iep").alias("juzgado"),
-            F.to_date("ts").alias("fecha"),
-            F.when(F.col("event_type") == "click", "violencia_familiar")
-            .when(F.col("event_type") == "view", "violencia_c-mujer").alias("movimientos_tipo"),
-        )
+        .groupBy("user_id", "event_type", F.to_date("ts").alias("fecha"))
+        .agg(F.count("*").alias("cantidad"))
+    )
+    return daily.join(
+        submitting_courts(spark, sf_dir).withColumnRenamed("organismo", "iep"),
+        F.col("user_id").cast("string") == F.col("iep"),
+    ).select(
+        F.col("circunscripcion").alias("jurisdiccion"),
+        F.concat_ws(" ", court, "iep").alias("juzgado"),
+        "fecha",
+        F.when(F.col("event_type") == "click", "violencia_familiar")
+        .when(F.col("event_type") == "view", "violencia_c-mujer").alias("movimientos_tipo"),
+        "cantidad",
     )
 
 
