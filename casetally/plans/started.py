@@ -27,7 +27,8 @@ def started_cases(
 ) -> DataFrame:
     """Distinct started cases; a case moved between courts counts at its latest one.
 
-    The older source counts up to ``cut_over``, the newer up to ``end``.
+    The older source counts up to ``cut_over``, the newer up to ``end``. Copies are
+    merged map-side by the final ``distinct``.
     """
 
     def between(df: DataFrame, last: str | dt.date) -> DataFrame:
@@ -39,14 +40,10 @@ def started_cases(
     moved = excluding(moved, "tproc", NOT_STARTED).withColumns(
         {"finicio": date_of(older, "finicio"), "fmov": date_of(older, "fmov")}
     )
-    # Copies of a row are merged map-side before the latest one is looked for.
-    moved = (
-        between(moved, cut_over).groupBy(*STARTED_COLUMNS).agg(F.max("fmov").alias("fmov"))
-    )
-    current = latest_per_key(moved, ["nro", "caratula"], "fmov").select(*STARTED_COLUMNS)
+    current = latest_per_key(between(moved, cut_over), ["nro", "caratula"], "fmov")
 
     direct = excluding(members(newer, population), "tproc", NOT_STARTED).withColumn(
         "finicio", date_of(newer, "finicio")
     )
     direct = between(direct, end).select(*STARTED_COLUMNS)
-    return current.unionByName(direct).distinct()
+    return current.select(*STARTED_COLUMNS).unionByName(direct).distinct()
