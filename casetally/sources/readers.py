@@ -37,7 +37,7 @@ def read_operation(
     stored = T.StructType([*schema.fields, T.StructField("operation", T.StringType())])
     return (
         spark.read.schema(stored).parquet(path)
-        .filter(F.col("operation") == operation).drop("operation")
+        .filter(F.col("operation") == operation).select(*[F.col(f"`{n}`") for n in schema.names])
     )
 
 
