@@ -50,8 +50,8 @@ def month_start(c: Column) -> Column:
 
 
 def month_label(c: Column) -> Column:
-    """Month name of a date."""
-    return F.element_at(F.array(*[F.lit(m) for m in MONTH_NAMES]), F.month(c))
+    """Month name of a date, from a constant list."""
+    return F.element_at(F.split(F.lit(" ".join(MONTH_NAMES)), " "), F.month(c))
 
 
 def day_before(c: Column) -> Column:

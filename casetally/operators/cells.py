@@ -3,19 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    same = reduce(lambda a, b: a & b,
-                  [left[k].eqNullSafe(other[f"_r_{k}"]) for k in keys])
-    return left.join(other, same).drop(*[f"_r_{k}" for k in keys])
-
-
 def entries_in_cells(
     df: DataFrame,
     keys: Sequence[str],
@@ -32,41 +24,68 @@ def entries_in_cells(
 
     A key has one row with ``part`` 1 as long as it has no more than ``per_cell``
     entries; a longer list goes on in further parts, so nothing is cut and no cell
-    grows with the data. ``row_id`` is an integer unique in the table, hence a block
-    of ids holds at most ``block`` rows. Places in the list come from counts of the
-    blocks and of the periods, never from sorting a whole key in one task.
+    grows with the data.
+
+    No task ever sorts a whole key. Copies of an entry are counted map-side and
+    travel as one run. ``row_id`` is an integer key of the table, so a block of ids
+    holds about ``block`` runs. Places in the list come from the counts of blocks
+    and periods, and a run that is longer than a cell is cut where cells end.
+
+    Places are matched on structs of the keys, which compare NULL as equal.
     """
-    blocks = df.groupBy(
-        *keys, period, F.floor(F.col(row_id) / F.lit(block)).alias("_block")
-    ).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(row_id), F.col(entry)))).alias("_rows")
+    spot = [*keys, period, "_block"]
+    runs = (
+        df.groupBy(*keys, period, row_id, entry).agg(F.count("*").alias("_times"))
+        .withColumn("_block", F.floor(F.col(row_id) / F.lit(block)))
+        .select(
+            F.struct(*spot).alias("_spot"), F.col(row_id).alias("_id"),
+            F.col(entry).alias("_entry"), "_times",
+        )
+    )
+    in_block = Window.partitionBy("_spot").orderBy("_id", "_entry")
+    in_block = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = runs.withColumn("_in_block", F.sum("_times").over(in_block) - F.col("_times"))
+
+    def of_spot(names: Sequence[str]) -> Column:
+        return F.struct(*[F.col("_spot")[n].alias(n) for n in names])
+
+    blocks = (
+        runs.groupBy("_spot").agg(F.sum("_times").alias("_n"))
+        .withColumn("_month", of_spot([*keys, period]))
     )
-    counts = blocks.select(*keys, period, "_block", F.size("_rows").alias("_n"))
-    in_period = Window.partitionBy(*keys, period).orderBy("_block")
-    block_start = counts.withColumn("_skip", F.sum("_n").over(in_period) - F.col("_n"))
-    over_periods = Window.partitionBy(*keys).orderBy(period)
-    period_start = (
-        counts.groupBy(*keys, period).agg(F.sum("_n").alias("_m"))
-        .select(*keys, period, (F.sum("_m").over(over_periods) - F.col("_m")).alias("_before"))
+    in_period = Window.partitionBy("_month").orderBy(F.col("_spot._block"))
+    over_periods = Window.partitionBy("_key").orderBy(F.col(f"_month.{period}"))
+    months = (
+        blocks.groupBy("_month").agg(F.sum("_n").alias("_m"))
+        .withColumn("_key", F.struct(*[F.col("_month")[k].alias(k) for k in keys]))
+        .select("_month", (F.sum("_m").over(over_periods) - F.col("_m")).alias("_before"))
     )
-    starts = _null_safe_join(block_start, period_start, [*keys, period])
-    placed = _null_safe_join(
-        blocks, starts.select(*keys, period, "_block", (F.col("_skip") + F.col("_before")).alias("_at")),
-        [*keys, period, "_block"],
+    starts = (
+        blocks.withColumn("_skip", F.sum("_n").over(in_period) - F.col("_n"))
+        .join(months, "_month")
+        .select("_spot", (F.col("_skip") + F.col("_before")).alias("_at"))
+    )
+
+    cell = F.lit(per_cell)
+    first = F.col("_at") + F.col("_in_block")
+    placed = counted.join(starts, "_spot").select(
+        *[F.col("_spot")[k].alias(k) for k in keys], "_entry",
+        first.alias("_first"), (first + F.col("_times")).alias("_end"),
     )
-    rows = placed.select(*keys, "_at", F.posexplode("_rows").alias("_pos", "_row")).select(
-        *keys,
-        (F.col("_at") + F.col("_pos")).alias("_place"),
-        F.col("_row")[entry].alias("_entry"),
+    cells = F.sequence(F.floor(F.col("_first") / cell), F.floor((F.col("_end") - 1) / cell))
+    pieces = placed.select("*", F.explode(cells).alias("_cell")).select(
+        *keys, (F.col("_cell") + 1).alias("part"), "_first", "_entry",
+        (F.least("_end", (F.col("_cell") + 1) * cell) - F.greatest("_first", F.col("_cell") * cell))
+        .cast("int").alias("_times"),
+    )
+    texts = F.transform(
+        "_pieces", lambda p: F.array_join(F.array_repeat(p["_entry"], p["_times"]), separator)
     )
     return (
-        rows.groupBy(*keys, (F.floor(F.col("_place") / F.lit(per_cell)) + 1).alias("part"))
+        pieces.groupBy(*keys, "part")
         .agg(
-            F.count("*").alias(count),
-            F.sort_array(F.collect_list(F.struct("_place", "_entry"))).alias("_sorted"),
-        )
-        .select(
-            *keys, "part", count,
-            F.array_join(F.col("_sorted._entry"), separator).alias(into),
+            F.sum("_times").alias(count),
+            F.sort_array(F.collect_list(F.struct("_first", "_entry", "_times"))).alias("_pieces"),
         )
+        .select(*keys, "part", count, F.array_join(texts, separator).alias(into))
     )

@@ -225,6 +225,17 @@ def test_cells_hold_whole_lists_in_order(spark):
         assert sum(c.entry_count for c in mine) == len(want)
 
 
+def test_copies_in_cells_are_all_listed(spark):
+    """One entry makes up a third of the rows and fills several cells."""
+    rows = [("a", 0, 7, "x")] * 40 + [("a", i % 2, 100 + i, f"e{i}") for i in range(80)]
+    df = spark.createDataFrame(rows, "k string, p int, i long, e string")
+    cells = sorted(entries_in_cells(df, ["k"], "p", "i", "e", per_cell=9, block=16).collect(),
+                   key=lambda c: c.part)
+    want = [e for _, _, e in sorted((p, i, e) for _, p, i, e in rows)]
+    assert ", ".join(c.entries for c in cells) == ", ".join(want)
+    assert [c.entry_count for c in cells] == [9] * 13 + [3]
+
+
 def test_select_courts(spark):
     directory = courts(spark)
 
