@@ -21,6 +21,8 @@ HEADERS = {
     "sin_clasif": "sin clasif",
     "resol_vencidas": "resol vencidas",
     "periodos_informados": "mes (nro_file-fechahora)",
+    "violencia_c_mujer": "violencia_c-mujer",
+    "total": "Total",
 }
 
 

@@ -29,6 +29,9 @@ RULINGS_ONE_DEADLINE = _struct(
     iep=_S, **_INTERVAL, nro=_S, caratula=_S, tproc=_S, **{"as": _S}, tres=_S,
     finicio=_S, fdesp=_S, fres=_S, fvenc=_S,
 )
+RULINGS_APPEAL = T.StructType(
+    [*RULINGS_ONE_DEADLINE.fields, T.StructField("recirc", T.BooleanType(), True)]
+)
 RULINGS_THIRD_INSTANCE = _struct(
     iep=_S, **_INTERVAL, nro=_S, caratula=_S, tproc=_S, **{"as": _S}, tres=_S, fres=_S,
 )
@@ -39,8 +42,7 @@ STARTED_COUNTS = _struct(
     circunscripcion=_S, organismo=_S, grupo_proceso=_S, tipo_proceso=_S, cantidad=_L,
 )
 MEDIATIONS = _struct(
-    tipo_circ=_S, **_INTERVAL, tres_disc=_S, resultado=_L,
-    mediana_durac_inic_fin=T.DoubleType(),
+    iep=_S, tipo_circ=_S, **_INTERVAL, tres_disc=_S, duracion=_I,
 )
 MOVEMENTS = _struct(
     jurisdiccion=_S, juzgado=_S, fecha=_D, movimientos_tipo=_S, cantidad=_L,
@@ -53,6 +55,7 @@ COURTS = _struct(
     organismo=_S, organismo_descripcion=_S, circunscripcion=_S, materia=_S,
 )
 OPERATIONS = _struct(operacion=_S, operacion_descripcion=_S)
+POSTS = _struct(puesto=_S, idagente=_S)
 PERSONNEL = _struct(idagente=_S, categoria=_S, apellido=_S, nombres=_S)
 
 # The hearing listing: 18 TAB-separated columns in fixed order, all read as text.

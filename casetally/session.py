@@ -17,13 +17,32 @@ SETTINGS = {
 }
 
 
+def partitions_for(shuffled_bytes: int, target_bytes: int = 256 << 20, least: int = 200) -> int:
+    """Shuffle partitions that hold about ``target_bytes`` each.
+
+    Adaptive execution merges small partitions but never makes more of them than it
+    starts with, so a large job has to start high enough.
+    """
+    return max(least, -(-shuffled_bytes // target_bytes))
+
+
 def build_session(
     app: str = "casetally",
     master: str | None = None,
+    shuffled_bytes: int | None = None,
     **extra: str,
 ) -> SparkSession:
-    """A session with :data:`SETTINGS`; ``master`` only for local runs."""
+    """A session with :data:`SETTINGS`; ``master`` only for local runs.
+
+    ``shuffled_bytes``, the expected size of the largest shuffle, sets how many
+    partitions adaptive execution starts from.
+    """
     builder = SparkSession.builder.appName(app)
+    if shuffled_bytes is not None:
+        builder = builder.config(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+            str(partitions_for(shuffled_bytes)),
+        )
     if master:
         builder = builder.master(master)
     for key, value in {**SETTINGS, **extra}.items():

@@ -292,3 +292,10 @@ def test_calendar_order(spark):
 
 def test_fixture_courts_are_invented():
     assert all(len(c) == 4 for c in COURTS)
+
+
+def test_partitions_grow_with_the_shuffle():
+    from casetally.session import partitions_for
+
+    assert partitions_for(1 << 20) == 200
+    assert partitions_for(10 << 40) == 40960
