@@ -32,8 +32,3 @@ def millions_label(amount: Column, digits: int) -> Column:
     fixed = half_even(amount, digits).cast(f"decimal(38,{digits})").cast("string")
     return F.concat(F.lit("$"), F.regexp_replace(fixed, r"\.?0+$", "") if digits else fixed,
                     F.lit(" millones"))
-
-
-def contains_upper(c: Column, value: str) -> Column:
-    """Equality that ignores case."""
-    return F.upper(c) == F.lit(value.upper())

@@ -18,6 +18,7 @@ def entries_in_cells(
     count: str = "entry_count",
     per_cell: int = 1000,
     block: int = 4096,
+    longest: int = 100_000,
     separator: str = ", ",
 ) -> DataFrame:
     """Entries of each key, ordered by ``period`` then ``row_id``, joined as text.
@@ -26,12 +27,50 @@ def entries_in_cells(
     entries; a longer list goes on in further parts, so nothing is cut and no cell
     grows with the data.
 
-    No task ever sorts a whole key. Copies of an entry are counted map-side and
-    travel as one run. ``row_id`` is an integer key of the table, so a block of ids
-    holds about ``block`` runs. Places in the list come from the counts of blocks
-    and periods, and a run that is longer than a cell is cut where cells end.
+    The entries are counted per key first. When no key has more than ``longest``,
+    each list is sorted as one value; otherwise the lists are put together from
+    blocks, so that no task sorts a whole key.
+    """
+    top = df.groupBy(*keys).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0] or 0
+    names = (keys, period, row_id, entry, into, count, per_cell)
+    if top <= longest:
+        return _sorted_whole(df, *names, separator)
+    return _sorted_in_blocks(df, *names, block, separator)
+
+
+def _sorted_whole(
+    df: DataFrame, keys: Sequence[str], period: str, row_id: str, entry: str, into: str,
+    count: str, per_cell: int, separator: str,
+) -> DataFrame:
+    """Lists of bounded length: one value per key, sliced into cells."""
+    lists = df.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct(period, row_id, entry))).alias("_list")
+    )
+    last = F.ceil(F.size("_list") / F.lit(per_cell))
+    cell = F.slice(
+        F.col("_list")[entry], ((F.col("part") - 1) * per_cell + 1).cast("int"), F.lit(per_cell)
+    )
+    return (
+        lists.select(*keys, "_list", F.explode(F.sequence(F.lit(1).cast("bigint"), last)).alias("part"))
+        .select(*keys, "part", cell.alias("_cell"))
+        .select(
+            *keys, "part", F.size("_cell").cast("bigint").alias(count),
+            F.array_join("_cell", separator).alias(into),
+        )
+    )
+
+
+def _sorted_in_blocks(
+    df: DataFrame, keys: Sequence[str], period: str, row_id: str, entry: str, into: str,
+    count: str, per_cell: int, block: int, separator: str,
+) -> DataFrame:
+    """Lists of any length, put in order without sorting a key as a whole.
 
-    Places are matched on structs of the keys, which compare NULL as equal.
+    Copies of an entry are counted map-side and travel as one run. ``row_id`` is an
+    integer key of the table, so a block of ids holds about ``block`` runs. Places
+    in the list come from the counts of blocks and periods, and a run that is longer
+    than a cell is cut where cells end. Places are matched on structs of the keys,
+    which compare NULL as equal.
     """
     spot = [*keys, period, "_block"]
     runs = (

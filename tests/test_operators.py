@@ -210,12 +210,13 @@ def test_latest_of_a_hot_key(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def test_cells_hold_whole_lists_in_order(spark):
+@pytest.mark.parametrize("longest", [0, 100_000])
+def test_cells_hold_whole_lists_in_order(spark, longest):
     rng = random.Random(3)
     rows = [(rng.choice(["a", "a", "a", "b", None]), rng.randrange(4), i, f"e{i}")
             for i in rng.sample(range(5000), 700)]
     df = spark.createDataFrame(rows, "k string, p int, i long, e string")
-    cells = entries_in_cells(df, ["k"], "p", "i", "e", per_cell=16, block=64).collect()
+    cells = entries_in_cells(df, ["k"], "p", "i", "e", per_cell=16, block=64, longest=longest).collect()
     for key in ("a", "b", None):
         mine = sorted((c for c in cells if c.k == key), key=lambda c: c.part)
         assert [c.part for c in mine] == list(range(1, len(mine) + 1))
@@ -225,17 +226,24 @@ def test_cells_hold_whole_lists_in_order(spark):
         assert sum(c.entry_count for c in mine) == len(want)
 
 
-def test_copies_in_cells_are_all_listed(spark):
+@pytest.mark.parametrize("longest", [0, 100_000])
+def test_copies_in_cells_are_all_listed(spark, longest):
     """One entry makes up a third of the rows and fills several cells."""
     rows = [("a", 0, 7, "x")] * 40 + [("a", i % 2, 100 + i, f"e{i}") for i in range(80)]
     df = spark.createDataFrame(rows, "k string, p int, i long, e string")
-    cells = sorted(entries_in_cells(df, ["k"], "p", "i", "e", per_cell=9, block=16).collect(),
+    cells = sorted(entries_in_cells(df, ["k"], "p", "i", "e", per_cell=9, block=16,
+                                    longest=longest).collect(),
                    key=lambda c: c.part)
     want = [e for _, _, e in sorted((p, i, e) for _, p, i, e in rows)]
     assert ", ".join(c.entries for c in cells) == ", ".join(want)
     assert [c.entry_count for c in cells] == [9] * 13 + [3]
 
 
+def test_no_entries_make_no_cells(spark):
+    df = spark.createDataFrame([], "k string, p int, i long, e string")
+    assert entries_in_cells(df, ["k"], "p", "i", "e").collect() == []
+
+
 def test_select_courts(spark):
     directory = courts(spark)
 
