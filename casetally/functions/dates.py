@@ -45,6 +45,16 @@ def date_of(df: DataFrame, name: str, fmt: str = DAY_FIRST) -> Column:
     return F.to_date(F.col(f"`{name}`"))
 
 
+def with_dates(df: DataFrame, *names: str) -> DataFrame:
+    """Parse the named text dates in place, once per row.
+
+    Reports compare a date many times; as a column of its own it is parsed before
+    the comparisons instead of inside each of them.
+    """
+    text = [n for n in names if isinstance(df.schema[n].dataType, T.StringType)]
+    return df.withColumns({n: date_of(df, n) for n in text}) if text else df
+
+
 def month_start(c: Column) -> Column:
     return F.trunc(c, "month")
 
@@ -111,12 +121,23 @@ def _weekdays_before(c: Column) -> Column:
 def business_days(start: Column, end: Column, holidays: Sequence[str | dt.date] = ()) -> Column:
     """Working days after ``start`` up to and including ``end``.
 
-    Weekdays are counted in closed form and the given holidays subtracted, so no
-    calendar table is joined to the cases.
+    Weekdays are counted in closed form. Holidays are counted from a constant list
+    that holds, for each day from the first holiday to the last, how many there were
+    so far. No calendar table is joined to the cases.
     """
     count = _weekdays_before(F.date_add(end, 1)) - _weekdays_before(F.date_add(start, 1))
-    off = sorted({h for h in map(to_day, holidays) if h.weekday() < 5})
-    if off:
-        listed = F.array(*[F.lit(h) for h in off])
-        count = count - F.size(F.filter(listed, lambda h: (h > start) & (h <= end)))
-    return count
+    off = {h for h in map(to_day, holidays) if h.weekday() < 5}
+    if not off:
+        return count
+    first, days = min(off), (max(off) - min(off)).days + 1
+    so_far, running = 0, ["0"]
+    for i in range(days):
+        so_far += first + dt.timedelta(i) in off
+        running.append(str(so_far))
+    listed = F.split(F.lit(" ".join(running)), " ").cast("array<int>")
+
+    def holidays_to(c: Column) -> Column:
+        place = F.greatest(F.datediff(c, F.lit(first)) + 2, F.lit(1))
+        return F.element_at(listed, F.least(place, F.lit(days + 1)))
+
+    return count - (holidays_to(end) - holidays_to(start))

@@ -8,6 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def values_of(df: DataFrame, column: str, most: int = 1000) -> dict[str, str]:
+    """The values of a code column, each as its own column name.
+
+    For reports whose columns are the codes that occur. Reading stops past ``most``
+    distinct values, which is an error: so many columns are no report.
+    """
+    found = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(most + 1)
+    values = sorted(r[0] for r in found.collect())
+    if len(values) > most:
+        raise ValueError(f"column {column!r} has more than {most} distinct values")
+    return {v: v for v in values}
+
+
 def widen(
     df: DataFrame,
     keys: Sequence[str | Column],

@@ -260,6 +260,15 @@ WITH {_MEDIATIONS}
 SELECT tipo_circ AS circunscripcion, {_OUTCOME_COUNTS}, FALSE AS is_total
 FROM mediations GROUP BY tipo_circ
 UNION ALL SELECT 'Total', {_OUTCOME_COUNTS}, TRUE FROM mediations"""
+_ALL_OUTCOMES = ", ".join(
+    f"count(*) FILTER (tres_disc = '{o}') AS \"{o}\""
+    for o in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+) + """, count(*) FILTER (tres_disc IS NULL) AS otros, count(*) AS "Total"\n"""
+ORACLE["mediation_all_outcomes"] = f"""
+WITH {_MEDIATIONS}
+SELECT tipo_circ AS "circunscripción", {_month('istart')} AS mes, {_ALL_OUTCOMES}
+FROM mediations GROUP BY tipo_circ, istart
+UNION ALL SELECT tipo_circ, 'Total', {_ALL_OUTCOMES} FROM mediations GROUP BY tipo_circ"""
 _DURATION = """count(*) AS resultado,
   CAST(median(date_diff('day', finicio, CAST(l_shipdate AS DATE))) AS DOUBLE) AS mediana_durac_inic_fin
 FROM mediations JOIN lineitem ON nro = l_orderkey"""

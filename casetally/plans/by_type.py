@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casetally.functions import codes
-from casetally.functions.dates import date_of
+from casetally.functions.dates import with_dates
 from casetally.functions.timing import INTERIM_CODE, in_own_interval
 from casetally.operators.scope import in_interval, members, with_court_names
 from casetally.operators.totals import with_total_rows
@@ -55,8 +55,8 @@ def rulings_by_type(
     Counts are taken per court code and label before the population and the
     directory are joined.
     """
-    scoped = in_interval(cases, start, end)
-    ruled, code = date_of(scoped, "fres"), F.col("tres")
+    scoped = with_dates(in_interval(cases, start, end), "fres")
+    code = F.col("tres")
     final = ~code.eqNullSafe(INTERIM_CODE) if settings.keep_missing_code else code != INTERIM_CODE
     ruling_class = F.upper(F.col("as"))
     kind = codes.label(code, settings.labels, settings.default)
@@ -65,8 +65,7 @@ def rulings_by_type(
     name = settings.type_column
     counted = (
         scoped.filter(
-            ruled.isNotNull() & ruling_class.isin(*settings.classes)
-            & in_own_interval(ruled) & final
+            ruling_class.isin(*settings.classes) & final & in_own_interval(F.col("fres"))
         )
         .groupBy(F.col("iep").alias("organismo"), kind.alias(name))
         .agg(F.count("*").alias("cantidad"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casetally.functions.codes import remap
-from casetally.functions.dates import date_of, month_label
+from casetally.functions.dates import month_label, with_dates
 from casetally.functions.timing import INTERIM_CODE, add_ignoring_null, one_or_null, timing
 from casetally.operators.scope import dispatch_column, in_interval, members, with_court_names
 from casetally.operators.totals import with_grand_total
@@ -37,8 +37,9 @@ def case_listing(
     scoped = members(in_interval(cases, start, end), population).withColumn(
         "organismo", remap(F.col("iep"))
     )
-    ruled = date_of(scoped, "fres")
-    dues = [date_of(scoped, c) for c in due]
+    dispatched = dispatch_column(scoped)
+    scoped = with_dates(scoped, "fres", *due, dispatched)
+    ruled, dues = F.col("fres"), [F.col(c) for c in due]
     one_deadline = None
     if len(dues) == 2:
         one_deadline = population.agg(
@@ -61,8 +62,8 @@ def case_listing(
         F.month("data_interval_start").alias("mes_orden"),
         month_label(F.col("data_interval_start")).alias("mes"),
         "nro",
-        date_of(scoped, dispatch_column(scoped)).alias("fecha_despacho"),
-        *([d.alias(c) for c, d in zip(due, dues)] if show_due else []),
+        F.col(dispatched).alias("fecha_despacho"),
+        *(due if show_due else ()),
         ruled.alias("fecha_resolucion"),
         *[m.alias(name) for name, m in marks.items()],
     )

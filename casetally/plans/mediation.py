@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from casetally.functions.dates import TOTAL_LABEL, covers_one_month, day_before, month_label
 from casetally.operators.ordering import calendar_order
-from casetally.operators.reshape import widen
+from casetally.operators.reshape import values_of, widen
 from casetally.operators.scope import in_interval, members
 from casetally.operators.totals import row_total, with_total_rows
 
@@ -35,7 +35,7 @@ def mediation_report(
     population: DataFrame | None,
     start: str | dt.date,
     end: str | dt.date,
-    outcomes: Mapping[str, str],
+    outcomes: Mapping[str, str] | None = None,
     monthly: bool = True,
     closing_date: bool = False,
     rest: str = "otros",
@@ -43,10 +43,13 @@ def mediation_report(
     """Mediations with one column per outcome, a total column and total rows.
 
     ``outcomes`` maps outcome codes to columns; outcomes not listed are counted in
-    ``rest``. Cases are counted straight into the wide form, per court when a
-    population is given, which is then applied to the counts.
+    ``rest``. Left out, the outcomes are those that occur in the period. Cases are
+    counted straight into the wide form, per court when a population is given, which
+    is then applied to the counts.
     """
     scoped = in_interval(mediations, start, end)
+    if outcomes is None:
+        outcomes = values_of(scoped, "tres_disc")
     keys = ["circunscripcion", *(_INTERVAL if monthly else ())]
     court = ["iep"] if population is not None else []
     scoped = scoped.withColumnRenamed("tipo_circ", "circunscripcion")

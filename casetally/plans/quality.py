@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casetally.functions.dates import business_days, date_of
+from casetally.functions.dates import business_days, date_of, with_dates
 from casetally.functions.timing import in_own_interval
 
 DIGITS = "^[0-9]+$"
@@ -69,7 +69,8 @@ def outside_interval(df: DataFrame, date: str) -> DataFrame:
 
     The complement of the interval test; a missing date is neither in nor out.
     """
-    return df.filter(~in_own_interval(date_of(df, date)))
+    df = with_dates(df, date)
+    return df.filter(~in_own_interval(F.col(date)))
 
 
 def share_within_business_days(
@@ -81,7 +82,8 @@ def share_within_business_days(
     holidays: Sequence[str | dt.date] = (),
 ) -> DataFrame:
     """Rulings per group and the share made in fewer than ``days`` working days."""
-    a, b = date_of(df, start), date_of(df, end)
+    df = with_dates(df, start, end)
+    a, b = F.col(start), F.col(end)
     ruled = df.filter(a.isNotNull() & b.isNotNull())
     quick = business_days(a, b, holidays) < days
     return ruled.groupBy(*by).agg(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from casetally.functions.codes import MERGED_COURTS, remap
 from casetally.functions.dates import (
     TOTAL_LABEL, covers_one_month, date_of, day_before, month_label, month_start, to_day,
+    with_dates,
 )
 from casetally.functions.text import percent_label
 from casetally.functions.timing import add_ignoring_null, share_of_classes, timing
@@ -74,11 +75,10 @@ def ruling_counts(
     if settings.exclude:
         scoped = excluding(scoped, "tproc", settings.exclude)
 
-    ruled = date_of(scoped, "fres")
-    due = [date_of(scoped, c) for c in settings.due]
-    flags = timing(ruled, F.col("tres"), *due)
+    scoped = with_dates(scoped, "fres", *settings.due, dispatch_column(scoped))
+    flags = timing(F.col("fres"), F.col("tres"), *[F.col(c) for c in settings.due])
     late = [f for f in (flags.after_first, flags.after_second) if f is not None]
-    dispatched = date_of(scoped, dispatch_column(scoped))
+    dispatched = F.col(dispatch_column(scoped))
     in_range = (dispatched >= month_start(F.lit(to_day(start)))) & (dispatched < F.lit(to_day(end)))
 
     measures: dict[str, Column] = {

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casetally.functions.dates import date_of, day
+from casetally.functions.dates import day, with_dates
 from casetally.operators.latest import latest_per_key
 from casetally.operators.scope import excluding, members
 
@@ -37,13 +37,9 @@ def started_cases(
     moved = members(older, population).filter(
         F.col("finicio").isNotNull() & F.col("fmov").isNotNull()
     )
-    moved = excluding(moved, "tproc", NOT_STARTED).withColumns(
-        {"finicio": date_of(older, "finicio"), "fmov": date_of(older, "fmov")}
-    )
+    moved = with_dates(excluding(moved, "tproc", NOT_STARTED), "finicio", "fmov")
     current = latest_per_key(between(moved, cut_over), ["nro", "caratula"], "fmov")
 
-    direct = excluding(members(newer, population), "tproc", NOT_STARTED).withColumn(
-        "finicio", date_of(newer, "finicio")
-    )
+    direct = with_dates(excluding(members(newer, population), "tproc", NOT_STARTED), "finicio")
     direct = between(direct, end).select(*STARTED_COLUMNS)
     return current.select(*STARTED_COLUMNS).unionByName(direct).distinct()

@@ -199,6 +199,13 @@ def mediation_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def mediation_all_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return printed(mediation.mediation_report(
+        star.mediations(spark, sf_dir), star.population(spark, sf_dir), star.START, star.END
+    ))
+
+
 @query
 def median_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mediation.mediation_indicators(star.ended_mediations(spark, sf_dir), monthly=False)

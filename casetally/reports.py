@@ -170,8 +170,8 @@ class Reports:
 
     # --- mediation and movements ---
 
-    def mediation(self, population: DataFrame, start: Day, end: Day, outcomes: Mapping[str, str],
-                  monthly: bool = True, closing_date: bool = False,
+    def mediation(self, population: DataFrame, start: Day, end: Day,
+                  outcomes: Mapping[str, str] | None = None, monthly: bool = True, closing_date: bool = False,
                   operation: str = MEDIATION_OPERATION) -> DataFrame:
         rows = self.operation(operation, schemas.MEDIATIONS)
         return mediation.mediation_report(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from casetally import schemas
 from casetally.plans import corrections, mediation, movements, quality, staff, submissions, summary
+from casetally.operators.reshape import values_of
 from casetally.plans.reallocation import reallocate
 from casetally.plans.started import started_cases
 from court_fixtures import AUG, DEC, JAN, JUL, SEP, courts, population, rows_by
@@ -206,6 +207,13 @@ def test_mediation_by_month(spark):
     }
 
 
+def test_mediation_columns_are_the_outcomes_that_occur(spark):
+    df = mediation.mediation_report(mediations(spark), None, "2018-08-01", "2018-09-01")
+    assert [c for c in df.columns if c in ("Acuerdo", "Sin acuerdo", "Otra")] == ["Sin acuerdo"]
+    with pytest.raises(ValueError):
+        values_of(mediations(spark), "tres_disc", most=2)
+
+
 def test_mediation_single_month_and_range(spark):
     month = mediation.mediation_report(mediations(spark), None, "2018-07-01", "2018-08-01", OUTCOMES)
     assert rows_by(month, "circunscripcion")["Total"].total == 4
