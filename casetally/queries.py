@@ -53,7 +53,7 @@ def _rulings(spark: SparkSession, sf_dir: str, settings: rulings.RulingsSettings
 @query
 def rulings_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = _rulings(spark, sf_dir, rulings.CIVIL, closing_date=True)
-    return in_report_order(report, "circunscripcion", "organismo", "mes_inicio", "mes_orden")
+    return in_report_order(report, "circunscripcion", "organismo", "is_total", "mes_inicio")
 
 
 @query

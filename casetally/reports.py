@@ -6,7 +6,8 @@
 
 The folder holds ``operations`` (partitioned by operation and reporting month),
 ``courts``, ``operation_names``, ``submissions``, ``movements``, ``posts`` and
-``persons`` as Parquet. Every method returns a lazy DataFrame.
+``persons`` as Parquet. Every method returns a lazy DataFrame in report order. The
+counted reports are small; a case listing is not, and ``ordered=False`` saves its sort.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from pyspark.sql import types as T
 from casetally import schemas
 from casetally.functions.classify import classify
 from casetally.functions.codes import remap
+from casetally.functions.dates import covers_one_month
+from casetally.operators.ordering import in_report_order
 from casetally.operators.scope import select_courts
 from casetally.plans import (
     by_type, case_listing, corrections, indicators, mediation, movements, rulings, staff, started,
@@ -64,9 +67,13 @@ class Reports:
                  population: DataFrame, start: Day, end: Day, monthly: bool, closing_date: bool
                  ) -> DataFrame:
         cases = self.operation(operation or settings.operation, schema)
-        return rulings.rulings_report(
+        report = rulings.rulings_report(
             cases, population, self.courts(), start, end, settings, monthly, closing_date
         )
+        months = ["mes_inicio"] if monthly else []
+        if monthly and not covers_one_month(start, end):
+            return in_report_order(report, "circunscripcion", "organismo", "is_total", *months)
+        return in_report_order(report, "is_total", "circunscripcion", "organismo", *months)
 
     def rulings_civil(self, population: DataFrame, start: Day, end: Day, monthly: bool = True,
                       closing_date: bool = False, operation: str | None = None,
@@ -125,7 +132,12 @@ class Reports:
     def _by_type(self, settings: by_type.TypeSettings, schema: T.StructType,
                  population: DataFrame, start: Day, end: Day) -> DataFrame:
         cases = self.operation(settings.operation, schema)
-        return by_type.rulings_by_type(cases, population, self.courts(), start, end, settings)
+        report = by_type.rulings_by_type(cases, population, self.courts(), start, end, settings)
+        by = [F.desc("cantidad")] if settings.overrides else []
+        return in_report_order(
+            report, "circunscripcion", "organismo_descripcion", "is_total", *by,
+            spread=(settings.type_column,),
+        )
 
     def types_civil(self, population: DataFrame, start: Day, end: Day) -> DataFrame:
         return self._by_type(by_type.CIVIL_TYPES, schemas.RULINGS, population, start, end)
@@ -146,23 +158,32 @@ class Reports:
 
     # --- cases ---
 
+    def _cases(self, operation: str, schema: T.StructType, population: DataFrame, start: Day,
+               end: Day, due: tuple[str, ...], show_due: bool, ordered: bool) -> DataFrame:
+        listing = case_listing.case_listing(
+            self.operation(operation, schema), population, self.courts(), start, end, due, show_due)
+        if not ordered:
+            return listing
+        return in_report_order(
+            listing, "is_total", "circunscripcion", "organismo_descripcion", "mes_orden",
+            spread=("nro", "fecha_resolucion"),
+        )
+
     def cases_civil(self, population: DataFrame, start: Day, end: Day, operation: str = "CADR1C",
-                    higher_court: bool = False) -> DataFrame:
+                    higher_court: bool = False, ordered: bool = True) -> DataFrame:
         schema = schemas.RULINGS_HIGHER_COURT if higher_court else schemas.RULINGS
-        return case_listing.case_listing(
-            self.operation(operation, schema), population, self.courts(), start, end)
+        return self._cases(operation, schema, population, start, end, ("fvenc1", "fvenc2"), True,
+                           ordered)
 
     def cases_labour(self, population: DataFrame, start: Day, end: Day,
-                     operation: str = "CADR1L") -> DataFrame:
-        cases = self.operation(operation, schemas.RULINGS_ONE_DEADLINE)
-        return case_listing.case_listing(
-            cases, population, self.courts(), start, end, due=("fvenc",), show_due=False)
+                     operation: str = "CADR1L", ordered: bool = True) -> DataFrame:
+        return self._cases(operation, schemas.RULINGS_ONE_DEADLINE, population, start, end,
+                           ("fvenc",), False, ordered)
 
     def cases_administrative(self, population: DataFrame, start: Day, end: Day,
-                             operation: str = "CADRCAD") -> DataFrame:
-        cases = self.operation(operation, schemas.RULINGS_ONE_DEADLINE)
-        return case_listing.case_listing(
-            cases, population, self.courts(), start, end, due=("fvenc",))
+                             operation: str = "CADRCAD", ordered: bool = True) -> DataFrame:
+        return self._cases(operation, schemas.RULINGS_ONE_DEADLINE, population, start, end,
+                           ("fvenc",), True, ordered)
 
     def court_rows(self, court: str, operation: str, start: Day, end: Day,
                    schema: T.StructType = schemas.RULINGS) -> DataFrame:
@@ -174,12 +195,17 @@ class Reports:
                   outcomes: Mapping[str, str] | None = None, monthly: bool = True, closing_date: bool = False,
                   operation: str = MEDIATION_OPERATION) -> DataFrame:
         rows = self.operation(operation, schemas.MEDIATIONS)
-        return mediation.mediation_report(
+        report = mediation.mediation_report(
             rows, population, start, end, outcomes, monthly, closing_date)
+        if not monthly:
+            return in_report_order(report, "is_total", "circunscripcion")
+        first = [] if covers_one_month(start, end) else ["circunscripcion"]
+        return in_report_order(report, *first, "is_total", "circunscripcion", "mes_inicio")
 
     def violence_movements(self, population: DataFrame, start: Day, end: Day) -> DataFrame:
         rows = self._stored("movements", schemas.MOVEMENTS)
-        return movements.violence_movements(rows, population, start, end)
+        report = movements.violence_movements(rows, population, start, end)
+        return in_report_order(report, "jurisdiccion", "juzgado")
 
     # --- started cases and scenarios ---
 
@@ -197,15 +223,27 @@ class Reports:
     def current_codes(df: DataFrame) -> DataFrame:
         return df.withColumn("iep", remap(F.col("iep")))
 
-    reallocated = staticmethod(reallocate)
+    @staticmethod
+    def reallocated(started: DataFrame, losers: Sequence[str], receivers: Sequence[str],
+                    groups: Sequence[str], inverse: bool = False) -> DataFrame:
+        return in_report_order(
+            reallocate(started, losers, receivers, groups, inverse),
+            "circunscripcion", "organismo", "grupo_proceso", F.desc("cantidad"),
+            spread=("tipo_proceso",),
+        )
+
     corrected = staticmethod(corrections.without_known_error)
 
     # --- submissions and staff ---
 
     def submission_tracking(self, population: DataFrame, start: Day, end: Day) -> DataFrame:
         names = self._stored("operation_names", schemas.OPERATIONS)
-        return submissions.submission_tracking(
+        report = submissions.submission_tracking(
             self.submissions(), population, self.courts(), names, start, end)
+        return in_report_order(
+            report, "circunscripcion", "organismo_descripcion", "is_total",
+            "operacion_descripcion", spread=("iep", "part"),
+        )
 
     def has_submission(self, population: DataFrame, start: Day, end: Day, operation: str) -> DataFrame:
         return submissions.has_submission(self.submissions(), population, start, end, operation)

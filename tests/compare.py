@@ -25,7 +25,7 @@ def _plain(value: object) -> str:
     if isinstance(value, bool):
         return str(value)
     if isinstance(value, (float, decimal.Decimal)):
-        return "\0" if math.isnan(value) else f"{float(value):.9g}"
+        return "\0" if math.isnan(value) else repr(float(value))
     if isinstance(value, dt.datetime):
         return value.isoformat()
     return str(value)

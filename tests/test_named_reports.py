@@ -78,6 +78,21 @@ def test_indicators_by_operation(spark, root, operation):
     assert df.first().organismo == "jdocco01"
 
 
+def test_reports_come_in_order(spark, root):
+    reports, people = Reports(spark, root), population(spark, "jdocco01", "jdocco02")
+    rows = reports.rulings_civil(people, *RANGE).collect()
+    assert [r.mes for r in rows] == ["julio", "agosto", "Total"]
+    rows = reports.cases_civil(people, *RANGE).collect()
+    assert [r.is_total for r in rows] == [False] * (len(rows) - 1) + [True]
+    assert [r.mes_orden for r in rows[:-1]] == sorted(r.mes_orden for r in rows[:-1])
+    unordered = reports.cases_civil(people, *RANGE, ordered=False)
+    assert sorted(map(str, unordered.collect())) == sorted(map(str, rows))
+    started = spark.createDataFrame([("N", "a", "G", "t", 3), ("N", "b", "G", "t", 9)],
+                                    schemas.STARTED_COUNTS)
+    moved = reports.reallocated(started, ["a"], ["b"], ["G"]).collect()
+    assert [(r.organismo, r.cantidad) for r in moved] == [("b", 9), ("b", 3)]
+
+
 def test_unknown_operation(spark, root):
     with pytest.raises(ValueError):
         Reports(spark, root).indicators("NONE", population(spark, "jdocco01"), *RANGE)
