@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,3 +63,9 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
 def rows_for(count: int, per_part: int) -> int:
     """Parts of at most about ``per_part`` rows each."""
     return max(1, -(-count // per_part))
+
+
+def worker_cache() -> dict:
+    """A dictionary that outlives the task, in its Python worker."""
+    name = "_casetally_worker_cache"
+    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__

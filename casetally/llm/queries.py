@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from casetally.llm.bpe import WORD_CHUNKS, token_digests
 from casetally.llm.exact_dedup import exact_duplicates
 from casetally.llm.mixing import mix
+from casetally.llm.secret_scan import span_digests
 from casetally.llm.sharding import byte_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +26,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op3_structural_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_prefix_dp_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_digests(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN, WORD_CHUNKS,
+    )
+
+
 @query
 def op5_weighted_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2)
