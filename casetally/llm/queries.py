@@ -11,6 +11,7 @@ from casetally.llm.exact_dedup import exact_duplicates
 from casetally.llm.mixing import mix
 from casetally.llm.secret_scan import span_digests
 from casetally.llm.sharding import byte_shards
+from casetally.llm.warc import archived_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(table(spark, sf_dir, "pages"))
+
+
 @query
 def op3_structural_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(table(spark, sf_dir, "documents"))
@@ -58,6 +64,19 @@ def op10_prefix_sum_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards(table(spark, sf_dir, "documents"), shards=16)
 
 
+ORACLE["op1_warc_transactions"] = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), d AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest,
+         min(page_id) OVER (PARTITION BY payload) AS first FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM d
+"""
+
 ORACLE["op5_weighted_fair_mixing"] = r"""
 WITH d AS (
   SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS ord,
