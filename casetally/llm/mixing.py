@@ -56,7 +56,7 @@ def mix(
     weights: Sequence[int] = (3, 1, 2),
     share: float = 1.5,
     most: int = 2,
-    per_bucket: int = 50_000,
+    per_bucket: int = 10_000,
     doc_id: str = "doc_id",
     text: str = "text",
     source: str = "source",

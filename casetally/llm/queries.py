@@ -11,6 +11,7 @@ from casetally.llm.exact_dedup import exact_duplicates
 from casetally.llm.mixing import mix
 from casetally.llm.secret_scan import span_digests
 from casetally.llm.sharding import byte_shards
+from casetally.llm.toxicity import toxicity
 from casetally.llm.warc import archived_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +60,11 @@ def op7_quotient_filter_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query
+def op9_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op10_prefix_sum_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards(table(spark, sf_dir, "documents"), shards=16)
