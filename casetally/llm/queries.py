@@ -11,6 +11,7 @@ from casetally.llm.exact_dedup import exact_duplicates
 from casetally.llm.mixing import mix
 from casetally.llm.secret_scan import span_digests
 from casetally.llm.sharding import byte_shards
+from casetally.llm.topk import quantised, top_k
 from casetally.llm.toxicity import toxicity
 from casetally.llm.warc import archived_pages
 
@@ -33,6 +34,12 @@ def op1_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(table(spark, sf_dir, "pages"))
 
 
+@query
+def op2_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = quantised(table(spark, sf_dir, "embeddings"))
+    return top_k(vectors.filter("vec_id % 50 = 0"), vectors, k=5)
+
+
 @query
 def op3_structural_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(table(spark, sf_dir, "documents"))
@@ -83,6 +90,21 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM d
 """
 
+ORACLE["op2_threshold_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS vec
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.vec, v.vec) AS BIGINT) AS score
+  FROM v AS q, v WHERE q.vec_id % 50 = 0 AND v.vec_id <> q.vec_id
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 ORACLE["op5_weighted_fair_mixing"] = r"""
 WITH d AS (
   SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS ord,
