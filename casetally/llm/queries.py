@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from casetally.llm.bpe import WORD_CHUNKS, token_digests
 from casetally.llm.exact_dedup import exact_duplicates
+from casetally.llm.lattice_lm import lattice_scores
 from casetally.llm.mixing import mix
 from casetally.llm.secret_scan import span_digests
 from casetally.llm.sharding import byte_shards
@@ -67,6 +68,15 @@ def op7_quotient_filter_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query
+def op8_subword_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return lattice_scores(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
 @query
 def op9_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

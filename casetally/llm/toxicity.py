@@ -96,13 +96,11 @@ class Model:
         back = np.where(head[:, :2] > 0, DISCOUNT * kinds / n, 1.0)
         p = np.where(head[:, :2] > 0, np.maximum(c - DISCOUNT, 0.0) / n, 0.0) + back * lower
         ratio = np.log(p[:, 1]) - np.log(p[:, 0])
-        total_ratio = np.concatenate([[0.0], np.cumsum(ratio)])
         telling = np.zeros(len(ratio))
         once = once_a_text(w, w.hashes, np.flatnonzero(ratio > TELLING))
         telling[once] = ratio[once] - TELLING
-        strong = np.concatenate([[0.0], np.cumsum(telling)])
-        sums = total_ratio[w.bounds[1:]] - total_ratio[w.bounds[:-1]]
-        strongs = strong[w.bounds[1:]] - strong[w.bounds[:-1]]
+        sums = np.bincount(w.document, ratio, len(w))
+        strongs = np.bincount(w.document, telling, len(w))
         length = np.diff(w.bounds)
         per = np.maximum(length, 1)
         return np.stack([sums / per, strongs / per, np.log1p(strongs), np.log1p(length)], axis=1)
