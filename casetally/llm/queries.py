@@ -10,6 +10,7 @@ from casetally.llm.bpe import WORD_CHUNKS, token_digests
 from casetally.llm.exact_dedup import exact_duplicates
 from casetally.llm.lattice_lm import lattice_scores
 from casetally.llm.mixing import mix
+from casetally.llm.near_dup import near_duplicates
 from casetally.llm.secret_scan import span_digests
 from casetally.llm.sharding import byte_shards
 from casetally.llm.topk import quantised, top_k
@@ -62,6 +63,12 @@ def op5_weighted_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op6_lsh_forest_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "class_size", "links", "copies")
+
+
 @query
 def op7_quotient_filter_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_duplicates(table(spark, sf_dir, "documents"))
