@@ -148,3 +148,21 @@ def mix(
             (copies_of * F.col("size")).alias("taken"), "_k1", "_k2",
         )
     )
+
+
+def mixed_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **settings) -> DataFrame:
+    """Rows of ``docs`` as often as the mix takes them, all columns as they were."""
+    names = docs.columns
+    taken = (
+        mix(docs, doc_id=doc_id, text=text, source=source, **settings).filter("copies > 0")
+        .select(F.col("_k1").alias("_mix_k1"), F.col("_k2").alias("_mix_k2"),
+                F.struct("source").alias("_mix_source"), F.col("copies").alias("_mix_copies")).distinct()
+    )
+    k1, k2 = row_key(doc_id, text)
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("_mix_doc"), k1.alias("_mix_k1"), k2.alias("_mix_k2"),
+        F.struct(F.col(source).alias("source")).alias("_mix_source"),
+    )
+    return keyed.join(taken, ["_mix_k1", "_mix_k2", "_mix_source"]).select(
+        "_mix_doc", F.explode(F.array_repeat(F.lit(0), F.col("_mix_copies").cast("int"))).alias("_mix_no")
+    ).select("_mix_doc.*")

@@ -7,7 +7,7 @@ from dataclasses import asdict, dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casetally.llm.common import fold_of, stored, text_or_empty
@@ -239,34 +239,40 @@ def fit(
     return model
 
 
-def scored(docs: DataFrame, model: Model, *keep: str, text: str = "text") -> DataFrame:
-    """Columns ``keep`` of every document and its ``score``, from 0 to 1.
+def score_of(model: Model, spark: SparkSession, text: str = "text") -> Column:
+    """A text's score, from 0 to 1, by arrays over whole texts.
 
     NULL counts as the empty text, which scores by its features alone like any other.
-    Whole texts are read, in narrow tasks; labels and other columns have no influence.
     """
-    spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model.state())
-    rows = docs.select(text_or_empty(text).alias("_scored_text"), F.struct(*keep).alias("_kept"))
-    out = "_kept " + dict(rows.dtypes)["_kept"] + ", score double"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model.from_state(shared.value)
-        for batch in batches:
-            for part in slices(batch, 0):
-                score = model.scores(_words_of(part.column(0)))
-                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(score)], names=["_kept", "score"])
+    def run(texts: pa.Array) -> pa.Array:
+        own = Model.from_state(shared.value)
+        batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+        found = [own.scores(_words_of(part.column(0))) for part in slices(batch, 0)]
+        return pa.array(np.concatenate(found) if found else np.empty(0))
+
+    return F.arrow_udf(run, "double")(text_or_empty(text))
 
-    return rows.mapInArrow(run, out).select("_kept.*", "score")
+
+def without_toxic(docs: DataFrame, model: Model, limit: float = 0.5, text: str = "text") -> DataFrame:
+    """Rows of ``docs`` that score below ``limit``, all columns as they were."""
+    return docs.filter(score_of(model, docs.sparkSession, text) < limit)
 
 
 def toxicity(
     docs: DataFrame, labels: DataFrame, folds: int = 5, doc_id: str = "doc_id", text: str = "text", **bounds: int,
 ) -> DataFrame:
-    """Per document ``doc_id, held_out, score, predicted``; see :func:`fit` and :func:`scored`."""
+    """Per document ``doc_id, held_out, score, predicted``; see :func:`fit`.
+
+    Labels and other columns than the text have no influence on a score. Every row gets
+    one, repeated rows the same. An empty table gives no rows.
+    """
     model = fit(docs, labels, folds=folds, doc_id=doc_id, text=text, **bounds)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return scored(rows, model, "doc_id").select(
+    rows = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), score_of(model, docs.sparkSession, text).alias("score")
+    )
+    return rows.select(
         "doc_id", (fold_of("doc_id", folds) == 0).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
