@@ -46,11 +46,13 @@ class Counted:
     values: np.ndarray  # (keys + 1, columns), the last row of zeros
 
     @classmethod
-    def of(cls, rows: list, columns: int) -> Counted:
-        keys = np.array([r[0] for r in rows], np.int64).view(np.uint64)
-        values = np.array([list(r[1:]) for r in rows], np.float64).reshape(len(rows), columns)
+    def of(cls, table: pa.Table) -> Counted:
+        """From a table of a key and its counts."""
+        keys, *values = (c.to_numpy() for c in table.itercolumns())
+        keys = keys.astype(np.int64).view(np.uint64)
         order = np.argsort(keys)
-        return cls(keys[order], np.vstack([values[order], np.zeros((1, columns))]))
+        counts = np.stack([v.astype(np.float64)[order] for v in values], axis=1)
+        return cls(keys[order], np.vstack([counts, np.zeros((1, len(values)))]))
 
     def at(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.keys):
@@ -130,27 +132,34 @@ def _words_of(texts: pa.Array) -> Words:
     return split_words(texts, NOT_ALPHANUMERIC, lower=True)
 
 
-def _sample(rows: DataFrame, most: int) -> DataFrame:
-    """At most ``most`` rows in the order of a hash of the id, so that reruns agree."""
-    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text")]
-    return rows.orderBy(*order).limit(most)
+def _chosen(labels: DataFrame, sample: int, calibration: int, folds: int) -> DataFrame:
+    """``doc_id, label, learns`` of about ``sample`` labelled ids a class and ``calibration``
+    others, taken by a hash of the id, so that reruns agree."""
+    role = F.when(F.col("_fold") == 1, F.lit(-1)).otherwise(F.col("label"))
+    rows = labels.withColumn("_fold", fold_of("doc_id", folds)).filter("_fold != 0").withColumn("_role", role)
+    most = {-1: calibration, 0: sample, 1: sample}
+    share = {r["_role"]: min(1.0, most[r["_role"]] / r["n"]) for r in rows.groupBy("_role").agg(F.count("*").alias("n")).collect()}
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < sum(
+        (F.when(F.col("_role") == k, F.lit(int(v * (1 << 30)))).otherwise(0) for k, v in share.items()), F.lit(0)
+    )
+    return rows.filter(draw).select("doc_id", "label", (F.col("_role") >= 0).alias("learns"))
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, folds: int = 5, sample: int = 40_000,
-    calibration: int = 10_000, most_entries: int = 400_000, label: str = "toxic",
+    docs: DataFrame, labels: DataFrame, folds: int = 5, sample: int = 12_000,
+    calibration: int = 8_000, most_entries: int = 300_000, label: str = "toxic",
     doc_id: str = "doc_id", text: str = "text",
 ) -> Model:
     """Learn from labelled rows of the folds 1 to ``folds`` - 1; fold 0 is held out.
 
-    Both fits use documented bounds: counts come from at most ``sample`` labelled rows of
-    each class, of all folds but 0 and 1, and the score's weights from at most
-    ``calibration`` rows of fold 1, whose texts the counts have not seen. Of pairs and
-    words the ``most_entries`` most frequent are kept each; what is left out backs off to
-    the shared counts. So the model has a bounded size, and it is fitted by a few
-    aggregates on whole texts. Labels other than 0 and 1, NULL texts and ids, and ids
-    with several labels are left out of fitting. Without rows of both classes every text
-    scores by the share of class 1 (0.5 without labels).
+    Both fits use documented bounds: counts come from about ``sample`` labelled ids of
+    each class, of all folds but 0 and 1, and the score's weights from about
+    ``calibration`` ids of fold 1, whose texts the counts have not seen. Of pairs, heads
+    and tails the most frequent are kept, at most ``most_entries`` each; what is left out
+    backs off to the shared counts. So the model has a bounded size, and the chosen ids,
+    bounded as well, go to the documents: no text is shuffled. Labels other than 0 and 1,
+    NULL texts and ids, and ids with several labels are left out of fitting. Without rows
+    of both classes every text scores by the share of class 1, near 0 without labels.
     """
     spark = docs.sparkSession
     marked = (
@@ -158,15 +167,12 @@ def fit(
         .filter("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id")
         .agg(F.min("label").alias("label"), F.max("label").alias("_other")).filter("label = _other")
     )
+    chosen = stored(_chosen(marked, sample, calibration, folds))
     rows = (
         docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-        .filter("text IS NOT NULL").join(marked, "doc_id")
-        .withColumn("_fold", fold_of("doc_id", folds)).filter("_fold != 0")
-    )
-    counted = rows.filter("_fold != 1")
-    learn = _sample(counted.filter("label = 1"), sample).unionByName(
-        _sample(counted.filter("label = 0"), sample)
+        .filter("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
     )
+    learn = rows.filter("learns")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,8 +201,16 @@ def fit(
     pairs = stored(pairs)
     kinds = [F.sum((F.col(c) > 0).cast("long")).alias(f"k{c[1]}") for c in ("c0", "c1")]
 
-    def top(df: DataFrame, by: str) -> list:
-        return df.orderBy(F.desc(by), df.columns[0]).limit(most_entries).collect()
+    def top(df: DataFrame, by: str) -> pa.Table:
+        """Rows from the least count on at which no more than ``most_entries`` are left."""
+        sizes = df.groupBy(by).agg(F.count("*").alias("n")).orderBy(F.desc(by)).collect()
+        left, least = most_entries, 2
+        for size, n in sizes:
+            left -= n
+            if left < 0:
+                least = size + 1
+                break
+        return df.filter(F.col(by) >= max(2, least)).drop(by).toArrow()
 
     tails = pairs.groupBy("tail").agg(*kinds)
     heads = pairs.groupBy("head").agg(F.sum("c0").alias("n0"), F.sum("c1").alias("n1"), *kinds)
@@ -204,16 +218,17 @@ def fit(
         F.sum("k0"), F.sum("k1"), F.sum((F.col("k0") > 0).cast("long")), F.sum((F.col("k1") > 0).cast("long"))
     ).first()
     numbers = np.array([float(x or 0) for x in totals])
+
+    def counted(df: DataFrame, key: str, *columns: str) -> Counted:
+        table = df.select(key, *columns, (F.col(columns[0]) + F.col(columns[1])).alias("_by"))
+        return Counted.of(top(table, "_by"))
+
     model = Model(
-        pairs=Counted.of(top(pairs.filter("c0 + c1 > 1").select("pair", "c0", "c1", (F.col("c0") + F.col("c1")).alias("n")), "n"), 3),
-        heads=Counted.of(top(heads.filter("n0 + n1 > 1").select("head", "n0", "n1", "k0", "k1", (F.col("n0") + F.col("n1")).alias("n")), "n"), 5),
-        tails=Counted.of(top(tails.filter("k0 + k1 > 1").select("tail", "k0", "k1", (F.col("k0") + F.col("k1")).alias("n")), "n"), 3),
-        word_kinds=numbers[:2], words=numbers[2:], weights=np.zeros(5), scale=np.array([np.zeros(4), np.ones(4)]),
+        pairs=counted(pairs, "pair", "c0", "c1"), heads=counted(heads, "head", "n0", "n1", "k0", "k1"),
+        tails=counted(tails, "tail", "k0", "k1"), word_kinds=numbers[:2], words=numbers[2:],
+        weights=np.zeros(5), scale=np.array([np.zeros(4), np.ones(4)]),
     )
-    for c, n in ((model.pairs, 2), (model.heads, 4), (model.tails, 2)):
-        c.values = np.ascontiguousarray(c.values[:, :n])
-
-    check = _sample(rows.filter("_fold = 1"), calibration)
+    check = rows.filter("NOT learns")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model.from_state(state.value)
@@ -234,7 +249,7 @@ def fit(
         model.scale = np.stack([x.mean(0), np.maximum(x.std(0), 1e-9)])
         model.weights = _fit_logistic((x - model.scale[0]) / model.scale[1], y)
     else:
-        share = float(y.mean()) if len(y) else 0.5
+        share = float(y.mean()) if len(y) else 0.0
         model.weights = np.array([np.log((share + 1e-3) / (1 - share + 1e-3)), 0, 0, 0, 0.0])
     return model
 
