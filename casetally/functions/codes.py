@@ -96,11 +96,11 @@ MERGED_COURTS = {
 def lookup(code: Column, table: Mapping[str, str]) -> Column:
     """Label of a code, NULL when the code is NULL or not listed.
 
-    The table is one text literal that Spark folds into a constant map when it
-    plans the query; it is not read per row.
+    The table is a literal map, which Spark folds into a constant when it plans the
+    query; it is not built per row.
     """
-    pairs = F.lit("\n".join(f"{k}\t{v}" for k, v in table.items()))
-    return F.try_element_at(F.str_to_map(pairs, F.lit("\n"), F.lit("\t")), code)
+    pairs = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    return F.try_element_at(pairs, code)
 
 
 def label(code: Column, table: Mapping[str, str], default: str) -> Column:

@@ -8,102 +8,73 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _before(parts: DataFrame, within: str, order: Column, amount: str, into: str) -> DataFrame:
+    """Add the sum of ``amount`` over the rows that come earlier in the same ``within``."""
+    earlier = Window.partitionBy(within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return parts.withColumn(into, F.coalesce(F.sum(amount).over(earlier), F.lit(0)))
+
+
 def entries_in_cells(
     df: DataFrame,
     keys: Sequence[str],
     period: str,
     row_id: str,
     entry: str,
+    per_cell: int,
     into: str = "entries",
     count: str = "entry_count",
-    per_cell: int = 1000,
     block: int = 4096,
-    longest: int = 100_000,
     separator: str = ", ",
+    missing: str = "?",
 ) -> DataFrame:
     """Entries of each key, ordered by ``period`` then ``row_id``, joined as text.
 
     A key has one row with ``part`` 1 as long as it has no more than ``per_cell``
     entries; a longer list goes on in further parts, so nothing is cut and no cell
-    grows with the data.
+    grows with the data. A NULL entry is printed as ``missing`` and counts like others.
 
-    The entries are counted per key first. When no key has more than ``longest``,
-    each list is sorted as one value; otherwise the lists are put together from
-    blocks, so that no task sorts a whole key.
+    There is one way for lists of any length, and it sorts no key as a whole. Copies of
+    an entry are counted map-side and travel as one run. ``row_id`` is an integer key of
+    the table, so a block of ids holds about ``block`` runs, and ``block`` blocks make a
+    group. A run's place in the list comes from the counts of earlier periods, groups,
+    blocks and runs, each summed at its own level; a run that is longer than a cell is
+    cut where cells end. Places are matched on structs of the keys, which compare NULL as
+    equal.
     """
-    top = df.groupBy(*keys).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0] or 0
-    names = (keys, period, row_id, entry, into, count, per_cell)
-    if top <= longest:
-        return _sorted_whole(df, *names, separator)
-    return _sorted_in_blocks(df, *names, block, separator)
-
-
-def _sorted_whole(
-    df: DataFrame, keys: Sequence[str], period: str, row_id: str, entry: str, into: str,
-    count: str, per_cell: int, separator: str,
-) -> DataFrame:
-    """Lists of bounded length: one value per key, sliced into cells."""
-    lists = df.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct(period, row_id, entry))).alias("_list")
-    )
-    last = F.ceil(F.size("_list") / F.lit(per_cell))
-    cell = F.slice(
-        F.col("_list")[entry], ((F.col("part") - 1) * per_cell + 1).cast("int"), F.lit(per_cell)
-    )
-    return (
-        lists.select(*keys, "_list", F.explode(F.sequence(F.lit(1).cast("bigint"), last)).alias("part"))
-        .select(*keys, "part", cell.alias("_cell"))
-        .select(
-            *keys, "part", F.size("_cell").cast("bigint").alias(count),
-            F.array_join("_cell", separator).alias(into),
-        )
-    )
-
-
-def _sorted_in_blocks(
-    df: DataFrame, keys: Sequence[str], period: str, row_id: str, entry: str, into: str,
-    count: str, per_cell: int, block: int, separator: str,
-) -> DataFrame:
-    """Lists of any length, put in order without sorting a key as a whole.
-
-    Copies of an entry are counted map-side and travel as one run. ``row_id`` is an
-    integer key of the table, so a block of ids holds about ``block`` runs. Places
-    in the list come from the counts of blocks and periods, and a run that is longer
-    than a cell is cut where cells end. Places are matched on structs of the keys,
-    which compare NULL as equal.
-    """
-    spot = [*keys, period, "_block"]
     runs = (
-        df.groupBy(*keys, period, row_id, entry).agg(F.count("*").alias("_times"))
+        df.withColumn("_shown", F.coalesce(F.col(entry), F.lit(missing)))
+        .groupBy(*keys, period, row_id, "_shown").agg(F.count("*").alias("_times"))
         .withColumn("_block", F.floor(F.col(row_id) / F.lit(block)))
         .select(
-            F.struct(*spot).alias("_spot"), F.col(row_id).alias("_id"),
-            F.col(entry).alias("_entry"), "_times",
+            F.struct(*keys, period, "_block").alias("_spot"), F.col(row_id).alias("_id"),
+            F.col("_shown").alias("_entry"), "_times",
         )
     )
     in_block = Window.partitionBy("_spot").orderBy("_id", "_entry")
     in_block = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted = runs.withColumn("_in_block", F.sum("_times").over(in_block) - F.col("_times"))
 
-    def of_spot(names: Sequence[str]) -> Column:
-        return F.struct(*[F.col("_spot")[n].alias(n) for n in names])
+    def of_spot(names: Sequence[str], *more: Column) -> Column:
+        return F.struct(*[F.col("_spot")[n].alias(n) for n in names], *more)
 
+    group = F.floor(F.col("_spot._block") / F.lit(block)).alias("_group")
     blocks = (
         runs.groupBy("_spot").agg(F.sum("_times").alias("_n"))
-        .withColumn("_month", of_spot([*keys, period]))
+        .withColumn("_in", of_spot([*keys, period], group))
+    )
+    groups = blocks.groupBy("_in").agg(F.sum("_n").alias("_g")).withColumn(
+        "_month", F.struct(*[F.col("_in")[n].alias(n) for n in (*keys, period)])
     )
-    in_period = Window.partitionBy("_month").orderBy(F.col("_spot._block"))
-    over_periods = Window.partitionBy("_key").orderBy(F.col(f"_month.{period}"))
-    months = (
-        blocks.groupBy("_month").agg(F.sum("_n").alias("_m"))
-        .withColumn("_key", F.struct(*[F.col("_month")[k].alias(k) for k in keys]))
-        .select("_month", (F.sum("_m").over(over_periods) - F.col("_m")).alias("_before"))
+    months = groups.groupBy("_month").agg(F.sum("_g").alias("_m")).withColumn(
+        "_key", F.struct(*[F.col("_month")[k].alias(k) for k in keys])
     )
-    starts = (
-        blocks.withColumn("_skip", F.sum("_n").over(in_period) - F.col("_n"))
-        .join(months, "_month")
-        .select("_spot", (F.col("_skip") + F.col("_before")).alias("_at"))
+    months = _before(months, "_key", F.col("_month")[period], "_m", "_of_months")
+    groups = _before(groups, "_month", F.col("_in._group"), "_g", "_of_groups").join(
+        months.select("_month", "_of_months"), "_month"
     )
+    starts = _before(blocks, "_in", F.col("_spot._block"), "_n", "_of_blocks").join(
+        groups.select("_in", "_of_groups", "_of_months"), "_in"
+    ).select("_spot", (F.col("_of_blocks") + F.col("_of_groups") + F.col("_of_months")).alias("_at"))
 
     cell = F.lit(per_cell)
     first = F.col("_at") + F.col("_in_block")

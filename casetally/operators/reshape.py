@@ -8,19 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def values_of(df: DataFrame, column: str, most: int = 1000) -> dict[str, str]:
-    """The values of a code column, each as its own column name.
-
-    For reports whose columns are the codes that occur. Reading stops past ``most``
-    distinct values, which is an error: so many columns are no report.
-    """
-    found = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(most + 1)
-    values = sorted(r[0] for r in found.collect())
-    if len(values) > most:
-        raise ValueError(f"column {column!r} has more than {most} distinct values")
-    return {v: v for v in values}
-
-
 def widen(
     df: DataFrame,
     keys: Sequence[str | Column],
@@ -46,3 +33,20 @@ def widen(
     if rest:
         cells.append(cell(~F.coalesce(listed, F.lit(False))).alias(rest))
     return df.groupBy(*keys).agg(*cells)
+
+
+def widen_all(
+    df: DataFrame, keys: Sequence[str], on: str, value: Column, rest: str
+) -> tuple[DataFrame, list[str]]:
+    """One column per value of ``on`` that occurs, and their names; NULL goes to ``rest``.
+
+    The columns depend on the data, so Spark's pivot looks for them when this is called:
+    the only operator here that runs a job. ``df`` should be counted by then. Spark stops
+    at ``spark.sql.pivotMaxValues``.
+    """
+    named = df.withColumn(on, F.coalesce(F.col(on), F.lit(rest)))
+    wide = named.groupBy(*keys).pivot(on).agg(F.sum(value))
+    found = [c for c in wide.columns if c not in keys and c != rest]
+    last = F.coalesce(F.col(f"`{rest}`"), F.lit(0)) if rest in wide.columns else F.lit(0).cast("bigint")
+    cells = [F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(c) for c in found]
+    return wide.select(*keys, *cells, last.alias(rest)), [*found, rest]

@@ -44,31 +44,15 @@ def in_interval(
     return df.filter((F.col(start_col) >= day(start)) & (F.col(end_col) <= day(end)))
 
 
-BROADCAST_ROWS = 100_000
-
-
-def if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df``, marked for broadcast when it is known to be small.
-
-    Counting stops past ``max_rows``. Spark's own estimate multiplies the sizes of
-    joined tables, so a directory of a few rows can look too large to broadcast and
-    would have the cases shuffled by court. A table past the bound is left alone
-    and joined by shuffle, where Spark splits skewed keys.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def members(
     df: DataFrame, population: DataFrame, key: str = "iep", member: str = "organismo",
-    counted: bool = False,
 ) -> DataFrame:
     """Rows of courts in the population.
 
-    Reports count first and call this with ``counted`` on the few groups left. On
-    rows, the population is broadcast only after its size is checked.
+    Reports count first and call this on the few groups left. On rows, Spark decides by
+    the sizes it knows or measures whether the population is broadcast.
     """
-    courts = population.select(F.col(member).alias(key))
-    return df.join(courts if counted else if_small(courts), key, "left_semi")
+    return df.join(population.select(F.col(member).alias(key)), key, "left_semi")
 
 
 def _codes_of(matters: Sequence[str]) -> str:
@@ -100,9 +84,7 @@ def select_courts(
     )
 
 
-def with_court_names(
-    df: DataFrame, courts: DataFrame, key: str = "organismo", counted: bool = True
-) -> DataFrame:
+def with_court_names(df: DataFrame, courts: DataFrame, key: str = "organismo") -> DataFrame:
     """Add name and district of a court; unknown courts keep NULL there.
 
     Reports call this on counted groups; only listings name single rows.
@@ -110,7 +92,7 @@ def with_court_names(
     names = courts.select(
         F.col("organismo").alias(key), "organismo_descripcion", "circunscripcion"
     )
-    return df.join(names if counted else if_small(names), key, "left")
+    return df.join(names, key, "left")
 
 
 def excluding(df: DataFrame, name: str, pattern: str) -> DataFrame:

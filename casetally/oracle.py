@@ -68,6 +68,7 @@ def _rulings(
     late_sum: str = "",
     closing_date: bool = False,
     select: str | None = None,
+    period: tuple[str, str] = (star.START, star.END),
 ) -> str:
     """The rulings report; ``total`` is 'court', 'all' or None."""
     names = list(late)
@@ -79,7 +80,7 @@ def _rulings(
 WITH {cases}, {_COURTS},
 scoped AS (
   SELECT *, coalesce(fres >= istart AND fres < iend AND coalesce(tres, '') <> '0', FALSE) AS resuelta
-  FROM cases WHERE {where}
+  FROM cases WHERE {where} AND istart >= DATE '{period[0]}' AND iend <= DATE '{period[1]}'
 ),
 rulings AS (
   SELECT {court} AS organismo{', istart, iend' if monthly else ''},
@@ -94,7 +95,7 @@ rulings AS (
 pending AS (
   SELECT iep AS organismo{", CAST(date_trunc('month', fdesp) AS DATE) AS mes" if monthly else ''},
     count(*) AS causas_adespacho
-  FROM scoped WHERE fdesp >= DATE '1995-01-01' AND fdesp < DATE '2002-01-01' GROUP BY ALL
+  FROM scoped WHERE fdesp >= DATE '{period[0]}' AND fdesp < DATE '{period[1]}' GROUP BY ALL
 ),
 detail AS (
   SELECT c.circunscripcion, r.organismo, c.organismo_descripcion{', r.istart, r.iend' if monthly else ''},
@@ -152,6 +153,12 @@ ORACLE["rulings_appeal_variant"] = _rulings(
                        "count(*) FILTER (resuelta AND fres > fvenc1 AND NOT recirc)"},
     True, "court",
 )
+ORACLE["rulings_appeal_null_flag"] = ORACLE["rulings_labour_higher"] = ORACLE["rulings_single_deadline"]
+_NOT_LEFT_OUT = "iep NOT IN (" + ", ".join(f"'{c}'" for c in star.LEFT_OUT) + ")"
+ORACLE["rulings_some_courts"] = _rulings(_TWO_LATE, True, "court", where=_NOT_LEFT_OUT)
+ORACLE["rulings_single_month"] = _rulings(
+    _TWO_LATE, True, "all", closing_date=True, period=("1997-03-01", "1997-04-01")
+)
 ORACLE["rulings_printed"] = _rulings(
     _ADMIN_LATE, True, "court",
     select='circunscripcion AS "circunscripción", organismo_descripcion AS organismo, mes, '
@@ -167,7 +174,7 @@ FROM cases GROUP BY 1, 2"""
 
 
 def _by_type(labels: dict[str, str], default: str, keep_null: bool, name: str = "tipo_resolucion",
-             classes: str = "'S'", override: str = "") -> str:
+             classes: str = "'S'", override: str = "", where: str = "TRUE") -> str:
     code = "(tres IS NULL OR tres <> '0')" if keep_null else "tres <> '0'"
     kind = _case("tres", labels, f"'{default}'")
     if override:
@@ -177,7 +184,7 @@ WITH {_PLAIN}, {_COURTS},
 counted AS (
   SELECT circunscripcion, organismo_descripcion, {kind} AS {name}, count(*) AS cantidad
   FROM cases LEFT JOIN courts ON iep = organismo
-  WHERE fres IS NOT NULL AND upper(clase) IN ({classes}) AND fres >= istart AND fres < iend AND {code}
+  WHERE {where} AND fres IS NOT NULL AND upper(clase) IN ({classes}) AND fres >= istart AND fres < iend AND {code}
   GROUP BY 1, 2, 3
 )
 SELECT *, FALSE AS is_total FROM counted
@@ -187,6 +194,9 @@ FROM counted GROUP BY 1, 2"""
 
 
 ORACLE["rulings_by_type_keep_null"] = _by_type(codes.CIVIL_RULINGS, "Sent.Definitiva", True)
+ORACLE["rulings_by_type_some_courts"] = _by_type(
+    codes.CIVIL_RULINGS, "Sent.Definitiva", True, where=_NOT_LEFT_OUT
+)
 ORACLE["rulings_by_type_drop_null"] = _by_type(codes.CIVIL_THIRD_RULINGS, "sin dato", False)
 ORACLE["rulings_by_type_labour"] = _by_type(codes.LABOUR_RULINGS, "Sent.Definitiva", True)
 ORACLE["rulings_by_type_labour_third"] = _by_type(codes.LABOUR_THIRD_RULINGS, "sin dato", False)
@@ -195,32 +205,39 @@ ORACLE["rulings_by_type_override"] = _by_type(
 )
 
 
-def _listing(two: bool) -> str:
-    due = "fvenc1, fvenc2" if two else "fvenc1 AS fvenc"
+def _listing(two: bool, where: str = "TRUE", show_due: bool = True, total: bool = True,
+             first_only: bool = False) -> str:
+    due = ("fvenc1, fvenc2," if two else "fvenc1 AS fvenc,") if show_due else ""
     ok = "(tres IS NULL OR tres <> '0') AND fres >= istart AND fres < iend"
-    first = "fres > fvenc1" + (" AND fres <= fvenc2" if two else "")
+    first = "fres > fvenc1" + (" AND fres <= fvenc2" if two and not first_only else "")
     second = f"CASE WHEN fres > fvenc2 AND {ok} THEN 1 END AS res_luego2venc," if two else ""
+    if first_only:
+        second = "CAST(NULL AS INTEGER) AS res_luego2venc,"
     sums = ["med_mej_prov", "atermino", "res_luego1venc",
             *(["res_luego2venc"] if two else []), "inconsistencia2venc"]
     return f"""
 WITH {_PLAIN}, {_COURTS},
 listing AS (
   SELECT circunscripcion, organismo_descripcion, CAST(month(istart) AS INTEGER) AS mes_orden,
-    {_month('istart')} AS mes, nro, fdesp AS fecha_despacho, {due}, fres AS fecha_resolucion,
+    {_month('istart')} AS mes, nro, fdesp AS fecha_despacho, {due} fres AS fecha_resolucion,
     CASE WHEN tres = '0' THEN 1 END AS med_mej_prov,
     CASE WHEN fres <= fvenc1 AND {ok} THEN 1 END AS atermino,
     CASE WHEN {first} AND {ok} THEN 1 END AS res_luego1venc, {second}
     CAST(NULL AS INTEGER) AS inconsistencia2venc
-  FROM cases LEFT JOIN courts ON iep = organismo WHERE fres IS NOT NULL
+  FROM cases LEFT JOIN courts ON iep = organismo WHERE fres IS NOT NULL AND {where}
 )
-SELECT *, FALSE AS is_total FROM listing
+""" + (f"""SELECT *, FALSE AS is_total FROM listing
 UNION ALL
-SELECT NULL, NULL, NULL, NULL, NULL, NULL, {'NULL, NULL' if two else 'NULL'}, NULL,
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, {('NULL, NULL,' if two else 'NULL,') if show_due else ''} NULL,
   {', '.join(f'coalesce(CAST(sum({c}) AS BIGINT), 0)' for c in sums)}, TRUE FROM listing"""
+           if total else "SELECT * FROM listing")
 
 
 ORACLE["case_listing_two_deadlines"] = _listing(True)
 ORACLE["case_listing_one_deadline"] = _listing(False)
+ORACLE["case_listing_labour_higher"] = _listing(False, show_due=False)
+ORACLE["case_listing_some_courts"] = _listing(True, _NOT_LEFT_OUT, total=False)
+ORACLE["case_listing_third_instance"] = _listing(True, _NOT_LEFT_OUT, first_only=True)
 ORACLE["case_inconsistency"] = f"""
 WITH {_PLAIN}, {_COURTS},
 marked AS (
@@ -260,6 +277,15 @@ WITH {_MEDIATIONS}
 SELECT tipo_circ AS circunscripcion, {_OUTCOME_COUNTS}, FALSE AS is_total
 FROM mediations GROUP BY tipo_circ
 UNION ALL SELECT 'Total', {_OUTCOME_COUNTS}, TRUE FROM mediations"""
+ORACLE["mediation_some_courts"] = f"""
+WITH {_MEDIATIONS}, held AS (SELECT * FROM mediations WHERE {_NOT_LEFT_OUT})
+SELECT tipo_circ AS circunscripcion, {_OUTCOME_COUNTS}, FALSE AS is_total FROM held GROUP BY tipo_circ
+UNION ALL SELECT 'Total', {_OUTCOME_COUNTS}, TRUE FROM held"""
+ORACLE["mediation_single_month"] = f"""
+WITH {_MEDIATIONS}, held AS (SELECT * FROM mediations WHERE istart = DATE '1997-03-01')
+SELECT tipo_circ AS circunscripcion, istart AS mes_inicio, 'marzo' AS mes, 3 AS mes_orden,
+  {_OUTCOME_COUNTS}, iend - 1 AS fecha, FALSE AS is_total FROM held GROUP BY tipo_circ, istart, iend
+UNION ALL SELECT 'Total', NULL, 'Total', 13, {_OUTCOME_COUNTS}, NULL, TRUE FROM held"""
 _ALL_OUTCOMES = ", ".join(
     f"count(*) FILTER (tres_disc = '{o}') AS \"{o}\""
     for o in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
@@ -371,6 +397,11 @@ SELECT iep, nro, caratula, tproc, finicio FROM older
 UNION
 SELECT iep, nro, caratula, tproc, finicio FROM source WHERE NOT older AND tproc NOT LIKE '%OFICIO%'"""
 
+ORACLE["started_some_courts"] = f"""
+WITH started AS ({ORACLE["started_union_distinct"].replace("FROM orders", f"""FROM orders
+  WHERE CAST(o_custkey % 25 AS VARCHAR) NOT IN {star.LEFT_OUT}""")})
+SELECT * FROM started"""
+
 _LOG = """log AS (
   SELECT event_id AS id_submission, CAST(user_id AS VARCHAR) AS iep, event_type AS operation,
     CAST(date_trunc('month', ts) - to_months(CAST(event_id % 24 AS INTEGER)) AS DATE) AS istart,
@@ -379,7 +410,7 @@ _LOG = """log AS (
 )"""
 
 
-def _tracking(per_cell: int) -> str:
+def _tracking(per_cell: int, day: str = "dia", where: str = "TRUE") -> str:
     return f"""
 WITH {_LOG}, {_SUBMITTING},
 operations AS (
@@ -388,11 +419,11 @@ operations AS (
 ),
 placed AS (
   SELECT *, row_number() OVER (PARTITION BY iep, operation ORDER BY istart, id_submission) - 1 AS lugar
-  FROM log WHERE enabled
+  FROM log WHERE enabled AND {where}
 ),
 listed AS (
   SELECT iep, operation, lugar // {per_cell} + 1 AS part, count(*) AS presentaciones,
-    string_agg(CAST(month(istart) AS VARCHAR) || ' (' || id_submission || '/' || dia || ')', ', '
+    string_agg(CAST(month(istart) AS VARCHAR) || ' (' || id_submission || '/' || {day} || ')', ', '
       ORDER BY lugar) AS periodos_informados
   FROM placed GROUP BY 1, 2, 3
 ),
@@ -410,6 +441,19 @@ FROM named GROUP BY 1, 2"""
 
 ORACLE["submission_tracking"] = _tracking(1000)
 ORACLE["submission_tracking_parts"] = _tracking(5)
+ORACLE["submission_tracking_gaps"] = _tracking(
+    20, "CASE WHEN id_submission % 7 = 0 THEN '?' ELSE dia END",
+    "iep IN (SELECT organismo FROM courts WHERE regexp_matches(circunscripcion, 'NATION_[0-9]$'))",
+)
+ORACLE["pending_by_schedule"] = f"""
+WITH {_LOG}, {_SUBMITTING},
+operations(operation) AS (VALUES ('view'), ('click'), ('signup'), ('purchase'), ('closing')),
+months AS (
+  SELECT CAST(m AS DATE) AS mes_inicio
+  FROM generate_series(DATE '2022-01-01', DATE '2024-01-01', INTERVAL 1 MONTH) AS t(m)
+)
+SELECT organismo AS iep, operation, mes_inicio FROM courts, operations, months
+EXCEPT SELECT iep, operation, istart FROM log WHERE enabled"""
 ORACLE["has_submission"] = f"""
 WITH {_LOG}
 SELECT coalesce(bool_or(regexp_matches(operation, 'click|view')), FALSE) AS presentada
@@ -573,6 +617,19 @@ shares AS (
 )
 SELECT *, (codigo + codigo_o_vacio + resolucion + despacho_en_intervalo) / 4 AS indice_calidad
 FROM shares"""
+ORACLE["valid_events"] = """
+WITH h AS (
+  SELECT CAST(user_id AS VARCHAR) AS iep, event_id AS no,
+    event_id % 5 <> 0 AND event_id % 11 <> 0 AND event_id % 13 <> 0 AND event_id % 17 <> 0 AS vale
+  FROM events
+),
+shares AS (
+  SELECT iep, count(*) AS filas, count(*) FILTER (vale) / count(*) AS audiencia,
+    count(*) FILTER (vale AND no % 3 <> 0) / count(*) AS audiencia_penal,
+    count(*) FILTER (no % 17 <> 0 AND no % 4 = 0 AND no % 19 <> 0) / count(*) AS sobreseimiento
+  FROM h GROUP BY 1
+)
+SELECT *, (audiencia + audiencia_penal + sobreseimiento) / 3 AS indice_calidad FROM shares"""
 ORACLE["field_conformity"] = """
 SELECT event_type,
   count(*) FILTER (regexp_full_match(json_extract_string(props, '$.k'), '[0-9]+')) AS conformes,

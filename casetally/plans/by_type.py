@@ -70,7 +70,7 @@ def rulings_by_type(
         .groupBy(F.col("iep").alias("organismo"), kind.alias(name))
         .agg(F.count("*").alias("cantidad"))
     )
-    counted = members(counted, population, key="organismo", counted=True)
+    counted = members(counted, population, key="organismo")
     court = ["circunscripcion", "organismo_descripcion"]
     return with_total_rows(
         with_court_names(counted, courts), [*court, name], ["cantidad"], group=court

@@ -4,39 +4,28 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casetally.functions.codes import remap
 from casetally.functions.dates import month_label, with_dates
 from casetally.functions.timing import INTERIM_CODE, add_ignoring_null, one_or_null, timing
 from casetally.operators.scope import dispatch_column, in_interval, members, with_court_names
-from casetally.operators.totals import with_grand_total
 
 HIGHER_COURT = "sal"
 MARKS = ("med_mej_prov", "atermino", "res_luego1venc", "res_luego2venc", "inconsistencia2venc")
 
 
-def case_listing(
-    cases: DataFrame,
-    population: DataFrame,
-    courts: DataFrame,
-    start: str | dt.date,
-    end: str | dt.date,
-    due: tuple[str, ...] = ("fvenc1", "fvenc2"),
-    show_due: bool = True,
-    total: bool = True,
-) -> DataFrame:
-    """Every ruled case with its marks: interim, on time, late, inconsistent.
+def _ruled_cases(
+    cases: DataFrame, population: DataFrame, start: str | dt.date, end: str | dt.date,
+    due: tuple[str, ...],
+) -> tuple[DataFrame, dict[str, Column], str]:
+    """Ruled cases of the period, their marks, and the name of the dispatch column.
 
-    A narrow plan: the population and the directory are small tables next to the
-    cases. With two deadlines a population of higher courts uses the first one
-    only; that is asked once of the population, not of the cases. The total row
-    is summed before the directory is joined.
+    With two deadlines a population of higher courts uses the first one only; that is
+    asked once of the population, not of the cases.
     """
-    scoped = members(in_interval(cases, start, end), population).withColumn(
-        "organismo", remap(F.col("iep"))
-    )
+    scoped = in_interval(cases, start, end)
     dispatched = dispatch_column(scoped)
     scoped = with_dates(scoped, "fres", *due, dispatched)
     ruled, dues = F.col("fres"), [F.col(c) for c in due]
@@ -57,19 +46,54 @@ def case_listing(
     )))
     if len(dues) == 1:
         del marks["res_luego2venc"]
-    rows = scoped.filter(ruled.isNotNull()).select(
-        "organismo",
+    return scoped.filter(ruled.isNotNull()), marks, dispatched
+
+
+def case_listing(
+    cases: DataFrame,
+    population: DataFrame,
+    courts: DataFrame,
+    start: str | dt.date,
+    end: str | dt.date,
+    due: tuple[str, ...] = ("fvenc1", "fvenc2"),
+    show_due: bool = True,
+    total: bool = False,
+) -> DataFrame:
+    """Every ruled case with its marks: interim, on time, late, inconsistent.
+
+    One narrow pass: the population and the directory are small tables next to the
+    cases. ``total`` appends the row of :func:`listing_total`, which counts marks in a
+    pass of its own.
+    """
+    scoped, marks, dispatched = _ruled_cases(cases, population, start, end, due)
+    rows = members(scoped, population).select(
+        remap(F.col("iep")).alias("organismo"),
         F.month("data_interval_start").alias("mes_orden"),
         month_label(F.col("data_interval_start")).alias("mes"),
         "nro",
         F.col(dispatched).alias("fecha_despacho"),
         *(due if show_due else ()),
-        ruled.alias("fecha_resolucion"),
+        F.col("fres").alias("fecha_resolucion"),
         *[m.alias(name) for name, m in marks.items()],
     )
-    if total:
-        rows = with_grand_total(rows, list(marks))
     columns = [c for c in rows.columns if c != "organismo"]
-    return with_court_names(rows, courts, counted=False).select(
+    listing = with_court_names(rows, courts).select(
         "circunscripcion", "organismo_descripcion", *columns
     )
+    if not total:
+        return listing
+    return listing.withColumn("is_total", F.lit(False)).unionByName(
+        listing_total(cases, population, start, end, due), allowMissingColumns=True
+    )
+
+
+def listing_total(
+    cases: DataFrame, population: DataFrame, start: str | dt.date, end: str | dt.date,
+    due: tuple[str, ...] = ("fvenc1", "fvenc2"),
+) -> DataFrame:
+    """The total row of a listing: marks counted per court, the population on the counts."""
+    scoped, marks, _ = _ruled_cases(cases, population, start, end, due)
+    counted = scoped.groupBy("iep").agg(*[F.count(m).alias(name) for name, m in marks.items()])
+    return members(counted, population).agg(
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in marks]
+    ).withColumn("is_total", F.lit(True))

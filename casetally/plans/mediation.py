@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from casetally.functions.dates import TOTAL_LABEL, covers_one_month, day_before, month_label
 from casetally.operators.ordering import calendar_order
-from casetally.operators.reshape import values_of, widen
+from casetally.operators.reshape import widen, widen_all
 from casetally.operators.scope import in_interval, members
 from casetally.operators.totals import row_total, with_total_rows
 
@@ -20,13 +20,14 @@ _INTERVAL = ("data_interval_start", "data_interval_end")
 def mediation_indicators(mediations: DataFrame, monthly: bool = True) -> DataFrame:
     """Mediations and their median duration in days per district and outcome.
 
-    Durations are whole days, so the exact median keeps one count per distinct day
-    and merges them map-side.
+    Durations are whole days: mediations are counted per day first, by a plain hash
+    aggregate, and the exact median is taken over the days with their counts.
     """
     keys = ["tipo_circ", "tres_disc", *(_INTERVAL if monthly else ())]
-    return mediations.groupBy(*keys).agg(
-        F.count("*").alias("resultado"),
-        F.median("duracion").alias("mediana_durac_inic_fin"),
+    days = mediations.groupBy(*keys, "duracion").agg(F.count("*").alias("_n"))
+    return days.groupBy(*keys).agg(
+        F.sum("_n").alias("resultado"),
+        F.percentile("duracion", 0.5, F.col("_n")).alias("mediana_durac_inic_fin"),
     )
 
 
@@ -43,22 +44,23 @@ def mediation_report(
     """Mediations with one column per outcome, a total column and total rows.
 
     ``outcomes`` maps outcome codes to columns; outcomes not listed are counted in
-    ``rest``. Left out, the outcomes are those that occur in the period. Cases are
-    counted straight into the wide form, per court when a population is given, which
-    is then applied to the counts.
+    ``rest``, so that the schema is fixed. Left out, the columns are the outcomes that
+    occur in the period, which Spark's own pivot finds with a job over the counts.
+    Cases are counted per court when a population is given, and only counts are
+    restricted, pivoted and totalled.
     """
     scoped = in_interval(mediations, start, end)
-    if outcomes is None:
-        outcomes = values_of(scoped, "tres_disc")
     keys = ["circunscripcion", *(_INTERVAL if monthly else ())]
     court = ["iep"] if population is not None else []
     scoped = scoped.withColumnRenamed("tipo_circ", "circunscripcion")
-    wide = widen(scoped, [*keys, *court], "tres_disc", outcomes, rest=rest)
-    values = [*outcomes.values(), rest]
+    counted = scoped.groupBy(*keys, *court, "tres_disc").agg(F.count("*").alias("_n"))
     if population is not None:
-        wide = members(wide, population, counted=True).groupBy(*keys).agg(
-            *[F.sum(v).alias(v) for v in values]
-        )
+        counted = members(counted, population)
+    if outcomes is None:
+        wide, values = widen_all(counted, keys, "tres_disc", F.col("_n"), rest)
+    else:
+        wide = widen(counted, keys, "tres_disc", outcomes, F.col("_n"), rest)
+        values = [*outcomes.values(), rest]
     wide = wide.withColumn("total", row_total(*values))
     measures = [*values, "total"]
     if not monthly:

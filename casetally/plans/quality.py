@@ -30,10 +30,25 @@ def valid_ruling(
     return dates[0] & dates[1] & dates[2] & F.coalesce(F.trim(kind) != "", F.lit(False))
 
 
-def valid_hearing(df: DataFrame) -> Column:
-    """A hearing counts as declared when date, type, state, result and lengths are there."""
+# Fixed value: the ruling type of a dismissal.
+DISMISSAL = "6"
+
+
+def valid_dismissal(df: DataFrame, ruled: str = "fres", kind: str = "tres", persons: str = "personas") -> Column:
+    """A dismissal counts as declared with its date, its type and whom it reaches."""
+    return (
+        date_of(df, ruled).isNotNull() & F.coalesce(F.trim(kind) == DISMISSAL, F.lit(False))
+        & conforms(F.col(persons).cast("string"))
+    )
+
+
+def valid_hearing(df: DataFrame, penal: bool = False) -> Column:
+    """A hearing counts as declared when date, type, state, result and lengths are there.
+
+    In penal listings the judge has to be given as well.
+    """
     given = F.lit(True)
-    for c in ("ta", "ra", "esta"):
+    for c in ("ta", "ra", "esta", *(["jaud"] if penal else [])):
         given = given & F.coalesce(F.trim(c) != "", F.lit(False))
     for c in ("duracm", "duracb"):
         given = given & conforms(F.col(c).cast("string"))

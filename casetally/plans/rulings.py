@@ -65,11 +65,10 @@ def ruling_counts(
     """Indicators per court (and reporting interval), with its pending cases.
 
     Rulings are counted by reporting interval and pending cases by the month of
-    their dispatch. Both come out of one pass over the cases: grouping sets give
-    the two keys, and the pending count then moves to the rulings of its month
-    over the few counted rows. Months are whole dates, so two years never mix.
-    The population and the merged courts are applied to the counts as well, so no
-    case is ever shuffled by its court.
+    their dispatch. Cases are counted once, by court, interval and month of dispatch;
+    the population and then the grouping sets of both keys are applied to the counts,
+    and the pending count moves to the rulings of its month. Months are whole dates,
+    so two years never mix. No case is doubled or shuffled by its court.
     """
     scoped = in_interval(cases, start, end)
     if settings.exclude:
@@ -91,7 +90,7 @@ def ruling_counts(
         again = F.col(settings.appeal_split)
         first = settings.late_columns[0]
         measures[first] = flags.after_first & again
-        measures["_late_other"] = flags.after_first & ~again
+        measures["_late_other"] = flags.after_first & ~F.coalesce(again, F.lit(False))
 
     interval = ["data_interval_start", "data_interval_end"] if monthly else []
     narrow = scoped.select(
@@ -105,15 +104,16 @@ def ruling_counts(
     if monthly:
         keys = ["iep", *interval, "_dispatch_month"]
         sets = [[F.col(k) for k in ("iep", *interval)], [F.col("iep"), F.col("_dispatch_month")]]
-        counted = narrow.groupingSets(sets, *keys).agg(
-            (F.grouping("_dispatch_month") == 1).alias("_is_ruling"), *counts
+        once = members(narrow.groupBy(*keys).agg(*counts), population)
+        counted = once.groupingSets(sets, *keys).agg(
+            (F.grouping("_dispatch_month") == 1).alias("_is_ruling"),
+            *[F.sum(c).alias(c) for c in ("_pending", *measures)],
         )
     else:
         keys = ["iep"]
-        counted = narrow.groupBy(*keys).agg(*counts).withColumn(
+        counted = members(narrow.groupBy(*keys).agg(*counts), population).withColumn(
             "_is_ruling", F.explode(F.array(F.lit(True), F.lit(False)))
         )
-    counted = members(counted, population, counted=True)
 
     is_ruling = F.col("_is_ruling")
     if settings.merged:
@@ -207,4 +207,4 @@ def pending_by_month(
         )
         .withColumn("mes", month_label(F.col("mes_inicio")))
     )
-    return members(counted, population, counted=True)
+    return members(counted, population)

@@ -29,6 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 EXCLUDED = "VIOLENCIA"
+MONTH = ("1997-03-01", "1997-04-01")
 MERGED = {"21": "1", "22": "2", "23": "3", "20": "3"}
 TYPE_LABELS = {"1": "Conciliación", "2": "Transacción", "4": "Desistimiento"}
 CLASS_LABELS = {"A": "Sent_Quiebra"}
@@ -42,11 +43,12 @@ def query(fn: Query) -> Query:
 
 
 def _rulings(spark: SparkSession, sf_dir: str, settings: rulings.RulingsSettings,
-             monthly: bool = True, closing_date: bool = False, **view: bool) -> DataFrame:
+             monthly: bool = True, closing_date: bool = False, without: tuple[str, ...] = (),
+             start: str = star.START, end: str = star.END, **view: bool) -> DataFrame:
     return rulings.rulings_report(
-        star.court_cases(spark, sf_dir, star.START, star.END, **view),
-        star.population(spark, sf_dir), star.court_directory(spark, sf_dir),
-        star.START, star.END, settings, monthly, closing_date,
+        star.court_cases(spark, sf_dir, start, end, **view),
+        star.population(spark, sf_dir, without), star.court_directory(spark, sf_dir),
+        start, end, settings, monthly, closing_date,
     )
 
 
@@ -87,6 +89,27 @@ def rulings_appeal_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rulings(spark, sf_dir, rulings.LABOUR_APPEAL)
 
 
+@query
+def rulings_appeal_null_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late rulings without an appeal flag are late rulings all the same."""
+    return _rulings(spark, sf_dir, rulings.LABOUR_APPEAL, flag_gaps=True, higher_court=True)
+
+
+@query
+def rulings_labour_higher(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rulings(spark, sf_dir, rulings.LABOUR, higher_court=True)
+
+
+@query
+def rulings_some_courts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rulings(spark, sf_dir, rulings.CIVIL, without=star.LEFT_OUT)
+
+
+@query
+def rulings_single_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rulings(spark, sf_dir, rulings.CIVIL, closing_date=True, start=MONTH[0], end=MONTH[1])
+
+
 @query
 def rulings_from_text_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rulings(spark, sf_dir, rulings.CIVIL, monthly=False, text_dates=True)
@@ -105,10 +128,11 @@ def pending_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _by_type(spark: SparkSession, sf_dir: str, settings: by_type.TypeSettings) -> DataFrame:
+def _by_type(spark: SparkSession, sf_dir: str, settings: by_type.TypeSettings,
+             without: tuple[str, ...] = ()) -> DataFrame:
     return by_type.rulings_by_type(
         star.court_cases(spark, sf_dir, star.START, star.END),
-        star.population(spark, sf_dir), star.court_directory(spark, sf_dir),
+        star.population(spark, sf_dir, without), star.court_directory(spark, sf_dir),
         star.START, star.END, settings,
     )
 
@@ -118,6 +142,11 @@ def rulings_by_type_keep_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_type(spark, sf_dir, by_type.CIVIL_TYPES)
 
 
+@query
+def rulings_by_type_some_courts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_type(spark, sf_dir, by_type.CIVIL_TYPES, star.LEFT_OUT)
+
+
 @query
 def rulings_by_type_drop_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_type(spark, sf_dir, by_type.CIVIL_THIRD_TYPES)
@@ -143,11 +172,12 @@ def rulings_by_type_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _listing(spark: SparkSession, sf_dir: str, **options: object) -> DataFrame:
+def _listing(spark: SparkSession, sf_dir: str, without: tuple[str, ...] = (),
+             higher_court: bool = False, total: bool = True, **options: object) -> DataFrame:
     return case_listing(
-        star.court_cases(spark, sf_dir, star.START, star.END),
-        star.population(spark, sf_dir), star.court_directory(spark, sf_dir),
-        star.START, star.END, **options,
+        star.court_cases(spark, sf_dir, star.START, star.END, higher_court=higher_court),
+        star.population(spark, sf_dir, without), star.court_directory(spark, sf_dir),
+        star.START, star.END, total=total, **options,
     )
 
 
@@ -165,6 +195,29 @@ def case_listing_one_deadline(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def case_listing_labour_higher(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labour layout, without due date, over higher courts."""
+    return _listing(spark, sf_dir, higher_court=True, due=("fvenc",), show_due=False)
+
+
+@query
+def case_listing_some_courts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A plain listing: one pass, no total row."""
+    return _listing(spark, sf_dir, without=star.LEFT_OUT, total=False)
+
+
+@query
+def case_listing_third_instance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With courts of third instance in the population only the first deadline counts."""
+    return case_listing(
+        star.third_instance(star.court_cases(spark, sf_dir, star.START, star.END), "iep"),
+        star.third_instance(star.population(spark, sf_dir, star.LEFT_OUT), "organismo"),
+        star.third_instance(star.court_directory(spark, sf_dir), "organismo"),
+        star.START, star.END, total=True,
+    )
+
+
 @query
 def case_inconsistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Due dates in the wrong order: a ruling between them is on time and late."""
@@ -173,7 +226,7 @@ def case_inconsistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     listing = case_listing(
         cases, star.population(spark, sf_dir), star.court_directory(spark, sf_dir),
-        star.START, star.END, total=False,
+        star.START, star.END,
     )
     return listing.groupBy("circunscripcion", "organismo_descripcion", "mes_orden").agg(
         F.count("*").alias("causas"),
@@ -199,6 +252,22 @@ def mediation_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def mediation_some_courts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mediation.mediation_report(
+        star.mediations(spark, sf_dir), star.population(spark, sf_dir, star.LEFT_OUT),
+        star.START, star.END, OUTCOMES, monthly=False,
+    )
+
+
+@query
+def mediation_single_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mediation.mediation_report(
+        star.mediations(spark, sf_dir), star.population(spark, sf_dir), *MONTH, OUTCOMES,
+        closing_date=True,
+    )
+
+
 @query
 def mediation_all_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return printed(mediation.mediation_report(
@@ -274,12 +343,20 @@ def started_union_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def started_some_courts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return started_cases(
+        star.started_source(spark, sf_dir, True), star.started_source(spark, sf_dir, False),
+        star.population(spark, sf_dir, star.LEFT_OUT), star.START, star.END, cut_over="1998-07-01",
+    )
+
+
 @query
 def submission_tracking(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = submissions.submission_tracking(
         star.submission_log(spark, sf_dir), star.submitting_population(spark, sf_dir),
         star.submitting_courts(spark, sf_dir), star.operation_directory(spark),
-        star.LOG_START, star.LOG_END,
+        star.LOG_START, star.LOG_END, per_cell=1000,
     )
     return in_report_order(
         report, "circunscripcion", "organismo_descripcion", "is_total", "operacion_descripcion",
@@ -297,6 +374,27 @@ def submission_tracking_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def submission_tracking_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some courts only, and submissions whose time is unknown."""
+    return submissions.submission_tracking(
+        star.submission_log(spark, sf_dir, gaps=True),
+        star.submitting_population(spark, sf_dir, "NATION_[0-9]$"),
+        star.submitting_courts(spark, sf_dir), star.operation_directory(spark),
+        star.LOG_START, star.LOG_END, per_cell=20,
+    )
+
+
+@query
+def pending_by_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every operation is due from every court of the directory, also if it never came."""
+    return submissions.pending_submissions(
+        star.submission_log(spark, sf_dir),
+        submissions.scheduled(star.submitting_courts(spark, sf_dir), [*star.OPERATION_NAMES, "closing"]),
+        star.LOG_START, star.LOG_END,
+    )
+
+
 @query
 def has_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
     return submissions.has_submission(
@@ -457,7 +555,7 @@ def columns_by_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def quality_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cases = star.court_cases(spark, sf_dir, star.START, star.END)
+    cases = star.court_cases(spark, sf_dir)
     rules = {
         "codigo": quality.conforms(F.col("tres")),
         "codigo_o_vacio": quality.conforms(F.col("tres"), optional=True),
@@ -467,6 +565,18 @@ def quality_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_index(cases, rules, ["iep", "data_interval_start"])
 
 
+@query
+def valid_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hearings of both forms and dismissals that count as declared."""
+    hearings = star.hearings(spark, sf_dir)
+    rules = {
+        "audiencia": quality.valid_hearing(hearings),
+        "audiencia_penal": quality.valid_hearing(hearings, penal=True),
+        "sobreseimiento": quality.valid_dismissal(hearings, ruled="fea"),
+    }
+    return quality.quality_index(hearings, rules, ["iep"])
+
+
 @query
 def field_conformity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
@@ -489,14 +599,14 @@ def duplicate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def out_of_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cases = star.court_cases(spark, sf_dir, star.START, star.END)
+    cases = star.court_cases(spark, sf_dir)
     return quality.outside_interval(cases, "fdesp").groupBy("iep").agg(F.count("*").alias("fuera"))
 
 
 @query
 def within_business_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.share_within_business_days(
-        star.court_cases(spark, sf_dir, star.START, star.END), ["iep"], 50, holidays=HOLIDAYS
+        star.court_cases(spark, sf_dir), ["iep"], 50, holidays=HOLIDAYS
     )
 
 

@@ -6,7 +6,8 @@
 
 The folder holds ``operations`` (partitioned by operation and reporting month),
 ``courts``, ``operation_names``, ``submissions``, ``movements``, ``posts`` and
-``persons`` as Parquet. Every method returns a lazy DataFrame in report order. The
+``persons`` as Parquet. Every method returns a lazy DataFrame in report order; only
+:meth:`Reports.mediation` without given outcomes runs a job to find its columns. The
 counted reports are small; a case listing is not, and ``ordered=False`` saves its sort.
 """
 
@@ -22,16 +23,17 @@ from pyspark.sql import types as T
 from casetally import schemas
 from casetally.functions.classify import classify
 from casetally.functions.codes import remap
-from casetally.functions.dates import covers_one_month
+from casetally.functions.dates import covers_one_month, period_label
 from casetally.operators.ordering import in_report_order
 from casetally.operators.scope import select_courts
 from casetally.plans import (
-    by_type, case_listing, corrections, indicators, mediation, movements, rulings, staff, started,
-    submissions,
+    by_type, case_listing, corrections, indicators, mediation, movements, quality, rulings, staff,
+    started, submissions, summary,
 )
 from casetally.plans.indicators import MEDIATION_OPERATION
 from casetally.plans.reallocation import reallocate
 from casetally.sources import readers
+from casetally.sources.hearings import exploded_parties, typed_hearings
 
 Day = str | dt.date
 
@@ -83,12 +85,18 @@ class Reports:
                              closing_date)
 
     def rulings_labour(self, population: DataFrame, start: Day, end: Day, monthly: bool = True,
-                       closing_date: bool = False, operation: str | None = None) -> DataFrame:
-        return self._rulings(rulings.LABOUR, schemas.RULINGS_ONE_DEADLINE, operation, population,
+                       closing_date: bool = False, operation: str | None = None,
+                       higher_court: bool = False) -> DataFrame:
+        return self._rulings(rulings.LABOUR, self._labour(higher_court), operation, population,
                              start, end, monthly, closing_date)
 
+    @staticmethod
+    def _labour(higher_court: bool) -> T.StructType:
+        return schemas.RULINGS_ONE_DEADLINE_HIGHER_COURT if higher_court else schemas.RULINGS_ONE_DEADLINE
+
     def rulings_labour_appeal(self, population: DataFrame, start: Day, end: Day, monthly: bool = True,
                               closing_date: bool = False, operation: str | None = None) -> DataFrame:
+        """Appeals come from higher courts only, which keep ``fdesp1``."""
         return self._rulings(rulings.LABOUR_APPEAL, schemas.RULINGS_APPEAL, operation, population,
                              start, end, monthly, closing_date)
 
@@ -161,7 +169,8 @@ class Reports:
     def _cases(self, operation: str, schema: T.StructType, population: DataFrame, start: Day,
                end: Day, due: tuple[str, ...], show_due: bool, ordered: bool) -> DataFrame:
         listing = case_listing.case_listing(
-            self.operation(operation, schema), population, self.courts(), start, end, due, show_due)
+            self.operation(operation, schema), population, self.courts(), start, end, due, show_due,
+            total=True)
         if not ordered:
             return listing
         return in_report_order(
@@ -176,8 +185,9 @@ class Reports:
                            ordered)
 
     def cases_labour(self, population: DataFrame, start: Day, end: Day,
-                     operation: str = "CADR1L", ordered: bool = True) -> DataFrame:
-        return self._cases(operation, schemas.RULINGS_ONE_DEADLINE, population, start, end,
+                     operation: str = "CADR1L", higher_court: bool = False,
+                     ordered: bool = True) -> DataFrame:
+        return self._cases(operation, self._labour(higher_court), population, start, end,
                            ("fvenc",), False, ordered)
 
     def cases_administrative(self, population: DataFrame, start: Day, end: Day,
@@ -236,10 +246,11 @@ class Reports:
 
     # --- submissions and staff ---
 
-    def submission_tracking(self, population: DataFrame, start: Day, end: Day) -> DataFrame:
+    def submission_tracking(self, population: DataFrame, start: Day, end: Day,
+                            per_cell: int) -> DataFrame:
         names = self._stored("operation_names", schemas.OPERATIONS)
         report = submissions.submission_tracking(
-            self.submissions(), population, self.courts(), names, start, end)
+            self.submissions(), population, self.courts(), names, start, end, per_cell)
         return in_report_order(
             report, "circunscripcion", "organismo_descripcion", "is_total",
             "operacion_descripcion", spread=("iep", "part"),
@@ -251,6 +262,30 @@ class Reports:
     def pending_submissions(self, expected: DataFrame, start: Day, end: Day) -> DataFrame:
         return submissions.pending_submissions(self.submissions(), expected, start, end)
 
+    @staticmethod
+    def scheduled(population: DataFrame, operations: Sequence[str]) -> DataFrame:
+        return submissions.scheduled(population, operations)
+
+    # --- quality, hearings, summaries ---
+
+    quality_index = staticmethod(quality.quality_index)
+    crowded_events = staticmethod(quality.crowded_events)
+    outside_interval = staticmethod(quality.outside_interval)
+    within_business_days = staticmethod(quality.share_within_business_days)
+    valid_ruling = staticmethod(quality.valid_ruling)
+    valid_hearing = staticmethod(quality.valid_hearing)
+    valid_dismissal = staticmethod(quality.valid_dismissal)
+    category_labels = staticmethod(summary.category_labels)
+    period_label = staticmethod(period_label)
+
+    def hearings(self, path: str) -> DataFrame:
+        """Typed hearings of a listing."""
+        return typed_hearings(readers.read_hearings(self.spark, path))
+
+    def hearing_parties(self, path: str) -> DataFrame:
+        """One row per party of a listing's hearings."""
+        return exploded_parties(readers.read_hearings(self.spark, path), "justiables", "nro")
+
     def officials(self) -> DataFrame:
         return staff.officials(
             self._stored("posts", schemas.POSTS), self._stored("persons", schemas.PERSONNEL))

@@ -29,8 +29,12 @@ RULINGS_ONE_DEADLINE = _struct(
     iep=_S, **_INTERVAL, nro=_S, caratula=_S, tproc=_S, **{"as": _S}, tres=_S,
     finicio=_S, fdesp=_S, fres=_S, fvenc=_S,
 )
+RULINGS_ONE_DEADLINE_HIGHER_COURT = _struct(
+    iep=_S, **_INTERVAL, nro=_S, caratula=_S, tproc=_S, **{"as": _S}, tres=_S,
+    finicio=_S, fdesp1=_S, fres=_S, fvenc=_S,
+)
 RULINGS_APPEAL = T.StructType(
-    [*RULINGS_ONE_DEADLINE.fields, T.StructField("recirc", T.BooleanType(), True)]
+    [*RULINGS_ONE_DEADLINE_HIGHER_COURT.fields, T.StructField("recirc", T.BooleanType(), True)]
 )
 RULINGS_THIRD_INSTANCE = _struct(
     iep=_S, **_INTERVAL, nro=_S, caratula=_S, tproc=_S, **{"as": _S}, tres=_S, fres=_S,

@@ -83,10 +83,13 @@ def court_cases(
     end: str | dt.date | None = None,
     procedures: bool = False,
     text_dates: bool = False,
+    higher_court: bool = False,
+    flag_gaps: bool = False,
 ) -> DataFrame:
     """One case per line item: dispatched with its order, ruled when shipped.
 
-    ``start`` and ``end`` repeat the report's period on the stored ship date, which
+    With ``higher_court`` the dispatch date is called ``fdesp1``, and with ``flag_gaps``
+    the appeal flag is unknown for every third order. ``start`` and ``end`` repeat the report's period on the stored ship date, which
     Parquet can filter on. Orders meet their customers before the larger line items
     do, so the large side is shuffled once at most.
     """
@@ -123,6 +126,10 @@ def court_cases(
         "fvenc": stored(F.date_add(ordered, 30)),
         "recirc": F.col("o_orderstatus") == "F",
     }
+    if higher_court:
+        columns["fdesp1"] = columns.pop("fdesp")
+    if flag_gaps:
+        columns["recirc"] = F.when(F.col("o_orderkey") % 3 != 0, columns["recirc"])
     if procedures:
         columns["tproc"] = procedure_name()
     return rows.select(*[c.alias(n) for n, c in columns.items()])
@@ -143,13 +150,26 @@ def court_directory(spark: SparkSession, sf_dir: str, gap: bool = True) -> DataF
     )
 
 
-def population(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every court."""
-    return table(spark, sf_dir, "nation").select(_text("n_nationkey").alias("organismo"))
+def population(spark: SparkSession, sf_dir: str, without: tuple[str, ...] = ()) -> DataFrame:
+    """Every court, but for those left out."""
+    courts = table(spark, sf_dir, "nation").select(_text("n_nationkey").alias("organismo"))
+    return courts.filter(~F.col("organismo").isin(*without)) if without else courts
 
 
-def submission_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One submission per event; the month goes back up to two years from the event."""
+# Courts that the reports over part of the courts leave out.
+LEFT_OUT = ("3", "7", "11", "24")
+
+
+def third_instance(df: DataFrame, code: str) -> DataFrame:
+    """The same rows of courts whose codes are those of a third instance."""
+    return df.withColumn(code, F.concat(F.lit("sal"), code))
+
+
+def submission_log(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
+    """One submission per event; the month goes back up to two years from the event.
+
+    With ``gaps`` every seventh submission has no time.
+    """
     events = table(spark, sf_dir, "events")
     back = F.pmod(F.col("event_id"), F.lit(24)).cast("int")
     start = F.add_months(F.trunc(F.to_date("ts"), "month"), -back)
@@ -160,7 +180,7 @@ def submission_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         start.alias("data_interval_start"),
         F.add_months(start, 1).alias("data_interval_end"),
         (F.col("value") > 2).alias("enabled"),
-        _text("ts").alias("datetime"),
+        (F.when(F.col("event_id") % 7 != 0, _text("ts")) if gaps else _text("ts")).alias("datetime"),
         F.col("props").alias("input"),
     )
 
@@ -176,9 +196,30 @@ def submitting_courts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def submitting_population(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every court that appears in the log."""
-    return table(spark, sf_dir, "events").select(_text("user_id").alias("organismo")).distinct()
+def submitting_population(spark: SparkSession, sf_dir: str, districts: str | None = None) -> DataFrame:
+    """Every customer, as a court that may submit; with ``districts`` only courts of the
+    directory, in districts that match."""
+    if districts is None:
+        return table(spark, sf_dir, "customer").select(_text("c_custkey").alias("organismo"))
+    courts = submitting_courts(spark, sf_dir)
+    return courts.filter(F.col("circunscripcion").rlike(districts)).select("organismo")
+
+
+def hearings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One hearing per event, with fields that are missing or dirty now and then."""
+    events, no = table(spark, sf_dir, "events"), F.col("event_id")
+    return events.select(
+        _text("user_id").alias("iep"),
+        F.when(no % 5 != 0, F.col("event_type")).alias("ta"),
+        F.when(no % 11 == 0, " ").otherwise("R").alias("ra"),
+        _text("event_id").alias("esta"),
+        F.when(no % 13 != 0, _text("user_id")).otherwise("x1").alias("duracm"),
+        F.pmod(no, F.lit(90)).cast("int").alias("duracb"),
+        F.when(no % 17 != 0, F.to_date("ts")).alias("fea"),
+        F.when(no % 3 == 0, "").otherwise(_text("user_id")).alias("jaud"),
+        F.when(no % 4 == 0, "6").otherwise("1").alias("tres"),
+        F.when(no % 19 != 0, _text("event_id")).alias("personas"),
+    )
 
 
 # Event types are the operations; one has no description.

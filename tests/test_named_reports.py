@@ -22,6 +22,9 @@ def root(spark, tmp_path_factory):
     one = two.withColumn("fvenc", F.col("fvenc1")).withColumn("recirc", F.lit(True))
     for code in ("CADR1C", "CADRA23", "CADR3C", "CADR3L"):
         write_operation(two.withColumn("operation", F.lit(code)), f"{root}/operations")
+    higher = one.withColumnRenamed("fdesp", "fdesp1")
+    for code in ("CADR2L",):
+        write_operation(higher.withColumn("operation", F.lit(code)), f"{root}/operations")
     for code in ("CADR1L", "CADRCAD", "CADRCADS"):
         write_operation(one.withColumn("operation", F.lit(code)), f"{root}/operations")
     mediations = spark.createDataFrame(
@@ -55,6 +58,25 @@ RULED = [
 ]
 
 
+def test_higher_labour_courts_keep_their_dispatch_date(spark, root):
+    reports, scope = Reports(spark, root), population(spark, *ALL_COURTS)
+    options = {"operation": "CADR2L"}
+    plain = reports.rulings_civil(scope, *RANGE).filter("is_total").agg(F.sum("causas_adespacho")).first()[0]
+    for df in (reports.rulings_labour(scope, *RANGE, higher_court=True, **options),
+               reports.rulings_labour_appeal(scope, *RANGE, **options)):
+        assert df.filter("is_total").agg(F.sum("causas_adespacho")).first()[0] == plain > 0
+    listed = reports.cases_labour(scope, *RANGE, higher_court=True, **options)
+    assert "fvenc" not in listed.columns
+    assert listed.filter("NOT is_total AND fecha_despacho IS NOT NULL").count() > 0
+
+
+def test_quality_reports_by_name(spark, root):
+    reports = Reports(spark, root)
+    rows = reports.court_rows("jdocco01", "CADR1C", *RANGE)
+    index = reports.quality_index(rows, {"resolucion": reports.valid_ruling(rows)}, ["iep"])
+    assert [r.iep for r in index.collect()] == ["jdocco01"]
+
+
 @pytest.mark.parametrize("name", RULED)
 def test_case_reports(spark, root, name):
     df = getattr(Reports(spark, root), name)(population(spark, *ALL_COURTS), *RANGE)
@@ -109,7 +131,7 @@ def test_other_reports(spark, root):
     assert reports.indicators("CRMED", people, *RANGE).first().mediana_durac_inic_fin == 9.0
     assert reports.violence_movements(population(spark, "jdopaz01"), *RANGE).first().total == 3
     assert reports.started(civil, "CINC1C", "2018-01-01", "2018-09-01").count() == 1
-    assert reports.submission_tracking(civil, *RANGE).count() == 2
+    assert reports.submission_tracking(civil, *RANGE, per_cell=100).count() == 2
     assert reports.has_submission(civil, *RANGE, "CADR1C").first().presentada
     expected = spark.createDataFrame([("jdocco01", "CADR1C")], "iep string, operation string")
     assert reports.pending_submissions(expected, *RANGE).count() == 1

@@ -210,29 +210,28 @@ def test_latest_of_a_hot_key(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-@pytest.mark.parametrize("longest", [0, 100_000])
-def test_cells_hold_whole_lists_in_order(spark, longest):
+@pytest.mark.parametrize("block", [4, 64, 100_000])
+def test_cells_hold_whole_lists_in_order(spark, block):
     rng = random.Random(3)
-    rows = [(rng.choice(["a", "a", "a", "b", None]), rng.randrange(4), i, f"e{i}")
+    rows = [(rng.choice(["a", "a", "a", "b", None]), rng.randrange(4), i, f"e{i}" if i % 9 else None)
             for i in rng.sample(range(5000), 700)]
     df = spark.createDataFrame(rows, "k string, p int, i long, e string")
-    cells = entries_in_cells(df, ["k"], "p", "i", "e", per_cell=16, block=64, longest=longest).collect()
+    cells = entries_in_cells(df, ["k"], "p", "i", "e", per_cell=16, block=block).collect()
     for key in ("a", "b", None):
         mine = sorted((c for c in cells if c.k == key), key=lambda c: c.part)
         assert [c.part for c in mine] == list(range(1, len(mine) + 1))
         assert all(c.entry_count == 16 for c in mine[:-1])
-        want = [e for _, _, e in sorted((p, i, e) for k, p, i, e in rows if k == key)]
+        want = [e for _, _, e in sorted((p, i, e or "?") for k, p, i, e in rows if k == key)]
         assert ", ".join(c.entries for c in mine) == ", ".join(want)
         assert sum(c.entry_count for c in mine) == len(want)
 
 
-@pytest.mark.parametrize("longest", [0, 100_000])
-def test_copies_in_cells_are_all_listed(spark, longest):
+@pytest.mark.parametrize("block", [4, 16, 100_000])
+def test_copies_in_cells_are_all_listed(spark, block):
     """One entry makes up a third of the rows and fills several cells."""
     rows = [("a", 0, 7, "x")] * 40 + [("a", i % 2, 100 + i, f"e{i}") for i in range(80)]
     df = spark.createDataFrame(rows, "k string, p int, i long, e string")
-    cells = sorted(entries_in_cells(df, ["k"], "p", "i", "e", per_cell=9, block=16,
-                                    longest=longest).collect(),
+    cells = sorted(entries_in_cells(df, ["k"], "p", "i", "e", per_cell=9, block=block).collect(),
                    key=lambda c: c.part)
     want = [e for _, _, e in sorted((p, i, e) for _, p, i, e in rows)]
     assert ", ".join(c.entries for c in cells) == ", ".join(want)
@@ -241,7 +240,7 @@ def test_copies_in_cells_are_all_listed(spark, longest):
 
 def test_no_entries_make_no_cells(spark):
     df = spark.createDataFrame([], "k string, p int, i long, e string")
-    assert entries_in_cells(df, ["k"], "p", "i", "e").collect() == []
+    assert entries_in_cells(df, ["k"], "p", "i", "e", 10).collect() == []
 
 
 def test_select_courts(spark):
@@ -266,16 +265,6 @@ def test_enforcement_courts_are_found_by_matter(spark):
     assert [r.organismo for r in got] == ["jdo1"]
 
 
-def test_size_check_decides_on_broadcast(spark):
-    few = scope.if_small(spark.range(10), max_rows=10)
-    many = scope.if_small(spark.range(11), max_rows=10)
-
-    def hinted(df):
-        return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-
-    assert hinted(few) and not hinted(many)
-
-
 def test_optional_columns_and_renames(spark):
     df = spark.createDataFrame([(1, 2, 3)], "mes int, res_luego1venc int, x int")
     assert columns_like(df, "mes") == ["mes"] and columns_like(df, "fecha") == []

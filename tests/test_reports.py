@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from casetally import schemas
 from casetally.plans import corrections, mediation, movements, quality, staff, submissions, summary
-from casetally.operators.reshape import values_of
 from casetally.plans.reallocation import reallocate
 from casetally.plans.started import started_cases
 from court_fixtures import AUG, DEC, JAN, JUL, SEP, courts, population, rows_by
@@ -71,7 +70,7 @@ def operations(spark):
 def test_submission_tracking(spark):
     df = submissions.submission_tracking(
         log(spark, LOG), population(spark, *SCOPE), courts(spark), operations(spark),
-        "2018-07-01", "2018-09-01",
+        "2018-07-01", "2018-09-01", per_cell=50,
     )
     got = {(r.iep, r.operacion_descripcion, r.is_total): r for r in df.collect()}
     assert got["jdocco01", "Resoluciones", False].periodos_informados == "7 (7/2018-08-02), 8 (11/2018-09-03)"
@@ -82,6 +81,22 @@ def test_submission_tracking(spark):
     assert totals == {"Juzgado Civil 1": 3, None: 1}
 
 
+def test_a_submission_without_time_is_listed(spark):
+    rows = [(*LOG[0][:7], None, "file"), LOG[0]]
+    got = submissions.submission_tracking(
+        log(spark, rows), population(spark, *SCOPE), courts(spark), operations(spark),
+        "2018-07-01", "2018-09-01", per_cell=50,
+    ).filter("NOT is_total").collect()
+    assert sum(r.presentaciones for r in got) == 2
+    assert any(f"({LOG[0][0]}/?)" in r.periodos_informados for r in got)
+
+
+def test_a_court_that_never_submitted_is_pending(spark):
+    due = submissions.scheduled(population(spark, "jdocco01", "jdonever"), ["CADR1C"])
+    got = submissions.pending_submissions(log(spark, LOG), due, "2018-07-01", "2018-09-01").collect()
+    assert {r.mes_inicio.month for r in got if r.iep == "jdonever"} == {7, 8}
+
+
 @pytest.mark.parametrize("operation, codes, found", [
     ("CADR1C", SCOPE, True), ("CADR", SCOPE, True), ("CADR9", SCOPE, False),
     ("CADR1C", ("jdocco02",), False),
@@ -210,8 +225,7 @@ def test_mediation_by_month(spark):
 def test_mediation_columns_are_the_outcomes_that_occur(spark):
     df = mediation.mediation_report(mediations(spark), None, "2018-08-01", "2018-09-01")
     assert [c for c in df.columns if c in ("Acuerdo", "Sin acuerdo", "Otra")] == ["Sin acuerdo"]
-    with pytest.raises(ValueError):
-        values_of(mediations(spark), "tres_disc", most=2)
+    assert rows_by(df.filter("is_total"), "circunscripcion")["Total"].total == 1
 
 
 def test_mediation_single_month_and_range(spark):

@@ -117,7 +117,7 @@ def test_appeal_counts_ignore_null(spark):
         ruling_counts(one, population(spark, "jdocco01"), *RANGE, rulings.LABOUR_APPEAL, False),
         "organismo",
     )
-    assert got["jdocco01"].luego_1er_venc == 2  # the row without the flag is in neither count
+    assert got["jdocco01"].luego_1er_venc == 3  # with the row whose flag is unknown
 
 
 def test_higher_courts_use_their_own_dispatch_column(spark):
@@ -204,7 +204,7 @@ def test_bankruptcy_class_replaces_the_label(spark):
 
 def listing(spark, rows, codes=("jdocco01",), **options):
     df = case_listing(
-        cases(spark, rows), population(spark, *codes), courts(spark), *RANGE, **options
+        cases(spark, rows), population(spark, *codes), courts(spark), *RANGE, **{"total": True, **options}
     )
     return [r for r in df.collect() if not r.is_total], [r for r in df.collect() if r.is_total]
 
@@ -241,7 +241,7 @@ def test_higher_courts_have_one_deadline(spark):
 
 def test_one_deadline_listing_is_never_inconsistent(spark):
     one = cases(spark).withColumnRenamed("fvenc1", "fvenc").drop("fvenc2")
-    df = case_listing(one, population(spark, *ALL_COURTS), courts(spark), *RANGE, due=("fvenc",))
+    df = case_listing(one, population(spark, *ALL_COURTS), courts(spark), *RANGE, due=("fvenc",), total=True)
     assert "res_luego2venc" not in df.columns
     rows = df.collect()
     assert all(r.inconsistencia2venc is None for r in rows if not r.is_total)
@@ -253,7 +253,7 @@ def test_listing_follows_merged_courts(spark):
     directory = courts(spark).union(
         spark.createDataFrame([("jdofam0100con", "Familia", "Este", "fam")], courts(spark).schema)
     )
-    df = case_listing(cases(spark, rows), population(spark, "jdofam0101con"), directory, *RANGE)
+    df = case_listing(cases(spark, rows), population(spark, "jdofam0101con"), directory, *RANGE, total=True)
     assert df.filter("not is_total").first().organismo_descripcion == "Familia"
 
 
