@@ -188,19 +188,104 @@ def _shared(rows: list[np.ndarray], columns: list[np.ndarray], step: int = 8192)
     """Sizes of the intersections of every set in ``rows`` with every one in ``columns``."""
     every = rows + columns
     values = np.concatenate(every)
-    universe, codes = np.unique(values, return_inverse=True)
-    owner = np.repeat(np.arange(len(every)), [len(s) for s in every])
+    universe, codes, times = np.unique(values, return_inverse=True, return_counts=True)
+    keep = times[codes] > 1  # what stands in one set only is in no intersection
+    names = np.cumsum(times > 1) - 1
+    owner = np.repeat(np.arange(len(every)), [len(s) for s in every])[keep]
+    codes = names[codes[keep]]
     order = np.argsort(codes, kind="stable")
     codes, owner = codes[order], owner[order]
+    width = int(codes[-1]) + 1 if len(codes) else 0
     both = np.zeros((len(rows), len(columns)), np.float32)
-    for low in range(0, len(universe), step):
+    for low in range(0, width, step):
         a, b = np.searchsorted(codes, [low, low + step])
-        has = np.zeros((len(every), min(step, len(universe) - low)), np.float32)
+        has = np.zeros((len(every), min(step, width - low)), np.float32)
         has[owner[a:b], codes[a:b] - low] = 1
         both += has[: len(rows)] @ has[len(rows) :].T
     return both
 
 
+def _sides(rows: DataFrame, group: str, asks: str, block: int) -> DataFrame:
+    """Rows dealt out so that in every group all asking rows meet all rows, in blocks.
+
+    Adds ``batch, m, u``, which name a task's unit, and ``side``, true for a row that asks
+    there. Small groups share a batch; a group of more than ``block`` rows has units of
+    its own, one for each block of asking rows and block of rows, so that no unit grows
+    with the data. Groups without asking rows are left out.
+    """
+    parts = stored(
+        rows.groupBy(group).agg(
+            F.ceil(F.count("*") / F.lit(block)).cast("int").alias("_m"),
+            F.ceil(F.sum(F.col(asks).cast("long")) / F.lit(block)).cast("int").alias("_u"),
+        ).filter("_u > 0")
+    )
+    batches = max(1, int(parts.count() // 200))
+    small = F.pmod(F.xxhash64(group), F.lit(batches))
+    dealt = stored(
+        rows.join(parts, group).withColumn("batch", F.when(F.col("_m") > 1, F.col(group)).otherwise(small))
+    )
+    number, zero = F.xxhash64("node", group), F.lit(0).cast("long")
+    all_rows = dealt.withColumn("m", F.pmod(number, "_m").cast("long")).withColumn(
+        "u", F.explode(F.sequence(zero, F.col("_u").cast("long") - 1))
+    ).withColumn("side", F.lit(False))
+    asking = dealt.filter(asks).withColumn("u", F.pmod(number, "_u").cast("long")).withColumn(
+        "m", F.explode(F.sequence(zero, F.col("_m").cast("long") - 1))
+    ).withColumn("side", F.lit(True))
+    return all_rows.unionByName(asking).drop("_m", "_u")
+
+
+def _unit_sets(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray]:
+    sets = []
+    for piece in table.select(["text"]).combine_chunks().to_batches():
+        for part in slices(piece, 0):
+            sets += shingle_sets(part.column(0))
+    return sets, np.array([len(x) for x in sets])
+
+
+def _in_groups(group: np.ndarray) -> list[np.ndarray]:
+    order = np.argsort(group, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(group[order])) + 1)
+
+
+def cross_links(held: DataFrame, texts: DataFrame, threshold: float, block: int = 256) -> DataFrame:
+    """Links between components that share a bucket: ``a, b``.
+
+    ``held`` has ``key, node, label, minor``. In each bucket minor nodes meet all nodes,
+    in blocks, on their whole sets of shingles. A unit emits only links that join what it
+    has not joined yet, fewer than it has nodes, and no pairs.
+    """
+
+    def join(table: pa.Table) -> pa.Table:
+        key, node, label, side = (table[c].to_numpy() for c in ("key", "node", "label", "side"))
+        sets, size = _unit_sets(table)
+        a, b = [], []
+        for own in _in_groups(key):
+            u, m = own[side[own]], own[~side[own]]
+            if not len(u) or not len(m):
+                continue
+            both = _shared([sets[i] for i in u], [sets[i] for i in m])
+            near = both >= (threshold - EPSILON) * (size[u][:, None] + size[m][None, :] - both)
+            parent = {}
+
+            def root(x):
+                while parent.setdefault(x, x) != x:
+                    x = parent[x]
+                return x
+
+            for i, j in zip(*np.nonzero(near & (label[u][:, None] != label[m][None, :])), strict=True):
+                x, y = root(label[u[i]]), root(label[m[j]])
+                if x != y:
+                    parent[x] = y
+                    a.append(node[u[i]])
+                    b.append(node[m[j]])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return (
+        _sides(held, "key", "minor", block).join(texts.select("node", "text"), "node")
+        .groupBy("batch", "m", "u").applyInArrow(join, "a long, b long")
+    )
+
+
 def count_links(labels: DataFrame, texts: DataFrame, threshold: float, block: int = 256) -> DataFrame:
     """``node, links``: how many other nodes of its component each node is linked to.
 
@@ -230,42 +315,13 @@ def count_links(labels: DataFrame, texts: DataFrame, threshold: float, block: in
     )
 
     far = F.col("d") > limit / 2 - EPSILON
-    parts = stored(
-        apart.groupBy("label").agg(
-            F.ceil(F.count("*") / F.lit(block)).cast("int").alias("m_blocks"),
-            F.ceil(F.sum(far.cast("long")) / F.lit(block)).cast("int").alias("u_blocks"),
-        ).filter("u_blocks > 0")
-    )
-    batches = max(1, int(parts.count() // 200))
-    spread = F.pmod(F.xxhash64("label"), F.lit(batches))
-    open_ = stored(
-        apart.join(parts, "label").withColumn("far", far)
-        .withColumn("batch", F.when(F.col("m_blocks") > 1, F.col("label")).otherwise(spread))
-    )
-    sides = open_.select(
-        "batch", "label", "node", "d", "far", F.lit(False).alias("asks"),
-        F.pmod(F.xxhash64("node"), "m_blocks").alias("m"),
-        F.explode(F.sequence(F.lit(0), F.col("u_blocks") - 1)).alias("u"),
-    ).unionByName(open_.filter("far").select(
-        "batch", "label", "node", "d", "far", F.lit(True).alias("asks"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("m_blocks").cast("long") - 1)).alias("m"),
-        F.pmod(F.xxhash64("node"), "u_blocks").cast("int").alias("u"),
-    ))
 
     def count(table: pa.Table) -> pa.Table:
-        node, label, d, far_, asks = (
-            table[c].to_numpy() for c in ("node", "label", "d", "far", "asks")
-        )
-        sets = []
-        for piece in table.select(["text"]).combine_chunks().to_batches():
-            for part in slices(piece, 0):
-                sets += shingle_sets(part.column(0))
-        size = np.array([len(x) for x in sets])
+        node, label, d, far_, side = (table[c].to_numpy() for c in ("node", "label", "d", "far", "side"))
+        sets, size = _unit_sets(table)
         links = np.zeros(len(node), np.int64)
-        order = np.argsort(label, kind="stable")
-        cuts = np.flatnonzero(np.diff(label[order])) + 1
-        for own in np.split(order, cuts):
-            u, m = own[asks[own]], own[~asks[own]]
+        for own in _in_groups(label):
+            u, m = own[side[own]], own[~side[own]]
             if len(u) and len(m):
                 both = _shared([sets[i] for i in u], [sets[i] for i in m])
                 near_ = both >= (threshold - EPSILON) * (size[u][:, None] + size[m][None, :] - both)
@@ -277,8 +333,9 @@ def count_links(labels: DataFrame, texts: DataFrame, threshold: float, block: in
         return pa.table({"node": node[some], "links": links[some]})
 
     compared = (
-        sides.join(texts.select("node", "text"), "node").groupBy("batch", "m", "u")
-        .applyInArrow(count, "node long, links long").groupBy("node").agg(F.sum("links").alias("more"))
+        _sides(apart.withColumn("far", far), "label", "far", block).join(texts.select("node", "text"), "node")
+        .groupBy("batch", "m", "u").applyInArrow(count, "node long, links long")
+        .groupBy("node").agg(F.sum("links").alias("more"))
     )
     return apart.join(certain, ["label", "d"]).join(compared, "node", "left").select(
         "node", (F.col("sure") + F.coalesce("more", F.lit(0))).alias("links")
@@ -304,10 +361,12 @@ def near_duplicates(
        different components, with the others. So a bucket costs as many comparisons as it
        has nodes, however many are alike.
     3. In buckets that still hold several components, nodes outside the bucket's largest
-       one are compared with all nodes of other components. No pair that shares a bucket
-       goes unless it is in one component or was compared, so no candidates are capped.
-    4. Comparisons drop pairs whose signatures differ by five standard deviations more
-       than the threshold allows, and decide the rest on the whole sets of shingles.
+       one are compared with all nodes, in blocks within tasks (:func:`cross_links`). So no
+       pair that shares a bucket is left that is neither compared nor in one component:
+       no candidates are capped, and none are emitted.
+    4. The comparisons of step 2 drop pairs whose signatures differ by five standard
+       deviations more than the threshold allows; all others are decided on the whole sets
+       of shingles.
     """
     forest = Forest(threshold, recall, trees, longest)
     signed = stored(signatures(docs, forest, doc_id, text))
@@ -354,13 +413,10 @@ def near_duplicates(
     mixed_keys = held.groupBy("key", "label").agg(F.count("*").alias("_n")).groupBy("key").agg(
         F.max(F.struct("_n", "label"))["label"].alias("_major"), F.count("*").alias("_labels")
     ).filter("_labels > 1").drop("_labels")
-    open_ = stored(held.join(mixed_keys, "key"))
-    minor = open_.filter("label != _major").select("key", F.col("node").alias("_x"), F.col("label").alias("_xl"))
-    other = (F.col("_xl") != F.col("label")) & ((F.col("label") == F.col("_major")) | (F.col("_x") < F.col("node")))
-    crossed = minor.join(open_, "key").filter(other).select(
-        F.least("_x", "node").alias("a"), F.greatest("_x", "node").alias("b")
-    )
-    compared(crossed.distinct())
+    open_ = stored(held.join(mixed_keys, "key").withColumn("minor", F.col("label") != F.col("_major")).drop("_major"))
+    found = stored(cross_links(open_, texts, threshold))
+    if not found.isEmpty():
+        labels = components(links.unionByName(found))
 
     labels = stored(labels)
     linked = stored(count_links(labels, texts, threshold))
