@@ -8,14 +8,14 @@ import random
 def edge_rows() -> list[tuple]:
     r = random.Random(7)
     words = ["alpha", "Beta,", "gamma", "delta", "épsilon", "zeta", "漢字", "eta.", "theta", "idiot"]
-    base = [r.choice(words) for _ in range(60)]
+    base = [r.choice(words) for _ in range(160)]
     rows = []
     for i in range(60):
         own = [r.choice(words) for _ in range(r.randint(1, 80))]
         rows.append((i, " ".join(own), "en", r.choice(["a", "b", "c", "ü"]), 1))
     for i in range(60, 72):  # near copies: one word changed
         own = list(base)
-        own[r.randrange(60)] = f"changed{i}"
+        own[r.randrange(160)] = f"changed{i}"
         rows.append((i, " ".join(own), None, "b", None))
     for i in range(72, 80):  # exact copies, up to white space
         rows.append((i, ("\n" * (i % 3)).join(base[:30]) + " " * (i % 4), "en", None, 2))
