@@ -117,15 +117,17 @@ def top_k(
     q_blocks, v_blocks = rows_for(n_queries, query_block), rows_for(n_vectors, block)
     numbered = F.monotonically_increasing_id()
     dims = F.size("vector").alias("dims")
-    # Rows are dealt by number in their input partition, evenly whatever their values.
-    left = asked.select(
-        dims, numbered.alias("no"), "vec_id", "vector",
-        F.explode(F.sequence(F.lit(0), F.lit(v_blocks - 1))).alias("v_block"),
-    ).withColumn("q_block", F.pmod(F.col("no"), F.lit(q_blocks)).cast("int"))
-    right = vectors.select(
-        dims, numbered.alias("no"), "vec_id", "vector",
-        F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("q_block"),
-    ).withColumn("v_block", F.pmod(F.col("no"), F.lit(v_blocks)).cast("int"))
+
+    def dealt(rows: DataFrame, own: str, n: int, other: str, others: int) -> DataFrame:
+        """Rows dealt by their number in the input, evenly whatever their values, into ``n``
+        blocks, each copied to all blocks of the other side."""
+        single = rows.select(dims, numbered.alias("no"), "vec_id", "vector").withColumn(
+            own, F.pmod(F.col("no"), F.lit(n)).cast("int")
+        )
+        return single.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
+
+    left = dealt(asked, "q_block", q_blocks, "v_block", v_blocks)
+    right = dealt(vectors, "v_block", v_blocks, "q_block", q_blocks)
 
     def matrix(column: pa.ChunkedArray, n: int) -> np.ndarray:
         flat = column.combine_chunks()
