@@ -33,7 +33,7 @@ class ByteBpe:
     """
 
     def __init__(
-        self, ranks: dict[bytes, int], pattern: str, chunks: str | None = None, cached: int = 150_000,
+        self, ranks: dict[bytes, int], pattern: str, chunks: str | None = None, cached: int = 400_000,
     ):
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
