@@ -17,6 +17,11 @@ SETTINGS = {
 }
 
 
+# Where the size of the largest shuffle is not known, a cluster's session starts from so
+# many partitions, which adaptive execution merges to fit.
+START_PARTITIONS = 8192
+
+
 def partitions_for(shuffled_bytes: int, target_bytes: int = 256 << 20, least: int = 200) -> int:
     """Shuffle partitions that hold about ``target_bytes`` each.
 
@@ -35,13 +40,18 @@ def build_session(
     """A session with :data:`SETTINGS`; ``master`` only for local runs.
 
     ``shuffled_bytes``, the expected size of the largest shuffle, sets how many
-    partitions adaptive execution starts from.
+    partitions adaptive execution starts from; without it a cluster starts from
+    :data:`START_PARTITIONS`, unless ``spark.sql.shuffle.partitions`` is given.
     """
     builder = SparkSession.builder.appName(app)
+    start = None
     if shuffled_bytes is not None:
+        start = partitions_for(shuffled_bytes)
+    elif master is None and "spark.sql.shuffle.partitions" not in extra:
+        start = START_PARTITIONS
+    if start is not None:
         builder = builder.config(
-            "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-            str(partitions_for(shuffled_bytes)),
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(start)
         )
     if master:
         builder = builder.master(master)
