@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from casetally.llm.common import SPACE, rows_for, stored, text_or_empty
 
 RUNS_SCHEMA = "range long, filter binary"
+MOST_HELD = 8_000_000  # fingerprints of one partition that are held before filters are written
 
 
 class QuotientFilter:
@@ -87,14 +88,24 @@ def repeated_fingerprints(prints: DataFrame, column: str, per_range: int = 500_0
     """
     ranges = rows_for(prints.count(), per_range)
 
+    def filters_of(values: np.ndarray) -> pd.DataFrame:
+        spot = ((values >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+        order = np.argsort(spot, kind="stable")
+        values, spot = values[order], spot[order]
+        cuts = np.flatnonzero(np.diff(spot)) + 1
+        parts = [QuotientFilter.of(v).to_bytes() for v in np.split(values, cuts)]
+        return pd.DataFrame({"range": spot[np.concatenate([[0], cuts])].astype(np.int64), "filter": parts})
+
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, n = [], 0
         for batch in batches:
-            values = batch[column].to_numpy(np.int64).view(np.uint64)
-            spot = ((values >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
-            out = []
-            for r in np.unique(spot):
-                out.append((int(r), QuotientFilter.of(values[spot == r]).to_bytes()))
-            yield pd.DataFrame(out, columns=["range", "filter"])
+            held.append(batch[column].to_numpy(np.int64).view(np.uint64))
+            n += len(batch)
+            if n >= MOST_HELD:
+                yield filters_of(np.concatenate(held))
+                held, n = [], 0
+        if n:
+            yield filters_of(np.concatenate(held))
 
     def merge(batch: pd.DataFrame) -> pd.DataFrame:
         total = QuotientFilter.of(np.empty(0, np.uint64))
