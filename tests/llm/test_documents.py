@@ -24,7 +24,7 @@ from casetally.llm.mixing import mix, mixed_rows
 from casetally.llm.near_dup import Forest, near_duplicates, one_of_each
 from casetally.llm.secret_scan import span_digests
 from casetally.llm.sharding import byte_shards
-from casetally.llm.toxicity import fit, toxicity, without_toxic
+from casetally.llm.toxicity import _BEGIN, fit, toxicity, without_toxic
 from casetally.llm.words import NOT_ALPHANUMERIC, split_words
 
 tokenizers = pytest.importorskip("public_tokenizers")
@@ -482,3 +482,11 @@ def test_toxicity_learns(spark):
     named = spark.createDataFrame(labels, "id long, bad int")
     same = fit(again, named, label="bad", doc_id="id", text="body")
     assert without_toxic(again, same, text="body").count() < 3000
+
+
+def test_toxicity_counts_every_label_below_the_sample(spark):
+    docs = spark.range(24_000).selectExpr("id AS doc_id", "concat('same ', id) AS text")
+    model = fit(docs, spark.range(24_000).selectExpr("id AS doc_id", "int(id % 50 = 0) AS toxic"))
+    folds = [(zlib.crc32(str(i).encode()) % 5 > 1, i % 50 == 0) for i in range(24_000)]
+    want = [sum(learns and toxic == k for learns, toxic in folds) for k in (False, True)]
+    assert want[0] > 12_000 and model.heads.at(np.array([_BEGIN]))[0, :2].tolist() == want
