@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casetally.llm.common import fold_of, stored, text_or_empty
+from casetally.llm.common import fold_of, shared_folder, stored, text_or_empty
 from casetally.llm.words import NOT_ALPHANUMERIC, Words, mixed, slices, split_words
 
 _BEGIN = np.uint64(0x2545F4914F6CDD1D)
@@ -40,25 +40,53 @@ def once_a_text(w: Words, keys: np.ndarray, among: np.ndarray | None = None) ->
 
 @dataclass
 class Counted:
-    """Counts by hash, for both classes; what is not listed counts 0."""
+    """Counts by hash, for both classes, of a written table; what is not listed counts 0.
 
-    keys: np.ndarray
-    values: np.ndarray  # (keys + 1, columns), the last row of zeros
+    A process reads the whole table once, when it first looks something up, and keeps it
+    as long as the model's state: 8 bytes a key and 4 a count. The driver holds none.
+    """
 
-    @classmethod
-    def of(cls, table: pa.Table) -> Counted:
-        """From a table of a key and its counts."""
-        keys, *values = (c.to_numpy() for c in table.itercolumns())
-        keys = keys.astype(np.int64).view(np.uint64)
-        order = np.argsort(keys)
-        counts = np.stack([v.astype(np.float64)[order] for v in values], axis=1)
-        return cls(keys[order], np.vstack([counts, np.zeros((1, len(values)))]))
+    folder: str
+    columns: list[str]  # the key, then its counts
+    arrays: dict  # what was read
+
+    def read(self) -> tuple[np.ndarray, np.ndarray]:
+        if not self.arrays:
+            from pyarrow import fs, parquet
+
+            store, path = fs.FileSystem.from_uri(self.folder)
+            files = [f.path for f in store.get_file_info(fs.FileSelector(path)) if f.base_name.startswith("part-")]
+            rows = []
+            for file in files:
+                with store.open_input_file(file) as data:
+                    rows.append(parquet.read_metadata(data).num_rows)
+            keys = np.empty(sum(rows), np.int64)
+            values = [np.empty(sum(rows), np.uint32) for _ in self.columns[1:]]
+            at = 0
+            for file, n in zip(files, rows, strict=True):
+                with store.open_input_file(file) as data:
+                    table = parquet.read_table(data, columns=self.columns)
+                keys[at : at + n] = table[self.columns[0]].to_numpy()
+                for i, name in enumerate(self.columns[1:]):
+                    found = table[name].to_numpy()
+                    if n and found.max() >= 1 << 32 and values[i].dtype == np.uint32:
+                        values[i] = values[i].astype(np.uint64)
+                    values[i][at : at + n] = found
+                at += n
+            keys = keys.view(np.uint64)
+            order = np.argsort(keys)
+            for i, v in enumerate(values):
+                values[i] = v[order]
+            self.arrays |= {"keys": keys[order], "values": values}
+        return self.arrays["keys"], self.arrays["values"]
 
     def at(self, keys: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
-            return self.values[np.zeros(len(keys), np.int64)]
-        spot = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return self.values[np.where(self.keys[spot] == keys, spot, len(self.keys))]
+        own, values = self.read()
+        if not len(own):
+            return np.zeros((len(keys), len(values)))
+        spot = np.minimum(np.searchsorted(own, keys), len(own) - 1)
+        listed = own[spot] == keys
+        return np.stack([np.where(listed, v[spot], 0).astype(np.float64) for v in values], axis=1)
 
 
 @dataclass
@@ -76,8 +104,9 @@ class Model:
     scale: np.ndarray
 
     def state(self) -> dict:
-        """Plain arrays, which any worker can read."""
-        return asdict(self)
+        """Plain values, which any worker can read; without the counts, which it reads itself."""
+        counted = {k: {**vars(getattr(self, k)), "arrays": {}} for k in ("pairs", "heads", "tails")}
+        return {**vars(self), **counted}
 
     @classmethod
     def from_state(cls, state: dict) -> Model:
@@ -147,17 +176,16 @@ def _chosen(labels: DataFrame, sample: int, calibration: int, folds: int) -> Dat
 
 def fit(
     docs: DataFrame, labels: DataFrame, folds: int = 5, sample: int = 40_000,
-    calibration: int = 10_000, most_entries: int = 400_000, label: str = "toxic",
-    doc_id: str = "doc_id", text: str = "text",
+    calibration: int = 10_000, label: str = "toxic", doc_id: str = "doc_id", text: str = "text",
 ) -> Model:
     """Learn from labelled rows of the folds 1 to ``folds`` - 1; fold 0 is held out.
 
     Both fits use documented bounds: counts come from about ``sample`` labelled ids of
     each class, of all folds but 0 and 1, and the score's weights from about
-    ``calibration`` ids of fold 1, whose texts the counts have not seen. Of pairs, heads
-    and tails the most frequent are kept, at most ``most_entries`` each; what is left out
-    backs off to the shared counts. So the model has a bounded size, and the chosen ids,
-    bounded as well, go to the documents: no text is shuffled. Labels other than 0 and 1,
+    ``calibration`` ids of fold 1, whose texts the counts have not seen. All pairs, heads
+    and tails of the sample are kept, also what was seen once: as tables in the shared
+    folder, which workers read (:class:`Counted`). The chosen ids, bounded as well, go to
+    the documents: no text is shuffled. Labels other than 0 and 1,
     NULL texts and ids, and ids with several labels are left out of fitting. Without rows
     of both classes every text scores by the share of class 1, near 0 without labels.
     """
@@ -198,34 +226,25 @@ def fit(
             F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("c1"),
         )
     )
-    pairs = stored(pairs)
     kinds = [F.sum((F.col(c) > 0).cast("long")).alias(f"k{c[1]}") for c in ("c0", "c1")]
 
-    def top(df: DataFrame, by: str) -> pa.Table:
-        """Rows from the least count on at which no more than ``most_entries`` are left."""
-        sizes = df.groupBy(by).agg(F.count("*").alias("n")).orderBy(F.desc(by)).collect()
-        left, least = most_entries, 2
-        for size, n in sizes:
-            left -= n
-            if left < 0:
-                least = size + 1
-                break
-        return df.filter(F.col(by) >= max(2, least)).drop(by).toArrow()
-
-    tails = pairs.groupBy("tail").agg(*kinds)
-    heads = pairs.groupBy("head").agg(F.sum("c0").alias("n0"), F.sum("c1").alias("n1"), *kinds)
+    def counted(df: DataFrame) -> tuple[DataFrame, str]:
+        folder = shared_folder(spark)
+        df.write.parquet(folder)
+        return spark.read.schema(df.schema).parquet(folder), folder
+
+    pairs, pairs_at = counted(pairs)
+    tails, tails_at = counted(pairs.groupBy("tail").agg(*kinds))
+    _, heads_at = counted(pairs.groupBy("head").agg(F.sum("c0").alias("n0"), F.sum("c1").alias("n1"), *kinds))
     totals = tails.agg(
         F.sum("k0"), F.sum("k1"), F.sum((F.col("k0") > 0).cast("long")), F.sum((F.col("k1") > 0).cast("long"))
     ).first()
     numbers = np.array([float(x or 0) for x in totals])
 
-    def counted(df: DataFrame, key: str, *columns: str) -> Counted:
-        table = df.select(key, *columns, (F.col(columns[0]) + F.col(columns[1])).alias("_by"))
-        return Counted.of(top(table, "_by"))
-
     model = Model(
-        pairs=counted(pairs, "pair", "c0", "c1"), heads=counted(heads, "head", "n0", "n1", "k0", "k1"),
-        tails=counted(tails, "tail", "k0", "k1"), word_kinds=numbers[:2], words=numbers[2:],
+        pairs=Counted(pairs_at, ["pair", "c0", "c1"], {}),
+        heads=Counted(heads_at, ["head", "n0", "n1", "k0", "k1"], {}),
+        tails=Counted(tails_at, ["tail", "k0", "k1"], {}), word_kinds=numbers[:2], words=numbers[2:],
         weights=np.zeros(5), scale=np.array([np.zeros(4), np.ones(4)]),
     )
     check = rows.filter("NOT learns")

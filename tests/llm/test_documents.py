@@ -24,8 +24,8 @@ from casetally.llm.mixing import mix, mixed_rows
 from casetally.llm.near_dup import Forest, near_duplicates, one_of_each
 from casetally.llm.secret_scan import span_digests
 from casetally.llm.sharding import byte_shards
-from casetally.llm.toxicity import _BEGIN, fit, toxicity, without_toxic
-from casetally.llm.words import NOT_ALPHANUMERIC, split_words
+from casetally.llm.toxicity import _BEGIN, _PAIR, fit, toxicity, without_toxic
+from casetally.llm.words import NOT_ALPHANUMERIC, mixed, split_words
 
 tokenizers = pytest.importorskip("public_tokenizers")
 SPACE = re.compile(r"[\x20\x09-\x0D]")
@@ -490,3 +490,27 @@ def test_toxicity_counts_every_label_below_the_sample(spark):
     folds = [(zlib.crc32(str(i).encode()) % 5 > 1, i % 50 == 0) for i in range(24_000)]
     want = [sum(learns and toxic == k for learns, toxic in folds) for k in (False, True)]
     assert want[0] > 12_000 and model.heads.at(np.array([_BEGIN]))[0, :2].tolist() == want
+
+
+def test_toxicity_keeps_all_counts(spark):
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(r.choice(words) for _ in range(r.randint(0, 30))), int(i % 3 == 0)) for i in range(200)]
+    model = fit(spark.createDataFrame(rows, "doc_id long, text string, x int"),
+                spark.createDataFrame([(i, x) for i, _, x in rows], "doc_id long, toxic int"))
+    pairs, heads, tails = Counter(), Counter(), Counter()
+    for i, text, x in rows:
+        if zlib.crc32(str(i).encode()) % 5 > 1:
+            own = text.split()
+            pairs.update({(a, b, x) for a, b in zip([None, *own], own, strict=False)})
+    for (a, b, x), n in pairs.items():
+        heads[a, x], heads[a, x + 2], tails[b, x] = heads[a, x] + n, heads[a, x + 2] + 1, tails[b, x] + 1
+    assert Counter(pairs.values())[1] > 1000
+    hashes = dict(zip(words, split_words(pa.array([" ".join(words)])).hashes, strict=True)) | {None: _BEGIN}
+    keys = sorted({(a or "", b) for a, b, _ in pairs})
+    before = np.array([hashes[a or None] for a, _ in keys], np.uint64)
+    w = np.array([hashes[b] for _, b in keys], np.uint64)
+    got = model.pairs.at(mixed(before * _PAIR + w))
+    assert got.tolist() == [[pairs[a or None, b, x] for x in (0, 1)] for a, b in keys]
+    assert model.heads.at(before).tolist() == [[heads[a or None, k] for k in range(4)] for a, _ in keys]
+    assert model.tails.at(w).tolist() == [[tails[b, x] for x in (0, 1)] for _, b in keys]
