@@ -23,7 +23,11 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 # A run of hex digits is one match, so short runs can be passed over by the pattern itself.
 HEX = re.compile(r"[0-9a-f]{24,}")
-ENCODED = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{24,}+={0,2}")
+# It may follow an equals sign, or a line end written as a backslash and a letter.
+ENCODED = re.compile(
+    r"(?:(?<=\\[nr])|(?<![A-Za-z0-9+/_-])(?!(?<=\\)[nr]))[A-Za-z0-9+/_-]{24,}+={0,2}"
+)
+LINE_END = re.compile(r"[\r\n]|(?<!\\)\\++[nr]")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]*+(?![A-Za-z0-9_-])")
 HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{46,}+")
 FENCE = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
@@ -170,7 +174,7 @@ def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
             if m[1] == "BEGIN":
                 opened = m
             elif opened is not None and opened[2] == m[2]:
-                lines = text[opened.end() : m.start()].split("\n")
+                lines = LINE_END.split(text[opened.end() : m.start()])
                 body = "".join(x.strip() for x in lines if ":" not in x)
                 if kind := key_kind(decode_base64(body)):
                     found.append((opened.start(), m.end(), kind))

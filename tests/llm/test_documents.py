@@ -233,6 +233,20 @@ def test_confirmed_candidates():
     assert text[got[4][0] : got[4][1]].startswith("-----BEGIN RSA")
 
 
+@pytest.mark.parametrize("key, kind", [(RSA, "der"), (OPENSSH, "openssh")])
+def test_keys_after_equals_signs_and_with_escaped_line_ends(key, kind):
+    key64 = base64.b64encode(key).decode()
+    for before, after in (("PRIVATE_KEY=", "\n"), ("https://x.org/?a==&key=", "&b=1"), ('"k": "a\\n', '\\n"'), ("x\\r\\n", "\\r")):
+        text = f"é {before}{key64}{after}"
+        assert secret_scan.confirmed_spans(text) == [(2 + len(before), 2 + len(before) + len(key64), kind)]
+    for end in ("\n", "\r\n", "\r", "\\n", "\\r\\n", "\\\\n"):
+        pem = end.join(["-----BEGIN PRIVATE KEY-----", *re.findall(".{1,64}", key64), "-----END PRIVATE KEY-----"])
+        text = json.dumps({"type": "x"}) + f'"private_key": "{pem}{end}"'
+        start = text.index("-----BEGIN")
+        assert secret_scan.confirmed_spans(text) == [(start, start + len(pem), kind)]
+    assert secret_scan.confirmed_spans("=" + key64[:-8] + "\\n" + "\\" * 100_000) == []
+
+
 def test_base_spans_follow_the_patterns():
     loose_hex, loose_access = re.compile(r"[0-9a-f]+"), re.compile(r"AKIA[A-Z0-9]+")
     r = random.Random(2)
