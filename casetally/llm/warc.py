@@ -228,7 +228,8 @@ def assemble(records: DataFrame, per_row: int = 1000) -> DataFrame:
 
     A response, revisit or resource record leads a capture. A request or metadata record
     belongs to the capture of the record it is concurrent to, named by either side, and
-    also through one other request or metadata record; one that reaches no leading record
+    also through other request or metadata records, over the fewest links; every round goes
+    one link further, until no record finds an owner. One that reaches no leading record
     gives a capture of its own with a NULL ``capture``. All record types travel as structs.
 
     There is one row per leading record, also for one without other records. Should more
@@ -243,13 +244,19 @@ def assemble(records: DataFrame, per_row: int = 1000) -> DataFrame:
     direct = named.join(ids, "to", "left_semi").select("record_id", F.col("to").alias("capture_id"))
     reverse = lead.select(F.explode("concurrent_to").alias("record_id"), F.col("record_id").alias("capture_id"))
     near = stored(direct.unionByName(reverse).groupBy("record_id").agg(F.min("capture_id").alias("capture_id")))
-    links = named.unionByName(named.select(F.col("to").alias("record_id"), F.col("record_id").alias("to")))
-    far = (
-        links.join(near.select(F.col("record_id").alias("to"), "capture_id"), "to")
-        .join(near.select("record_id"), "record_id", "left_anti")
-        .groupBy("record_id").agg(F.min("capture_id").alias("capture_id"))
-    )
-    owner = near.unionByName(far)
+    onward = stored(named.join(ids, "to", "left_anti").select("record_id", "to"))
+    back = onward.select(F.col("to").alias("record_id"), F.col("record_id").alias("to"))
+    links = stored(onward.unionByName(back.join(side.select("record_id"), "record_id", "left_semi")))
+    owner = found = near
+    while True:
+        found = stored(
+            links.join(found.select(F.col("record_id").alias("to"), "capture_id"), "to")
+            .join(owner.select("record_id"), "record_id", "left_anti")
+            .groupBy("record_id").agg(F.min("capture_id").alias("capture_id"))
+        )
+        if found.isEmpty():
+            break
+        owner = owner.unionByName(found)
     owned = side.join(owner, "record_id", "left").withColumn(
         "capture_id", F.coalesce("capture_id", "record_id")
     )

@@ -112,6 +112,21 @@ def test_assembly_follows_links_of_either_side(spark):
     assert assemble(records_of(spark, [])).count() == 0
 
 
+def test_assembly_follows_chains_to_their_end(spark):
+    chain = [(f"m{i}", "metadata", [f"m{i - 1}" if i else "r1"]) for i in range(6)]
+    other = [("q0", "request", ["q1"]), ("q1", "request", ["q2"]), ("q2", "request", []), ("x", "metadata", ["q2", "r2"])]
+    rows = [("r1", "response", []), ("r2", "response", []), ("w", "warcinfo", []), *chain, *other,
+            ("k5", "metadata", ["m5", "w"]), ("k6", "metadata", ["w"]), ("a", "metadata", ["b"]), ("b", "request", ["a"])]
+    got = {
+        r.record_id: (r.capture is not None, sorted(x.record_id for x in [*r.requests, *r.metadata]))
+        for r in assemble(records_of(spark, rows)).collect()
+    }
+    assert got == {
+        "r1": (True, ["k5", *[f"m{i}" for i in range(6)]]), "r2": (True, ["q0", "q1", "q2", "x"]),
+        **{i: (False, [i]) for i in ("k6", "a", "b")},  # a warcinfo record is no link
+    }
+
+
 def test_a_capture_with_very_many_records_goes_on_in_parts(spark):
     rows = [("r", "response", [])] + [(f"m{i}", "metadata", ["r"]) for i in range(500)]
     got = assemble(records_of(spark, rows), per_row=50).collect()
