@@ -39,6 +39,18 @@ def stored(df: DataFrame, *partition_by: str) -> DataFrame:
     return spark.read.schema(_nullable(df.schema)).parquet(path)
 
 
+def part_files(folder: str) -> tuple:
+    """The file system and the paths, by name, of the files that Spark wrote to ``folder``.
+
+    For workers that read a table whole; a folder that was never written has none.
+    """
+    from pyarrow import fs
+
+    store, path = fs.FileSystem.from_uri(folder)
+    found = store.get_file_info(fs.FileSelector(path, allow_not_found=True))
+    return store, sorted(f.path for f in found if f.base_name.startswith("part-"))
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 

@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from casetally.llm.bpe import WORD_CHUNKS, token_digests
+from casetally.llm.decontamination import contamination
+from casetally.llm.divergence import source_divergence
 from casetally.llm.exact_dedup import exact_duplicates
 from casetally.llm.lattice_lm import lattice_scores
 from casetally.llm.mixing import mix
 from casetally.llm.near_dup import near_duplicates
+from casetally.llm.ranked_search import ranked_search
 from casetally.llm.secret_scan import span_digests
 from casetally.llm.sharding import byte_shards
 from casetally.llm.topk import quantised, top_k
@@ -94,6 +97,21 @@ def op10_prefix_sum_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards(table(spark, sf_dir, "documents"), shards=16)
 
 
+@query
+def op11_count_cell_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"), least_docs=30, most_terms=50)
+
+
+@query
+def op12_accumulator_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+@query
+def op13_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
+
+
 ORACLE["op1_warc_transactions"] = """
 WITH p AS (
   SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
@@ -171,3 +189,105 @@ SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITIO
        row_number() OVER best = 1 AS kept, sha256(norm) AS text_sha256
 FROM d WINDOW best AS (PARTITION BY norm ORDER BY chars DESC, doc_id NULLS LAST)
 """
+
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+ORACLE["op11_count_cell_divergence"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_no, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), t AS (
+  SELECT row_no, lang, source, translate(term, {_LOWER}) AS term
+  FROM (SELECT row_no, lang, source, unnest(terms) AS term FROM d)
+), k AS (
+  SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT row_no) >= 30
+), v AS (
+  SELECT lang, CAST(count(*) AS HUGEINT) AS v, CAST(sum(n) AS HUGEINT) AS total FROM k GROUP BY lang
+), c AS (
+  SELECT t.lang, source, t.term, count(*) AS n FROM t SEMI JOIN k ON t.lang = k.lang AND t.term = k.term GROUP BY ALL
+), g AS (
+  SELECT s.lang, s.source, coalesce(CAST(sum(c.n) AS HUGEINT), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) AS s LEFT JOIN c ON s.lang = c.lang AND s.source = c.source GROUP BY ALL
+), p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (g.total + 5 * v.v) AS p,
+         1 + (1000000000::HUGEINT * (k.n + 5)) // (v.total + 5 * v.v) AS q
+  FROM g JOIN v ON g.lang = v.lang JOIN k ON g.lang = k.lang
+  LEFT JOIN c ON g.lang = c.lang AND g.source = c.source AND k.term = c.term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(coalesce(sum(abs(x.p - y.p)), 0) AS BIGINT) AS value
+  FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p AS x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN p AS y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY ALL
+), r AS (
+  SELECT lang, source, 'pair' AS part, item, value,
+         row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST(p - q AS BIGINT),
+         row_number() OVER (PARTITION BY lang, source ORDER BY p - q DESC, term) FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 50
+"""
+
+ORACLE["op12_accumulator_ranked_search"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_no, doc_id,
+         regexp_extract_all(translate(text, {_LOWER}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents WHERE text IS NOT NULL
+), s AS (
+  SELECT count(*) AS docs, CAST(sum(len(terms)) AS BIGINT) AS words FROM d WHERE len(terms) > 0
+), t AS (
+  SELECT row_no, term, count(*) AS tf FROM (SELECT row_no, unnest(terms) AS term FROM d) GROUP BY ALL
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM t, s GROUP BY term
+), b AS (
+  SELECT row_number() OVER () AS item_no, item_id,
+         regexp_extract_all(translate(text, {_LOWER}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM benchmark
+), q AS (
+  SELECT item_no, item_id, term, count(*) AS times
+  FROM (SELECT item_no, item_id, unnest(terms) AS term FROM b) GROUP BY ALL
+), x AS (
+  SELECT item_no, item_id, t.row_no, d.doc_id, CAST(sum(
+    times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(d.terms) * s.docs) // s.words)))
+  ) AS BIGINT) AS score
+  FROM q JOIN w ON q.term = w.term JOIN t ON q.term = t.term JOIN d ON t.row_no = d.row_no, s
+  GROUP BY ALL
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY item_no ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM x WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+ORACLE["op13_wu_manber_decontamination"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_no, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+         regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), p AS (
+  SELECT DISTINCT item, least(len(w), 10) AS k, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS words
+  FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(i) WHERE len(w) > 0
+), g AS (
+  SELECT row_no, i, k, array_to_string(w[i:i + k - 1], ' ') AS words
+  FROM d, (SELECT DISTINCT k FROM p) AS k, unnest(range(1, len(w) - k + 2)) AS t(i) WHERE len(w) >= k
+), h AS (
+  SELECT g.row_no, item, g.i, g.k FROM g JOIN p ON g.k = p.k AND g.words = p.words
+), n AS (
+  SELECT row_no, count(DISTINCT place) AS n_hit
+  FROM (SELECT row_no, unnest(range(i, i + k)) AS place FROM (SELECT DISTINCT row_no, i, k FROM h)) GROUP BY row_no
+), m AS (
+  SELECT row_no, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT row_no, item FROM h) GROUP BY row_no
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n ON d.row_no = n.row_no LEFT JOIN m ON d.row_no = m.row_no
+"""
