@@ -262,7 +262,7 @@ def encoded(
     vocabulary = spark.sparkContext.broadcast(_vocabulary(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, key = worker_cache(), ("bpe", path, pattern, chunks)
+        kept, key = worker_cache("bpe"), ("bpe", path, pattern, chunks)
         if key not in kept:
             kept[key] = ByteBpe.from_file(vocabulary.value, pattern, chunks)
         bpe = kept[key]

@@ -77,7 +77,13 @@ def rows_for(count: int, per_part: int) -> int:
     return max(1, -(-count // per_part))
 
 
-def worker_cache() -> dict:
-    """A dictionary that outlives the task, in its Python worker."""
+def worker_cache(owner: str) -> dict:
+    """A dictionary that outlives the task, in its Python worker.
+
+    It belongs to one operator at a time: another one's tables are let go.
+    """
     name = "_casetally_worker_cache"
-    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    held = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    if held.get("owner") != owner:
+        held["owner"], held["tables"] = owner, {}
+    return held["tables"]

@@ -177,7 +177,7 @@ def _runs(x: np.ndarray) -> tuple[list[int], list[int]]:
 
 def _passages(folder: str, size: int) -> Passages:
     """The tables of a written block of items; a worker keeps the last block it used."""
-    cache = worker_cache()
+    cache = worker_cache("passages")
     if cache.get("passages", (None,))[0] != (folder, size):
         from pyarrow import parquet
 

@@ -10,12 +10,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casetally.llm.common import fold_of, shared_folder, stored, text_or_empty
+from casetally.llm.common import fold_of, part_files, shared_folder, stored, text_or_empty, worker_cache
 from casetally.llm.words import NOT_ALPHANUMERIC, Words, mixed, slices, split_words
 
 _BEGIN = np.uint64(0x2545F4914F6CDD1D)
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 DISCOUNT = 0.75
+RANGES = 32  # of hashes, in which a model's tables are written
+RUN_BYTES = 1 << 20  # of text whose words are looked up at a time
+_SIGN = np.uint64(1 << 63)
 TELLING = 2.0  # difference of logarithms from which a word counts as telling
 
 
@@ -40,53 +43,116 @@ def once_a_text(w: Words, keys: np.ndarray, among: np.ndarray | None = None) ->
 
 @dataclass
 class Counted:
-    """Counts by hash, for both classes, of a written table; what is not listed counts 0.
+    """Counts by hash, for both classes, of a table that Spark wrote in ranges of the key.
 
-    A process reads the whole table once, when it first looks something up, and keeps it
-    as long as the model's state: 8 bytes a key and 4 a count. The driver holds none.
+    What is not listed counts 0. The driver holds none; a process reads the table when it
+    first looks something up (:func:`_held`).
     """
 
     folder: str
     columns: list[str]  # the key, then its counts
-    arrays: dict  # what was read
-
-    def read(self) -> tuple[np.ndarray, np.ndarray]:
-        if not self.arrays:
-            from pyarrow import fs, parquet
-
-            store, path = fs.FileSystem.from_uri(self.folder)
-            files = [f.path for f in store.get_file_info(fs.FileSelector(path)) if f.base_name.startswith("part-")]
-            rows = []
-            for file in files:
-                with store.open_input_file(file) as data:
-                    rows.append(parquet.read_metadata(data).num_rows)
-            keys = np.empty(sum(rows), np.int64)
-            values = [np.empty(sum(rows), np.uint32) for _ in self.columns[1:]]
-            at = 0
-            for file, n in zip(files, rows, strict=True):
-                with store.open_input_file(file) as data:
-                    table = parquet.read_table(data, columns=self.columns)
-                keys[at : at + n] = table[self.columns[0]].to_numpy()
-                for i, name in enumerate(self.columns[1:]):
-                    found = table[name].to_numpy()
-                    if n and found.max() >= 1 << 32 and values[i].dtype == np.uint32:
-                        values[i] = values[i].astype(np.uint64)
-                    values[i][at : at + n] = found
-                at += n
-            keys = keys.view(np.uint64)
-            order = np.argsort(keys)
-            for i, v in enumerate(values):
-                values[i] = v[order]
-            self.arrays |= {"keys": keys[order], "values": values}
-        return self.arrays["keys"], self.arrays["values"]
+
+    def read(self) -> Compact:
+        """All ranges in order. They are sorted, so nothing is sorted or copied here: beside
+        the result no more than one range is in memory."""
+        from pyarrow import parquet
+
+        ranges = []
+        for k in range(-(RANGES // 2), RANGES // 2):
+            store, paths = part_files(f"{self.folder}/range={k}")
+            ranges += [(store, path) for path in paths]
+        rows = []
+        for store, path in ranges:
+            with store.open_input_file(path) as data:
+                rows.append(parquet.read_metadata(data).num_rows)
+        table = Compact.empty(sum(rows), len(self.columns) - 1)
+        at = 0
+        for (store, path), n in zip(ranges, rows, strict=True):
+            with store.open_input_file(path) as data:
+                part = parquet.read_table(data, columns=self.columns)
+            table.fill(at, part[0].to_numpy(), [c.to_numpy() for c in part.columns[1:]])
+            at += n
+        return table
 
     def at(self, keys: np.ndarray) -> np.ndarray:
-        own, values = self.read()
-        if not len(own):
-            return np.zeros((len(keys), len(values)))
-        spot = np.minimum(np.searchsorted(own, keys), len(own) - 1)
-        listed = own[spot] == keys
-        return np.stack([np.where(listed, v[spot], 0).astype(np.float64) for v in values], axis=1)
+        return _held(self)(keys)
+
+
+@dataclass
+class Compact:
+    """A sorted table of hashes in 4 bytes a key and one a count.
+
+    A key's first bits name its bucket (about eight keys), the next 32 its place there; so a
+    key that is not listed is taken for one that is about twice in 10^9 times. Counts from
+    255 on are kept apart.
+    """
+
+    bits: int
+    starts: np.ndarray
+    rest: np.ndarray
+    small: list[np.ndarray]
+    large: list[list[tuple[np.ndarray, np.ndarray]]]
+
+    @classmethod
+    def empty(cls, keys: int, counts: int) -> Compact:
+        bits = min(28, max(1, keys // 8).bit_length())
+        return cls(bits, np.zeros((1 << bits) + 1, np.uint32), np.empty(keys, np.uint32),
+                   [np.empty(keys, np.uint8) for _ in range(counts)], [[] for _ in range(counts)])
+
+    def _split(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        keys = keys.view(np.uint64) ^ _SIGN  # in Spark's order, which is signed
+        bucket = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+        return bucket, (keys >> np.uint64(32 - self.bits)).astype(np.uint32)
+
+    def fill(self, at: int, keys: np.ndarray, counts: list[np.ndarray]) -> None:
+        """The next keys, which are sorted, from place ``at`` on."""
+        if not len(keys):
+            return
+        bucket, rest = self._split(np.ascontiguousarray(keys))
+        first, last = int(bucket[0]), int(bucket[-1])
+        upto = at + np.searchsorted(bucket, np.arange(first, last + 1), side="right")
+        self.starts[first + 1 : last + 2] = upto
+        self.starts[last + 2 :] = at + len(keys)
+        self.rest[at : at + len(keys)] = rest
+        for small, large, n in zip(self.small, self.large, counts, strict=True):
+            small[at : at + len(keys)] = np.minimum(n, 255)
+            over = np.flatnonzero(n >= 255)
+            large.append((over + at, n[over].astype(np.float64)))
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.rest):
+            return np.zeros((len(keys), len(self.small)))
+        bucket, rest = self._split(keys)
+        at, end = self.starts[bucket].astype(np.int64), self.starts[bucket + 1].astype(np.int64)
+        step = 1 << int(np.diff(self.starts).max()).bit_length()
+        while step > 1:  # to the first place of the bucket that is not before the key
+            step >>= 1
+            on = at + step
+            at = np.where((on <= end) & (self.rest[np.minimum(on, len(self.rest)) - 1] < rest), on, at)
+        spot = np.minimum(at, len(self.rest) - 1)
+        listed = (at < end) & (self.rest[spot] == rest)
+        out = np.zeros((len(keys), len(self.small)))
+        for i, small in enumerate(self.small):
+            n = np.where(listed, small[spot], 0)
+            out[:, i] = n
+            over = np.flatnonzero(n == 255)
+            if len(over):
+                places = np.concatenate([p for p, _ in self.large[i]])
+                values = np.concatenate([v for _, v in self.large[i]])
+                out[over, i] = values[np.searchsorted(places, spot[over])]
+        return out
+
+
+def _held(counted: Counted) -> Compact:
+    """A process holds the tables of one model, whatever it does with it."""
+    cache = worker_cache("kneser-ney")
+    model = counted.folder.rsplit("/", 1)[0]
+    if cache.get("model") != model:
+        cache.clear()
+        cache["model"] = model
+    if counted.folder not in cache:
+        cache[counted.folder] = counted.read()
+    return cache[counted.folder]
 
 
 @dataclass
@@ -105,7 +171,7 @@ class Model:
 
     def state(self) -> dict:
         """Plain values, which any worker can read; without the counts, which it reads itself."""
-        counted = {k: {**vars(getattr(self, k)), "arrays": {}} for k in ("pairs", "heads", "tails")}
+        counted = {k: vars(getattr(self, k)) for k in ("pairs", "heads", "tails")}
         return {**vars(self), **counted}
 
     @classmethod
@@ -161,6 +227,11 @@ def _words_of(texts: pa.Array) -> Words:
     return split_words(texts, NOT_ALPHANUMERIC, lower=True)
 
 
+def _range_of(key: str) -> Column:
+    """The number of a hash's range, rising with the hash as Spark orders it."""
+    return F.shiftright(key, 64 - (RANGES - 1).bit_length())
+
+
 def _chosen(labels: DataFrame, sample: int, calibration: int, folds: int) -> DataFrame:
     """``doc_id, label, learns`` of about ``sample`` labelled ids a class and ``calibration``
     others, taken by a hash of the id, so that reruns agree."""
@@ -184,8 +255,8 @@ def fit(
     each class, of all folds but 0 and 1, and the score's weights from about
     ``calibration`` ids of fold 1, whose texts the counts have not seen. All pairs, heads
     and tails of the sample are kept, also what was seen once: as tables in the shared
-    folder, which workers read (:class:`Counted`). The chosen ids, bounded as well, go to
-    the documents: no text is shuffled. Labels other than 0 and 1,
+    folder, which workers read (:class:`Counted`). The chosen ids go to the documents, so no text
+    is shuffled: at most about ``2 sample + calibration`` rows are broadcast. Labels other than 0 and 1,
     NULL texts and ids, and ids with several labels are left out of fitting. Without rows
     of both classes every text scores by the share of class 1, near 0 without labels.
     """
@@ -215,36 +286,46 @@ def fit(
                 )
                 got = key[once][first]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(got[:, i].astype(np.uint64).view(np.int64)) for i in range(4)]
-                    + [pa.array(n.astype(np.int64))], names=["pair", "head", "tail", "label", "n"],
+                    [pa.array(got[:, i].astype(np.uint64).view(np.int64)) for i in range(3)]
+                    + [pa.array(got[:, 3].astype(np.int8)), pa.array(n.astype(np.int32))],
+                    names=["pair", "head", "tail", "label", "n"],
                 )
 
+    # Tables are dealt by ranges of the hash, so that files are sorted one after the other.
+    # The sample is bounded, and so is each range of its hashes.
+    def ranged(df: DataFrame, key: str) -> DataFrame:
+        return df.withColumn("range", _range_of(key)).repartition(RANGES, "range")
+
     pairs = (
-        learn.select("text", "label").mapInArrow(count, "pair long, head long, tail long, label long, n long")
-        .groupBy("pair", "head", "tail").agg(
+        ranged(learn.select("text", "label").mapInArrow(count, "pair long, head long, tail long, label byte, n int"), "pair")
+        .groupBy("range", "pair", "head", "tail").agg(
             F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("c0"),
             F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("c1"),
         )
     )
     kinds = [F.sum((F.col(c) > 0).cast("long")).alias(f"k{c[1]}") for c in ("c0", "c1")]
 
-    def counted(df: DataFrame) -> tuple[DataFrame, str]:
-        folder = shared_folder(spark)
-        df.write.parquet(folder)
-        return spark.read.schema(df.schema).parquet(folder), folder
+    folder = shared_folder(spark)
 
-    pairs, pairs_at = counted(pairs)
-    tails, tails_at = counted(pairs.groupBy("tail").agg(*kinds))
-    _, heads_at = counted(pairs.groupBy("head").agg(F.sum("c0").alias("n0"), F.sum("c1").alias("n1"), *kinds))
+    def counted(df: DataFrame, key: str, name: str) -> DataFrame:
+        path = f"{folder}/{name}"
+        df.sortWithinPartitions("range", key).write.partitionBy("range").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    pairs = counted(pairs, "pair", "pairs")
+    tails = counted(ranged(pairs.groupBy("tail").agg(*kinds), "tail"), "tail", "tails")
+    counted(
+        ranged(pairs.groupBy("head").agg(F.sum("c0").alias("n0"), F.sum("c1").alias("n1"), *kinds), "head"), "head", "heads"
+    )
     totals = tails.agg(
         F.sum("k0"), F.sum("k1"), F.sum((F.col("k0") > 0).cast("long")), F.sum((F.col("k1") > 0).cast("long"))
     ).first()
     numbers = np.array([float(x or 0) for x in totals])
 
     model = Model(
-        pairs=Counted(pairs_at, ["pair", "c0", "c1"], {}),
-        heads=Counted(heads_at, ["head", "n0", "n1", "k0", "k1"], {}),
-        tails=Counted(tails_at, ["tail", "k0", "k1"], {}), word_kinds=numbers[:2], words=numbers[2:],
+        pairs=Counted(f"{folder}/pairs", ["pair", "c0", "c1"]),
+        heads=Counted(f"{folder}/heads", ["head", "n0", "n1", "k0", "k1"]),
+        tails=Counted(f"{folder}/tails", ["tail", "k0", "k1"]), word_kinds=numbers[:2], words=numbers[2:],
         weights=np.zeros(5), scale=np.array([np.zeros(4), np.ones(4)]),
     )
     check = rows.filter("NOT learns")
@@ -252,7 +333,7 @@ def fit(
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model.from_state(state.value)
         for batch in batches:
-            for part in slices(batch, 0):
+            for part in slices(batch, 0, RUN_BYTES):
                 x = model.features(_words_of(part.column(0)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x[:, i]) for i in range(4)] + [part.column(1)], names=["a", "b", "c", "d", "label"]
@@ -283,7 +364,7 @@ def score_of(model: Model, spark: SparkSession, text: str = "text") -> Column:
     def run(texts: pa.Array) -> pa.Array:
         own = Model.from_state(shared.value)
         batch = pa.RecordBatch.from_arrays([texts], names=["text"])
-        found = [own.scores(_words_of(part.column(0))) for part in slices(batch, 0)]
+        found = [own.scores(_words_of(part.column(0))) for part in slices(batch, 0, RUN_BYTES)]
         return pa.array(np.concatenate(found) if found else np.empty(0))
 
     return F.arrow_udf(run, "double")(text_or_empty(text))

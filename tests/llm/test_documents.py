@@ -24,7 +24,7 @@ from casetally.llm.mixing import mix, mixed_rows
 from casetally.llm.near_dup import Forest, near_duplicates, one_of_each
 from casetally.llm.secret_scan import span_digests
 from casetally.llm.sharding import byte_shards
-from casetally.llm.toxicity import _BEGIN, _PAIR, fit, toxicity, without_toxic
+from casetally.llm.toxicity import _BEGIN, _PAIR, Compact, fit, toxicity, without_toxic
 from casetally.llm.words import NOT_ALPHANUMERIC, mixed, split_words
 
 tokenizers = pytest.importorskip("public_tokenizers")
@@ -528,3 +528,60 @@ def test_toxicity_keeps_all_counts(spark):
     assert got.tolist() == [[pairs[a or None, b, x] for x in (0, 1)] for a, b in keys]
     assert model.heads.at(before).tolist() == [[heads[a or None, k] for k in range(4)] for a, _ in keys]
     assert model.tails.at(w).tolist() == [[tails[b, x] for x in (0, 1)] for _, b in keys]
+
+
+def test_toxicity_features_follow_the_formula(spark):
+    """Log-likelihoods by interpolated Kneser-Ney, written out word by word."""
+    r = random.Random(4)
+    words = [f"w{i}" for i in range(25)]
+    rows = [(i, " ".join(r.choices(words, k=r.randint(1, 60))), int(i % 4 == 0)) for i in range(300)]
+    rows += [(300 + i, "w0 w1", i % 2) for i in range(1500)]  # counts of more than a byte
+    model = fit(spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string"),
+                spark.createDataFrame([(i, x) for i, _, x in rows], "doc_id long, toxic int"))
+    pairs = [Counter(), Counter()]
+    for i, text, x in rows:
+        if zlib.crc32(str(i).encode()) % 5 > 1:
+            own = text.split()
+            pairs[x].update(set(zip([None, *own], own, strict=False)))  # once a text
+    assert max(pairs[1].values()) > 255
+    heads = [Counter(), Counter()]
+    followers, contexts = [defaultdict(set), defaultdict(set)], [defaultdict(set), defaultdict(set)]
+    for x in (0, 1):
+        for (a, b), n in pairs[x].items():
+            heads[x][a] += n
+            followers[x][a].add(b)
+            contexts[x][b].add(a)
+    kinds = [sum(map(len, contexts[x].values())) for x in (0, 1)]
+    vocabulary = [len(contexts[x]) for x in (0, 1)]
+
+    def probability(x, a, b):
+        shared = (len(contexts[0][b]) + len(contexts[1][b]) + 1) / (sum(kinds) + sum(vocabulary) + 1)
+        lower = max(len(contexts[x][b]) - 0.75, 0) / kinds[x] + min(0.75 * vocabulary[x] / kinds[x], 1) * shared
+        if not heads[x][a]:
+            return lower
+        n = heads[x][a]
+        return max(pairs[x][a, b] - 0.75, 0) / n + 0.75 * len(followers[x][a]) / n * lower
+
+    texts = ["w0 w1", "w3 w3 unseen w4 w0", "", *[x[1] for x in rows[:40]]]
+    got = model.features(split_words(pa.array(texts), NOT_ALPHANUMERIC, lower=True))
+    for text, found in zip(texts, got, strict=True):
+        own = text.split()
+        ratios = [math.log(probability(1, a, b) / probability(0, a, b)) for a, b in zip([None, *own], own, strict=False)]
+        telling = sum({b: v - 2 for b, v in reversed(list(zip(own, ratios, strict=True))) if v > 2}.values())
+        n = max(1, len(own))
+        want = [sum(ratios) / n, telling / n, math.log1p(telling), math.log1p(len(own))]
+        assert np.allclose(found, want, atol=1e-9)
+
+
+def test_count_tables_hold_every_key():
+    r = np.random.default_rng(2)
+    for n in (0, 1, 7, 5000):
+        keys = np.sort(r.integers(-(2**63), 2**63 - 1, n))
+        counts = [r.integers(0, 300, n), r.integers(0, 5, n) * 10**6]
+        table = Compact.empty(n, 2)
+        cuts = [0, n // 3, n // 3, n]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            table.fill(a, keys[a:b], [c[a:b] for c in counts])
+        assert (table(keys.view(np.uint64)) == np.stack(counts, axis=1)).all()
+        assert not table(r.integers(0, 2**63, 3000, dtype=np.uint64)).any()
+        assert n < 5000 or table.rest.nbytes + table.starts.nbytes + sum(c.nbytes for c in table.small) < 8 * n
