@@ -16,7 +16,7 @@ from casetally.llm.words import NOT_ALPHANUMERIC, Words, mixed, slices, split_wo
 _BEGIN = np.uint64(0x2545F4914F6CDD1D)
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 DISCOUNT = 0.75
-RANGES = 32  # of hashes, in which a model's tables are written
+RANGES = 64  # of hashes, in which a model's tables are written
 RUN_BYTES = 1 << 20  # of text whose words are looked up at a time
 _SIGN = np.uint64(1 << 63)
 TELLING = 2.0  # difference of logarithms from which a word counts as telling
@@ -292,9 +292,10 @@ def fit(
                 )
 
     # Tables are dealt by ranges of the hash, so that files are sorted one after the other.
-    # The sample is bounded, and so is each range of its hashes.
+    # The sample is bounded, and so is each range of its hashes; partitions are many more
+    # than ranges, so that few of them get two.
     def ranged(df: DataFrame, key: str) -> DataFrame:
-        return df.withColumn("range", _range_of(key)).repartition(RANGES, "range")
+        return df.withColumn("range", _range_of(key)).repartition(4 * RANGES, "range")
 
     pairs = (
         ranged(learn.select("text", "label").mapInArrow(count, "pair long, head long, tail long, label byte, n int"), "pair")
