@@ -4,16 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _before(parts: DataFrame, within: str, order: Column, amount: str, into: str) -> DataFrame:
-    """Add the sum of ``amount`` over the rows that come earlier in the same ``within``."""
-    earlier = Window.partitionBy(within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return parts.withColumn(into, F.coalesce(F.sum(amount).over(earlier), F.lit(0)))
-
-
 def entries_in_cells(
     df: DataFrame,
     keys: Sequence[str],
@@ -23,7 +17,7 @@ def entries_in_cells(
     per_cell: int,
     into: str = "entries",
     count: str = "entry_count",
-    block: int = 4096,
+    block: int = 1 << 16,
     separator: str = ", ",
     missing: str = "?",
 ) -> DataFrame:
@@ -35,11 +29,11 @@ def entries_in_cells(
 
     There is one way for lists of any length, and it sorts no key as a whole. Copies of
     an entry are counted map-side and travel as one run. ``row_id`` is an integer key of
-    the table, so a block of ids holds about ``block`` runs, and ``block`` blocks make a
-    group. A run's place in the list comes from the counts of earlier periods, groups,
-    blocks and runs, each summed at its own level; a run that is longer than a cell is
-    cut where cells end. Places are matched on structs of the keys, which compare NULL as
-    equal.
+    the table, so a period's runs fall into blocks of no more than ``block`` ids, which
+    are numbered by themselves. A block's offset in its key's list is the prefix sum of
+    the blocks before it: a window over one narrow row for each block. A run that is
+    longer than a cell is cut where cells end. Places are matched on structs of the keys,
+    which compare NULL as equal.
     """
     runs = (
         df.withColumn("_shown", F.coalesce(F.col(entry), F.lit(missing)))
@@ -54,27 +48,14 @@ def entries_in_cells(
     in_block = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counted = runs.withColumn("_in_block", F.sum("_times").over(in_block) - F.col("_times"))
 
-    def of_spot(names: Sequence[str], *more: Column) -> Column:
-        return F.struct(*[F.col("_spot")[n].alias(n) for n in names], *more)
-
-    group = F.floor(F.col("_spot._block") / F.lit(block)).alias("_group")
-    blocks = (
-        runs.groupBy("_spot").agg(F.sum("_times").alias("_n"))
-        .withColumn("_in", of_spot([*keys, period], group))
-    )
-    groups = blocks.groupBy("_in").agg(F.sum("_n").alias("_g")).withColumn(
-        "_month", F.struct(*[F.col("_in")[n].alias(n) for n in (*keys, period)])
-    )
-    months = groups.groupBy("_month").agg(F.sum("_g").alias("_m")).withColumn(
-        "_key", F.struct(*[F.col("_month")[k].alias(k) for k in keys])
+    in_key = (
+        Window.partitionBy(F.struct(*[F.col("_spot")[k].alias(k) for k in keys]))
+        .orderBy(F.col("_spot")[period], F.col("_spot._block"))
     )
-    months = _before(months, "_key", F.col("_month")[period], "_m", "_of_months")
-    groups = _before(groups, "_month", F.col("_in._group"), "_g", "_of_groups").join(
-        months.select("_month", "_of_months"), "_month"
+    earlier = in_key.rowsBetween(Window.unboundedPreceding, -1)
+    starts = runs.groupBy("_spot").agg(F.sum("_times").alias("_n")).select(
+        "_spot", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_at")
     )
-    starts = _before(blocks, "_in", F.col("_spot._block"), "_n", "_of_blocks").join(
-        groups.select("_in", "_of_groups", "_of_months"), "_in"
-    ).select("_spot", (F.col("_of_blocks") + F.col("_of_groups") + F.col("_of_months")).alias("_at"))
 
     cell = F.lit(per_cell)
     first = F.col("_at") + F.col("_in_block")
