@@ -35,18 +35,28 @@ def widen(
     return df.groupBy(*keys).agg(*cells)
 
 
-def widen_all(
-    df: DataFrame, keys: Sequence[str], on: str, value: Column, rest: str
-) -> tuple[DataFrame, list[str]]:
-    """One column per value of ``on`` that occurs, and their names; NULL goes to ``rest``.
-
-    The columns depend on the data, so Spark's pivot looks for them when this is called:
-    the only operator here that runs a job. ``df`` should be counted by then. Spark stops
-    at ``spark.sql.pivotMaxValues``.
+def widen_to_map(
+    df: DataFrame, keys: Sequence[str], on: str, value: Column, into: str, rest: str,
+    group: Sequence[str] = (), total: str = "total",
+) -> DataFrame:
+    """One map cell per key, from each value of ``on`` that occurs to its sum; total rows.
+
+    The values need not be known when the plan is made, and there may be any number of
+    them; entries are in order of the value. NULL values are summed in the column
+    ``rest``. Total rows, one per ``group`` (one in all when it is empty), are added up
+    before cells are made, so that no cell is taken apart again. ``df`` is counted first:
+    a cell holds one entry per value, not per row.
     """
-    named = df.withColumn(on, F.coalesce(F.col(on), F.lit(rest)))
-    wide = named.groupBy(*keys).pivot(on).agg(F.sum(value))
-    found = [c for c in wide.columns if c not in keys and c != rest]
-    last = F.coalesce(F.col(f"`{rest}`"), F.lit(0)) if rest in wide.columns else F.lit(0).cast("bigint")
-    cells = [F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(c) for c in found]
-    return wide.select(*keys, *cells, last.alias(rest)), [*found, rest]
+    summed = df.groupBy(*keys, on).agg(F.sum(value).alias("_sum"))
+    inner = [c for c in keys if c not in group]
+    sets = [[F.col(c) for c in (*keys, on)], [F.col(c) for c in (*group, on)]]
+    both = summed.groupingSets(sets, *keys, on).agg(
+        (F.grouping(inner[0]) == 1).alias("is_total"), F.sum("_sum").alias("_sum")
+    )
+    entries = F.sort_array(F.collect_list(F.when(F.col(on).isNotNull(), F.struct(on, "_sum"))))
+    cells = both.groupBy(*keys, "is_total").agg(
+        F.map_from_entries(entries).alias(into),
+        F.coalesce(F.sum(F.when(F.col(on).isNull(), F.col("_sum"))), F.lit(0)).alias(rest),
+        F.sum("_sum").alias(total),
+    )
+    return cells.select(*keys, into, rest, total, "is_total")

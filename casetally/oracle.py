@@ -662,3 +662,112 @@ SELECT c_custkey, 0 AS orden, c_name AS name, CAST(c_custkey AS VARCHAR) AS doc_
   c_mktsegment AS address FROM customer
 UNION ALL
 SELECT c_custkey, 1, lower(c_name), NULL, 'DEMANDADO', NULL FROM customer"""
+
+ORACLE["mediation_open_outcomes"] = f"""
+WITH {_MEDIATIONS},
+scoped AS (SELECT * FROM mediations WHERE istart >= DATE '1996-03-01' AND iend <= DATE '1999-06-01'),
+cells AS (
+  SELECT tipo_circ AS circunscripcion, istart AS mes_inicio, {_month('istart')} AS mes, FALSE AS is_total,
+    tres_disc, count(*) AS n FROM scoped GROUP BY tipo_circ, istart, tres_disc
+  UNION ALL SELECT tipo_circ, NULL, 'Total', TRUE, tres_disc, count(*) FROM scoped GROUP BY tipo_circ, tres_disc
+)
+SELECT circunscripcion, mes_inicio, mes,
+  CAST(sum(n) OVER (PARTITION BY circunscripcion, mes_inicio, is_total) AS BIGINT) AS total, is_total,
+  CAST(row_number() OVER (PARTITION BY circunscripcion, mes_inicio, is_total ORDER BY tres_disc) - 1 AS INTEGER) AS lugar,
+  tres_disc AS resultado, n AS cantidad
+FROM cells"""
+ORACLE["submissions_in_force"] = """
+WITH days AS (
+  SELECT DISTINCT CAST(ts AS DATE) AS day FROM events WHERE day(ts) % 5 = 0
+), placed AS (
+  SELECT CAST(user_id AS VARCHAR) AS iep, event_type AS operation, days.day, event_id AS id_submission,
+    row_number() OVER (PARTITION BY user_id, event_type, days.day ORDER BY ts DESC, event_id DESC) AS place
+  FROM events JOIN days ON CAST(ts AS DATE) <= days.day WHERE event_id % 7 <> 0
+)
+SELECT iep, operation, day, id_submission FROM placed WHERE place = 1"""
+_LINE_OPERATIONS = _case(
+    "CAST(linea AS VARCHAR)", {str(k): v for k, v in star.LINE_OPERATIONS.items()}, "NULL"
+)
+ORACLE["indicators_all_operations"] = f"""
+WITH {_WITH_TPROC}, {_MEDIATIONS},
+ops AS (
+  SELECT *, {_LINE_OPERATIONS} AS operation, linea IN (1, 5, 7) AS dos,
+    coalesce(fres >= istart AND fres < iend AND coalesce(tres, '') <> '0', FALSE) AS resuelta
+  FROM cases WHERE istart >= DATE '{star.START}' AND iend <= DATE '{star.END}' AND {_NOT_LEFT_OUT} AND NOT (
+    linea = 5 AND regexp_matches(tproc, 'VIOLENCIA|CERTIFICACION|PROBATION|DILIGENCIAS|INFORMACION SUMARIA|SU '))
+),
+r AS (
+  SELECT operation, iep, istart, iend, any_value(dos) AS dos, count(*) FILTER (resuelta) AS causas_resueltas,
+    count(*) FILTER (resuelta AND fres <= fvenc1) AS a_termino,
+    count(*) FILTER (resuelta AND fres > fvenc1 AND (NOT dos OR fres <= fvenc2)) AS luego_1er_venc,
+    count(*) FILTER (resuelta AND fres > fvenc2) AS luego_2do_venc,
+    count(*) FILTER (resuelta AND upper(clase) = 'S') AS sentencias,
+    count(*) FILTER (resuelta AND upper(clase) = 'A') AS autos,
+    count(*) FILTER (resuelta AND (clase IS NULL OR upper(clase) NOT IN ('S', 'A'))) AS sin_clasif
+  FROM ops WHERE operation IS NOT NULL GROUP BY operation, iep, istart, iend
+),
+p AS (
+  SELECT operation, iep, CAST(date_trunc('month', fdesp) AS DATE) AS mes, count(*) AS causas_adespacho
+  FROM ops WHERE fdesp >= DATE '{star.START}' AND fdesp < DATE '{star.END}' GROUP BY ALL
+),
+m AS (
+  SELECT tipo_circ, tres_disc, istart, iend, {_DURATION}
+  WHERE istart >= DATE '{star.START}' AND iend <= DATE '{star.END}' AND {_NOT_LEFT_OUT} GROUP BY ALL
+)
+SELECT r.operation, r.iep AS organismo, NULL AS tipo_circ, NULL AS tres_disc, istart AS data_interval_start,
+  iend AS data_interval_end, causas_adespacho, causas_resueltas, a_termino, luego_1er_venc,
+  CASE WHEN dos THEN luego_2do_venc END AS luego_2do_venc, sentencias, autos, sin_clasif,
+  CAST(NULL AS BIGINT) AS resultado, CAST(NULL AS DOUBLE) AS mediana_durac_inic_fin
+FROM r LEFT JOIN p ON r.operation = p.operation AND r.iep = p.iep AND istart = mes
+UNION ALL SELECT 'CRMED', NULL, tipo_circ, tres_disc, istart, iend, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+  resultado, mediana_durac_inic_fin FROM m"""
+ORACLE["within_district_business_days"] = f"""
+WITH {_PLAIN}, {_COURTS},
+off AS (
+  SELECT DISTINCT r_name AS district, CAST(o_orderdate AS DATE) AS dia
+  FROM orders JOIN region ON o_orderkey % 149 = r_regionkey
+),
+works AS (
+  SELECT r_name AS district, CAST(d AS DATE) AS dia
+  FROM region, generate_series(DATE '1994-01-01', DATE '2003-01-01', INTERVAL 1 DAY) AS t(d)
+  WHERE isodow(d) < 6
+    AND NOT EXISTS (SELECT 1 FROM off WHERE off.district = r_name AND off.dia = CAST(d AS DATE))
+),
+spans AS (
+  SELECT circunscripcion, iep, fdesp, fres, count(*) AS n FROM cases JOIN courts ON iep = organismo
+  WHERE fres IS NOT NULL GROUP BY ALL
+),
+counted AS (
+  SELECT circunscripcion, iep, n, (
+    SELECT count(*) FROM works WHERE district = circunscripcion AND dia > fdesp AND dia <= fres
+  ) AS habiles FROM spans
+)
+SELECT circunscripcion, iep, CAST(sum(n) AS BIGINT) AS resoluciones,
+  CAST(coalesce(sum(n) FILTER (habiles < 50), 0) AS BIGINT) AS en_termino,
+  coalesce(sum(n) FILTER (habiles < 50), 0) / sum(n) AS proporcion
+FROM counted GROUP BY 1, 2"""
+ORACLE["reallocation_apportioned"] = """
+WITH started AS (
+  SELECT CASE WHEN p_size <= 25 THEN 'NORTE' ELSE 'SUR' END AS circunscripcion, p_brand AS organismo,
+    p_type AS grupo_proceso, p_name AS tipo_proceso, count(*) AS cantidad
+  FROM part GROUP BY ALL
+),
+moved AS (
+  SELECT * FROM started WHERE organismo IN ('Brand#1', 'Brand#2') AND grupo_proceso <> 'ECONOMY'
+),
+sums AS (
+  SELECT circunscripcion, grupo_proceso, CAST(sum(cantidad) AS BIGINT) AS todo FROM moved GROUP BY 1, 2
+),
+shares AS (
+  SELECT *, todo * peso // 11 AS parte,
+    row_number() OVER (PARTITION BY circunscripcion, grupo_proceso ORDER BY todo * peso % 11 DESC, nombre) AS lugar,
+    todo - sum(todo * peso // 11) OVER (PARTITION BY circunscripcion, grupo_proceso) AS resto
+  FROM sums, (VALUES ('Brand#3', 5), ('Brand#4', 3), ('Brand#5', 3), ('Brand#6', 0)) AS r(nombre, peso)
+)
+SELECT circunscripcion, organismo, grupo_proceso, tipo_proceso, cantidad, CAST(NULL AS BIGINT) AS residuo
+FROM started s WHERE NOT EXISTS (
+  SELECT 1 FROM moved m WHERE m.organismo = s.organismo AND m.grupo_proceso = s.grupo_proceso
+    AND m.tipo_proceso = s.tipo_proceso AND m.circunscripcion = s.circunscripcion)
+UNION ALL
+SELECT circunscripcion, nombre, grupo_proceso, '-', CAST(parte + CASE WHEN lugar <= resto THEN 1 ELSE 0 END AS BIGINT), 0
+FROM shares"""

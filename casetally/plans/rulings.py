@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
@@ -54,6 +54,32 @@ def ruling_measures(settings: RulingsSettings) -> list[str]:
     return ["causas_resueltas", "a_termino", *settings.late_columns, "sentencias", "autos", "sin_clasif"]
 
 
+def _measured(
+    cases: DataFrame, settings: RulingsSettings
+) -> tuple[DataFrame, Column, dict[str, Column]]:
+    """The cases that count, their date of dispatch, and each measure as a flag."""
+    if settings.exclude:
+        cases = excluding(cases, "tproc", settings.exclude)
+    cases = with_dates(cases, "fres", *settings.due, dispatch_column(cases))
+    flags = timing(F.col("fres"), F.col("tres"), *[F.col(c) for c in settings.due])
+    late = [f for f in (flags.after_first, flags.after_second) if f is not None]
+    measures: dict[str, Column] = {
+        "causas_resueltas": flags.resolved,
+        "a_termino": flags.on_time,
+        **dict(zip(settings.late_columns, late)),
+        **share_of_classes(flags.resolved, F.col("as")),
+    }
+    if settings.appeal_split:
+        again = F.col(settings.appeal_split)
+        first = settings.late_columns[0]
+        measures[first] = flags.after_first & again
+        measures["_late_other"] = flags.after_first & ~F.coalesce(again, F.lit(False))
+    return cases, F.col(dispatch_column(cases)), measures
+
+
+_INTERVAL = ["data_interval_start", "data_interval_end"]
+
+
 def ruling_counts(
     cases: DataFrame,
     population: DataFrame,
@@ -70,50 +96,79 @@ def ruling_counts(
     and the pending count moves to the rulings of its month. Months are whole dates,
     so two years never mix. No case is doubled or shuffled by its court.
     """
-    scoped = in_interval(cases, start, end)
-    if settings.exclude:
-        scoped = excluding(scoped, "tproc", settings.exclude)
-
-    scoped = with_dates(scoped, "fres", *settings.due, dispatch_column(scoped))
-    flags = timing(F.col("fres"), F.col("tres"), *[F.col(c) for c in settings.due])
-    late = [f for f in (flags.after_first, flags.after_second) if f is not None]
-    dispatched = F.col(dispatch_column(scoped))
+    scoped, dispatched, measures = _measured(in_interval(cases, start, end), settings)
     in_range = (dispatched >= month_start(F.lit(to_day(start)))) & (dispatched < F.lit(to_day(end)))
-
-    measures: dict[str, Column] = {
-        "causas_resueltas": flags.resolved,
-        "a_termino": flags.on_time,
-        **dict(zip(settings.late_columns, late)),
-        **share_of_classes(flags.resolved, F.col("as")),
-    }
-    if settings.appeal_split:
-        again = F.col(settings.appeal_split)
-        first = settings.late_columns[0]
-        measures[first] = flags.after_first & again
-        measures["_late_other"] = flags.after_first & ~F.coalesce(again, F.lit(False))
-
-    interval = ["data_interval_start", "data_interval_end"] if monthly else []
     narrow = scoped.select(
         "iep",
-        *interval,
+        *(_INTERVAL if monthly else []),
         *([month_start(dispatched).alias("_dispatch_month")] if monthly else []),
         in_range.alias("_pending"),
         *[m.alias(name) for name, m in measures.items()],
     )
     counts = [F.count_if(c).alias(c) for c in ("_pending", *measures)]
+    keys = ["iep", *(_INTERVAL + ["_dispatch_month"] if monthly else [])]
+    once = members(narrow.groupBy(*keys).agg(*counts), population)
+    return _assembled(once, list(measures), settings, monthly)
+
+
+def stored_counts(cases: DataFrame, settings: RulingsSettings = CIVIL) -> DataFrame:
+    """What reports are made of, to be stored: counts by court, interval and month of dispatch.
+
+    They can be added up over any courts and months, and a month that is submitted again
+    replaces the counts of its own interval only.
+    """
+    scoped, dispatched, measures = _measured(cases, settings)
+    return (
+        scoped.select(
+            "iep", *_INTERVAL, month_start(dispatched).alias("mes_despacho"),
+            dispatched.isNotNull().alias("despachadas"), *[m.alias(name) for name, m in measures.items()],
+        )
+        .groupBy("iep", *_INTERVAL, "mes_despacho")
+        .agg(*[F.count_if(c).alias(c) for c in ("despachadas", *measures)])
+    )
+
+
+def ruling_counts_from(
+    stored: DataFrame,
+    population: DataFrame,
+    start: str | dt.date,
+    end: str | dt.date,
+    settings: RulingsSettings = CIVIL,
+    monthly: bool = True,
+) -> DataFrame:
+    """:func:`ruling_counts` from :func:`stored_counts`, without reading a case.
+
+    Counts know the month of dispatch but not the day, so ``end`` has to begin a month.
+    """
+    if to_day(end).day != 1:
+        raise ValueError("stored counts are by month: end has to be the first day of one")
+    month = F.col("mes_despacho")
+    in_range = (month >= month_start(F.lit(to_day(start)))) & (month < F.lit(to_day(end)))
+    rows = in_interval(stored, start, end).withColumn(
+        "_pending", F.when(in_range, F.col("despachadas")).otherwise(0)
+    )
+    measures = [c for c in stored.columns if c not in ("iep", *_INTERVAL, "mes_despacho", "despachadas")]
+    rows = members(rows, population).withColumnRenamed("mes_despacho", "_dispatch_month")
+    if not monthly:
+        rows = rows.groupBy("iep").agg(*[F.sum(c).alias(c) for c in ("_pending", *measures)])
+    return _assembled(rows, measures, settings, monthly)
+
+
+def _assembled(
+    once: DataFrame, measures: Sequence[str], settings: RulingsSettings, monthly: bool
+) -> DataFrame:
+    """Rulings by interval beside the pending cases of their month, from counts by both."""
+    interval = _INTERVAL if monthly else []
     if monthly:
         keys = ["iep", *interval, "_dispatch_month"]
         sets = [[F.col(k) for k in ("iep", *interval)], [F.col("iep"), F.col("_dispatch_month")]]
-        once = members(narrow.groupBy(*keys).agg(*counts), population)
         counted = once.groupingSets(sets, *keys).agg(
             (F.grouping("_dispatch_month") == 1).alias("_is_ruling"),
             *[F.sum(c).alias(c) for c in ("_pending", *measures)],
         )
     else:
         keys = ["iep"]
-        counted = members(narrow.groupBy(*keys).agg(*counts), population).withColumn(
-            "_is_ruling", F.explode(F.array(F.lit(True), F.lit(False)))
-        )
+        counted = once.withColumn("_is_ruling", F.explode(F.array(F.lit(True), F.lit(False))))
 
     is_ruling = F.col("_is_ruling")
     if settings.merged:
@@ -154,10 +209,31 @@ def rulings_report(
     or over the whole range, there is one grand total. Rows without rulings are
     hidden after the totals are taken, so the totals still include them.
     """
+    counts = ruling_counts(cases, population, start, end, settings, monthly)
+    return _report(counts, courts, start, end, settings, monthly, closing_date)
+
+
+def rulings_report_from(
+    stored: DataFrame,
+    population: DataFrame,
+    courts: DataFrame,
+    start: str | dt.date,
+    end: str | dt.date,
+    settings: RulingsSettings = CIVIL,
+    monthly: bool = True,
+    closing_date: bool = False,
+) -> DataFrame:
+    """The same report from :func:`stored_counts`."""
+    counts = ruling_counts_from(stored, population, start, end, settings, monthly)
+    return _report(counts, courts, start, end, settings, monthly, closing_date)
+
+
+def _report(
+    counts: DataFrame, courts: DataFrame, start: str | dt.date, end: str | dt.date,
+    settings: RulingsSettings, monthly: bool, closing_date: bool,
+) -> DataFrame:
     measures = ["causas_adespacho", *ruling_measures(settings)]
-    named = with_court_names(
-        ruling_counts(cases, population, start, end, settings, monthly), courts
-    )
+    named = with_court_names(counts, courts)
     court = ["circunscripcion", "organismo", "organismo_descripcion"]
     single = monthly and covers_one_month(start, end)
     if monthly:

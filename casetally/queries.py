@@ -17,11 +17,13 @@ from casetally.operators.latest import latest_per_key
 from casetally.operators.ordering import in_report_order
 from casetally.operators.scope import in_interval, matching, members, with_court_names
 from casetally.operators.totals import row_total, with_total_rows
-from casetally.plans import by_type, corrections, mediation, quality, reallocation, rulings, staff
-from casetally.plans import submissions, summary
+from casetally.plans import by_type, calendar, corrections, mediation, quality, reallocation, rulings
+from casetally.plans import staff, submissions, summary
 from casetally.plans.case_listing import case_listing
+from casetally.plans.indicators import all_indicators
 from casetally.plans.movements import movements_between, violence_movements
 from casetally.plans.started import started_cases
+from casetally.plans.versions import in_force
 from casetally.sources import starschema as star
 from casetally.sources.hearings import exploded_parties
 
@@ -34,6 +36,7 @@ MERGED = {"21": "1", "22": "2", "23": "3", "20": "3"}
 TYPE_LABELS = {"1": "Conciliación", "2": "Transacción", "4": "Desistimiento"}
 CLASS_LABELS = {"A": "Sent_Quiebra"}
 OUTCOMES = {"BUILDING": "building", "FURNITURE": "furniture", "HOUSEHOLD": "household"}
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 HOLIDAYS = ("1996-05-01", "1997-01-01", "1998-12-25", "1999-05-25", "2000-07-09", "2000-07-10")
 
 
@@ -270,9 +273,12 @@ def mediation_single_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def mediation_all_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return printed(mediation.mediation_report(
+    """No outcome is named when the report is made; the columns are picked from its cells."""
+    report = mediation.mediation_report(
         star.mediations(spark, sf_dir), star.population(spark, sf_dir), star.START, star.END
-    ))
+    )
+    cells = {o: F.coalesce(F.col("resultados")[o], F.lit(0)) for o in SEGMENTS}
+    return printed(report.withColumns(cells).drop("resultados"))
 
 
 @query
@@ -619,3 +625,58 @@ def participants_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     customers = star.table(spark, sf_dir, "customer").withColumn("justiables", packed)
     return exploded_parties(customers, "justiables", "c_custkey")
+
+
+@query
+def mediation_open_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every entry of the open pivot's cells, with its place in the cell."""
+    report = mediation.mediation_report(
+        star.mediations(spark, sf_dir), star.population(spark, sf_dir), "1996-03-01", "1999-06-01"
+    )
+    return report.select(
+        "circunscripcion", "mes_inicio", "mes", "total", "is_total",
+        F.posexplode(F.map_entries("resultados")).alias("lugar", "_e"),
+    ).select("circunscripcion", "mes_inicio", "mes", "total", "is_total", "lugar",
+             F.col("_e.key").alias("resultado"), F.col("_e.value").alias("cantidad"))
+
+
+@query
+def submissions_in_force(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was in force of each court and operation on every fifth day of the log."""
+    day = F.to_date("ts")
+    days = star.table(spark, sf_dir, "events").filter(F.day(day) % 5 == 0).select(day.alias("day"))
+    log = star.submission_log(spark, sf_dir, gaps=True)
+    return in_force(log, days.distinct(), ["iep", "operation"])
+
+
+@query
+def indicators_all_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rulings of five operations and mediations, told apart by their code in one table."""
+    cases = star.court_cases(spark, sf_dir, star.START, star.END, procedures=True)
+    operation = F.element_at(F.create_map(*[F.lit(x) for kv in star.LINE_OPERATIONS.items() for x in kv]), F.col("linea"))
+    ended = star.ended_mediations(spark, sf_dir).drop("nro", "finicio", "l_orderkey", "l_shipdate")
+    rows = cases.withColumn("operation", F.coalesce(operation, F.lit("CETAL_XL"))).unionByName(
+        ended.withColumn("operation", F.lit("CRMED")), allowMissingColumns=True
+    )
+    return all_indicators(rows, star.population(spark, sf_dir, star.LEFT_OUT), star.START, star.END)
+
+
+@query
+def within_district_business_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Holidays differ by district and come from a table."""
+    courts = star.court_directory(spark, sf_dir).select(F.col("organismo").alias("iep"), "circunscripcion")
+    working = calendar.working_calendar(
+        courts, star.district_holidays(spark, sf_dir), "1994-01-01", "2003-01-01"
+    )
+    cases = star.court_cases(spark, sf_dir).join(courts, "iep")
+    return calendar.share_within_working_days(cases, working, ["circunscripcion", "iep"], 50)
+
+
+@query
+def reallocation_apportioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares in proportion to weights that add up to what was handed over."""
+    weights = {"Brand#3": 5, "Brand#4": 3, "Brand#5": 3, "Brand#6": 0}
+    return reallocation.reallocate(
+        star.started_counts(spark, sf_dir), ["Brand#1", "Brand#2"], list(weights), ["ECONOMY"],
+        inverse=True, weights=weights,
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casetally.functions.dates import to_day
-from casetally.schemas import HEARINGS_RAW, CORRUPT
+from casetally.schemas import CORRUPT, HEARING_COLUMNS, HEARINGS_RAW
 
 PAYLOAD = "input"
 
@@ -77,14 +77,18 @@ def without_payload(log: DataFrame) -> DataFrame:
     return log.drop(PAYLOAD)
 
 
-def read_hearings(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+def read_hearings(
+    spark: SparkSession, path: str, encoding: str = "UTF-8", header: bool = True
+) -> DataFrame:
     """The TAB-separated hearing listing, every field as text.
 
     Dirty rows are kept: a row with another number of fields lands whole in the
-    corrupt-record column. One record is one line, so large files are split.
+    corrupt-record column, whichever columns are asked for. One record is one line, so
+    large files are split. A line without any character but white space is no record.
     """
-    return spark.read.schema(HEARINGS_RAW).csv(
-        path, sep="\t", header=True, quote='"', escape='"', mode="PERMISSIVE",
+    # A reader that skips columns would not see that a row has too many or too few.
+    return spark.read.schema(HEARINGS_RAW).option("columnPruning", "false").csv(
+        path, sep="\t", header=header, quote='"', escape='"', mode="PERMISSIVE",
         columnNameOfCorruptRecord=CORRUPT, encoding=encoding, multiLine=False,
     )
 
@@ -95,3 +99,17 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(path)
+
+
+def hearing_lines(df: DataFrame) -> DataFrame:
+    """A hearing listing as TAB-separated lines: its columns in order, one column ``value``.
+
+    Fields with a quote are quoted and the quotes doubled, as :func:`read_hearings` reads
+    them; NULL is an empty field.
+    """
+    fields = [
+        F.when(F.col(c).contains('"'), F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"')))
+        .otherwise(F.coalesce(F.col(c), F.lit("")))
+        for c in HEARING_COLUMNS
+    ]
+    return df.select(F.concat_ws("\t", *fields).alias("value"))

@@ -346,3 +346,15 @@ def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("apellido"),
         _text("n_regionkey").alias("nombres"),
     )
+
+
+# Line numbers as operations: cases of line 6 belong to an operation without indicators.
+LINE_OPERATIONS = {1: "CADR1C", 2: "CADR1L", 3: "CADRCAD", 4: "CADRCADS", 5: "CADRA23", 7: "CADR1C"}
+
+
+def district_holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of some orders as the holidays of a district; days repeat."""
+    orders = table(spark, sf_dir, "orders").select(F.pmod("o_orderkey", F.lit(149)).alias("_no"), "o_orderdate")
+    return table(spark, sf_dir, "region").join(orders, F.col("r_regionkey") == F.col("_no")).select(
+        F.col("r_name").alias("circunscripcion"), F.to_date("o_orderdate").alias("fecha")
+    )

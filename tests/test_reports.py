@@ -222,10 +222,36 @@ def test_mediation_by_month(spark):
     }
 
 
-def test_mediation_columns_are_the_outcomes_that_occur(spark):
+def test_mediation_cells_are_the_outcomes_that_occur(spark):
     df = mediation.mediation_report(mediations(spark), None, "2018-08-01", "2018-09-01")
-    assert [c for c in df.columns if c in ("Acuerdo", "Sin acuerdo", "Otra")] == ["Sin acuerdo"]
-    assert rows_by(df.filter("is_total"), "circunscripcion")["Total"].total == 1
+    rows = rows_by(df, "circunscripcion")
+    assert rows["N"].resultados == rows["Total"].resultados == {"Sin acuerdo": 1}
+    assert rows["Total"].total == 1 and rows["Total"].otros == 0
+    df = mediation.mediation_report(mediations(spark), None, "2018-07-01", "2018-09-01")
+    cells = df.withColumn("resultados", F.map_entries("resultados"))  # in the cell's order
+    got = {(r.circunscripcion, r.mes): ([tuple(e) for e in r.resultados], r.total) for r in cells.collect()}
+    assert got == {
+        ("N", "julio"): ([("Acuerdo", 2)], 2), ("N", "agosto"): ([("Sin acuerdo", 1)], 1),
+        ("N", "Total"): ([("Acuerdo", 2), ("Sin acuerdo", 1)], 3),
+        ("S", "julio"): ([("Acuerdo", 1), ("Otra", 1)], 2), ("S", "Total"): ([("Acuerdo", 1), ("Otra", 1)], 2),
+    }
+
+
+def test_mediation_with_more_outcomes_than_a_pivot_allows(spark):
+    rows = spark.range(40_000).selectExpr(
+        "'N' AS tipo_circ", "'cen1' AS iep", "DATE '2018-07-01' AS data_interval_start",
+        "DATE '2018-08-01' AS data_interval_end",
+        "CASE WHEN id >= 20 THEN lpad(CAST(id % 20000 AS STRING), 5, '0') END AS tres_disc", "1 AS duracion")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("open-pivot", "")
+    df = mediation.mediation_report(rows, None, "2018-07-01", "2018-09-01", monthly=False)
+    assert not tracker.getJobIdsForGroup("open-pivot")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    got = rows_by(df.withColumn("codigos", F.map_keys("resultados")), "circunscripcion")
+    for r in (got["N"], got["Total"]):
+        assert len(r.resultados) == 20_000 and r.codigos == sorted(r.resultados)
+        assert (sum(r.resultados.values()), r.otros, r.total) == (39_980, 20, 40_000)
+        assert r.resultados["00005"] == 1 and r.resultados["00025"] == 2
 
 
 def test_mediation_single_month_and_range(spark):
