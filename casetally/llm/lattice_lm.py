@@ -17,7 +17,8 @@ from casetally.llm.words import Words, mixed, slices, split_words
 MARK = "▁"  # stands before the first piece of a word
 _BASE = np.uint64(0x100000001B3)
 _ROW = 50_000
-LONG = 64
+LONG = 64  # bytes, beyond which a word's lattice is held in stretches
+STRETCH = 4096
 NEVER = -1e300
 
 
@@ -149,51 +150,67 @@ class Lattice:
         return out
 
     def long_word(self, letters: np.ndarray, into: np.ndarray | None, times: float) -> float:
-        """The same recursion for one long word, in pieces that bound its memory.
+        """The same recursions for one long word, in stretches that bound its memory.
 
-        Edges of all starts are found at once for a stretch of ends. For expected counts
-        the word is taken as known from its best last pieces, which is all but exact.
+        Only the forward and backward values are held for the whole word; the edges of a
+        stretch of ends are found at once, and found again on the way back.
         """
-        n, step = len(letters), 4096
-        alpha = [self.scores[self.bare]]
-        best: list[tuple[int, int]] = [(-1, self.bare)]
-        for low in range(0, n, step):
-            high = min(n, low + step)
-            base = max(0, low - self.longest)
-            part = letters[base:high].astype(np.uint64) + np.uint64(1)
-            ends = np.arange(low + 1, high + 1)
-            rolled = np.zeros(len(ends), np.uint64)
-            power = np.uint64(1)
-            columns = []
-            for size in range(1, min(self.longest, high) + 1):
-                start = ends - size
-                fits = start >= base
-                rolled[fits] += part[start[fits] - base] * power
-                with np.errstate(over="ignore"):
-                    power = power * _BASE
-                ids = np.where(fits, self.find(self.inner, rolled), self.never)
-                marked = np.where(fits & (start == 0), self.find(self.first, rolled), self.never)
-                columns.append((size, ids, marked))
-            for k, end in enumerate(ends):
-                ways = []
-                for size, ids, marked in columns:
-                    if size > end:
-                        break
-                    if ids[k] != self.never:
-                        ways.append((alpha[end - size] + self.scores[ids[k]], end - size, int(ids[k])))
-                    if marked[k] != self.never:
-                        ways.append((self.scores[marked[k]], -1, int(marked[k])))
-                top = max(ways)
-                alpha.append(top[0] + math.log(sum(math.exp(x[0] - top[0]) for x in ways)))
-                best.append(top[1:])
-        if into is not None:
-            at = n
-            while at >= 0:
-                start, piece = best[at]
-                into[piece] += times
-                at = start
+        n = len(letters)
+        alpha = np.full(n + 1, NEVER)
+        alpha[0] = self.scores[self.bare]
+        for low in range(0, n, STRETCH):
+            inner, marked = self.stretch(letters, low)
+            for end, ids, first in zip(range(low + 1, n + 1), inner, marked, strict=False):
+                size = min(end, len(ids))
+                ways = alpha[end - size : end][::-1] + self.scores[ids[:size]]
+                ways = np.append(ways, self.scores[first])
+                top = ways.max()
+                alpha[end] = top + math.log(np.exp(ways - top).sum())
+        if into is None:
+            return alpha[n]
+        beta = np.full(n + 1, NEVER)
+        beta[n] = 0.0
+        for low in reversed(range(0, n, STRETCH)):
+            inner, marked = self.stretch(letters, low)
+            share = np.zeros(inner.shape)
+            ends = np.arange(low + 1, low + 1 + len(inner))
+            for k in range(len(inner) - 1, -1, -1):
+                end, ids = low + 1 + k, inner[k]
+                size = min(end, len(ids))
+                rest = self.scores[ids[:size]] + beta[end]
+                before = beta[end - size : end][::-1]
+                before[:] = np.logaddexp(before, rest)
+                share[k, :size] = rest + alpha[end - size : end][::-1] - alpha[n]
+            share = np.where(inner == self.never, 0.0, np.exp(np.minimum(share, 0.0)))
+            into += np.bincount(inner.ravel(), share.ravel() * times, len(into))
+            whole = np.exp(np.minimum(self.scores[marked] + beta[ends] - alpha[n], 0.0))
+            into += np.bincount(marked, whole * times, len(into))
+        into[self.bare] += math.exp(min(alpha[0] + beta[0] - alpha[n], 0.0)) * times
         return alpha[n]
 
+    def stretch(self, letters: np.ndarray, low: int) -> tuple[np.ndarray, np.ndarray]:
+        """For the ends ``low + 1`` to ``low + STRETCH``: the inner pieces that reach them,
+        by length from 1 on, and the piece that begins the word and reaches them."""
+        high = min(len(letters), low + STRETCH)
+        base = max(0, low - self.longest)
+        part = letters[base:high].astype(np.uint64) + np.uint64(1)
+        ends = np.arange(low + 1, high + 1)
+        rolled = np.zeros(len(ends), np.uint64)
+        power = np.uint64(1)
+        most = min(self.longest, high)
+        inner = np.full((len(ends), most), self.never)
+        marked = np.full(len(ends), self.never)
+        for size in range(1, most + 1):
+            start = ends - size
+            fits = start >= base
+            rolled[fits] += part[start[fits] - base] * power
+            with np.errstate(over="ignore"):
+                power = power * _BASE
+            inner[:, size - 1] = np.where(fits, self.find(self.inner, rolled), self.never)
+            whole = np.flatnonzero(start == 0)
+            marked[whole] = self.find(self.first, rolled[whole])
+        return inner, marked
+
 
 def hash_of(data: bytes) -> int:
     h = 0
