@@ -7,21 +7,25 @@ from pyspark.sql import functions as F
 
 from casetally.llm.common import stored, text_or_empty
 
+RUN = 4096  # most interchangeable rows that one task numbers at a time
+
 
 def byte_shards(
     docs: DataFrame, shards: int = 16, doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """One row per document: ``doc_id, size, text_crc32, law, shard, slot, grown_shard``.
 
-    Documents stand in the order of id (NULL first), checksum and size. The narrow rows
-    are range-partitioned and written once, so that partition bounds cannot move between
-    passes. Totals per partition give each partition's offset, a running sum inside the
+    Documents stand in the order of id (NULL first), checksum and size. Rows that agree in
+    all of these are interchangeable: they are counted in partial sums and numbered, in
+    runs of at most ``RUN`` a task, so that a range may end between two of them. The narrow
+    rows are range-partitioned and written once, so that partition bounds cannot move
+    between passes. Totals per partition give each partition's offset, a running sum inside the
     partition gives each row's place on the global byte line, and the line is cut at
     ``shards`` equal targets; a document goes where its middle lies. No task sees more
     than one partition, and what is broadcast is one row per partition.
 
     ``size`` is the UTF-8 length plus one, so empty and NULL texts (equal here) weigh 1.
-    Rows that agree in id, checksum and size are interchangeable. A document longer than
+    A document longer than
     a target can leave shards empty. An empty table gives no rows.
     """
     content = text_or_empty(text)
@@ -31,8 +35,16 @@ def byte_shards(
         F.crc32(content).alias("text_crc32"),
     )
     order = ["doc_id", "text_crc32", "size"]
+    first = F.expr(f"sequence(0L, _times - 1, {RUN}L)")
+    runs = rows.groupBy(*order).agg(F.count("*").alias("_times")).select(
+        *order, "_times", F.explode(first).alias("_first")
+    )
+    last = F.least(F.col("_first") + RUN, F.col("_times")) - 1
+    numbered = runs.repartition(*order, "_first").select(
+        *order, F.explode(F.sequence("_first", last)).alias("_copy")
+    )
     placed = stored(
-        rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+        numbered.repartitionByRange(*order, "_copy").withColumn("_part", F.spark_partition_id())
     )
     # One row per partition: the single task here reads as many rows as there are partitions.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -43,7 +55,7 @@ def byte_shards(
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows_before"),
         F.sum("_bytes").over(Window.partitionBy()).alias("_total"),
     )
-    inside = Window.partitionBy("_part").orderBy(*order)
+    inside = Window.partitionBy("_part").orderBy(*order, "_copy")
     to_here = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     line = (
         placed.select(

@@ -16,8 +16,9 @@ import pyarrow as pa
 import pytest
 from edge_cases import edge_rows
 
-from casetally.llm import bpe, secret_scan
+from casetally.llm import bpe, lattice_lm, secret_scan, sharding
 from casetally.llm.bpe import WORD_CHUNKS, ByteBpe, PrefixEncoding, token_digests
+from casetally.llm.common import stored
 from casetally.llm.exact_dedup import QuotientFilter, exact_duplicates, without_copies
 from casetally.llm.lattice_lm import Lattice, hash_of, lattice_scores, vocabulary_of
 from casetally.llm.mixing import mix, mixed_rows
@@ -126,6 +127,31 @@ def test_byte_shards(edge_docs, clashing_docs, no_docs):
     assert byte_shards(no_docs).count() == 0
 
 
+def test_equal_rows_are_spread_over_partitions(spark, monkeypatch):
+    """Half of the rows agree in everything; no partition gets many more rows than others."""
+    monkeypatch.setattr(sharding, "RUN", 50)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    rows = [(None, None) for _ in range(3000)] + [(i, "x" * (i % 7)) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    seen = []
+    monkeypatch.setattr(sharding, "stored", lambda df: seen.append(stored(df)) or seen[-1])
+    try:
+        found = byte_shards(docs, shards=4).collect()
+    finally:
+        spark.conf.set(key, "true")
+    per_part = Counter(r["_part"] for r in seen[0].select("_part").collect())
+    assert sum(per_part.values()) == 6000 and max(per_part.values()) < 2 * 6000 / 8
+    sizes = sorted((i is not None, i or 0, zlib.crc32((t or "").encode()), len(t or "") + 1) for i, t in rows)
+    total, at, want, slots = sum(x[3] for x in sizes), 0, Counter(), Counter()
+    for given, i, crc, size in sizes:
+        shard = (2 * at + size) * 4 // (2 * total)
+        want[i if given else None, size, crc, shard, slots[shard]] += 1
+        slots[shard] += 1
+        at += size
+    assert Counter((r.doc_id, r.size, r.text_crc32, r.shard, r.slot) for r in found) == want
+
+
 def test_shards_are_near_equal(spark):
     r = random.Random(5)
     docs = spark.createDataFrame(
@@ -455,6 +481,51 @@ def test_forward_recursion_sums_all_segmentations():
     assert math.isclose(starts, len(w.hashes))  # each word begins once
 
 
+@pytest.mark.parametrize("size", [1, 7, 64, 65, 200, 5000])
+def test_expected_counts_follow_one_rule_for_every_length(monkeypatch, size):
+    """A word's lattice in stretches gives what the one held whole gives."""
+    monkeypatch.setattr(lattice_lm, "STRETCH", 33)
+    lattice = Lattice.of({"▁ab": -1.0, "▁a": -2.0, "b": -3.0, "ba": -4.0, "abab": -5.0, "a": -6.0, "▁": -7.0, "aba": -8.0})
+    r = random.Random(size)
+    w = split_words(pa.array(["".join(r.choice("aabbx") for _ in range(size))]))
+    found = []
+    for limit in (0, 1 << 20):
+        monkeypatch.setattr(lattice_lm, "LONG", limit)
+        into = np.zeros(len(lattice.scores))
+        score = lattice.words(w, np.array([0]), np.array([3.0]), into)
+        found.append((score[0], into))
+    assert math.isclose(found[0][0], found[1][0], rel_tol=1e-9)
+    assert np.allclose(found[0][1], found[1][1], rtol=1e-6, atol=1e-9)
+
+
+def test_expected_counts_are_those_of_all_segmentations():
+    lattice = Lattice.of({"▁ab": -1.0, "▁a": -2.0, "b": -3.0, "ba": -4.0, "abab": -5.0, "a": -6.0, "▁": -7.0})
+    pieces = {(kind, c): i for kind, (keys, numbers) in enumerate((lattice.first, lattice.inner))
+              for c in [b"ab", b"a", b"b", b"ba", b"abab"]
+              for i in lattice.find((keys, numbers), np.array([hash_of(c)], np.uint64)) if i != lattice.never}
+    p = np.exp(lattice.scores)
+
+    def ways(rest, start):
+        if not rest and not start:
+            yield 1.0, []
+        if start:
+            yield from ((q * p[lattice.bare], [lattice.bare, *x]) for q, x in ways(rest, False))
+        for (kind, c), i in pieces.items():
+            if kind == (0 if start else 1) and rest.startswith(c):
+                yield from ((q * p[i], [i, *x]) for q, x in ways(rest[len(c):], False))
+
+    word = b"abababbaab"
+    want, total = Counter(), 0.0
+    for q, x in ways(word, True):
+        total += q
+        for i in x:
+            want[i] += q
+    into = np.zeros(len(lattice.scores))
+    got = lattice.long_word(np.frombuffer(word, np.uint8), into, 1)
+    assert math.isclose(got, math.log(total))
+    assert np.allclose(into, [want[i] / total for i in range(len(into))])
+
+
 def test_vocabulary_has_no_control_pieces():
     pieces = vocabulary_of(tokenizers.path("piece_bpe_32k.model"))
     assert len(pieces) > 30_000 and "</s>" not in pieces and "<0x00>" not in pieces
