@@ -22,13 +22,21 @@ _SIGN = np.uint64(1 << 63)
 TELLING = 2.0  # difference of logarithms from which a word counts as telling
 
 
+def pair_of(head: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    """The hash of a context and a word, from theirs; :data:`_PAIR_SQL` is the same."""
+    return head ^ ((tail << np.uint64(29)) | (tail >> np.uint64(35)))
+
+
+_PAIR_SQL = "head ^ (shiftleft(tail, 29) | shiftrightunsigned(tail, 35))"
+
+
 def bigrams(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of each word's context (the word before, or the text's beginning) and pair."""
     h = words.hashes
     before = np.empty_like(h)
     before[1:] = h[:-1]
     before[words.bounds[:-1][np.diff(words.bounds) > 0]] = _BEGIN
-    return before, mixed(before * _PAIR + h)
+    return before, pair_of(before, h)
 
 
 def once_a_text(w: Words, keys: np.ndarray, among: np.ndarray | None = None) -> np.ndarray:
@@ -279,30 +287,32 @@ def fit(
                 w = _words_of(part.column(0))
                 label_of = np.asarray(part.column(1)).astype(np.int8)[w.document]
                 before, pair = bigrams(w)
-                key = np.stack([pair, before, w.hashes, label_of.astype(np.uint64)], axis=1)
                 once = once_a_text(w, pair)
-                _, first, n = np.unique(
-                    pair[once] ^ key[once, 3], return_index=True, return_counts=True
-                )
-                got = key[once][first]
+                labelled = mixed(pair[once] + label_of[once].astype(np.uint64) * _PAIR)
+                _, first, n = np.unique(labelled, return_index=True, return_counts=True)
+                at = once[first]
+                place = (pair[at].view(np.int64) >> (64 - (RANGES - 1).bit_length())).astype(np.int8)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(got[:, i].astype(np.uint64).view(np.int64)) for i in range(3)]
-                    + [pa.array(got[:, 3].astype(np.int8)), pa.array(n.astype(np.int32))],
-                    names=["pair", "head", "tail", "label", "n"],
+                    [pa.array(place), pa.array(before[at].view(np.int64)), pa.array(w.hashes[at].view(np.int64)),
+                     pa.array(label_of[at]), pa.array(n.astype(np.int32))],
+                    names=["range", "head", "tail", "label", "n"],
                 )
 
     # Tables are dealt by ranges of the hash, so that files are sorted one after the other.
     # The sample is bounded, and so is each range of its hashes; partitions are many more
     # than ranges, so that few of them get two.
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.repartition(4 * RANGES, "range")
+
     def ranged(df: DataFrame, key: str) -> DataFrame:
-        return df.withColumn("range", _range_of(key)).repartition(4 * RANGES, "range")
+        return dealt(df.withColumn("range", _range_of(key)))
 
     pairs = (
-        ranged(learn.select("text", "label").mapInArrow(count, "pair long, head long, tail long, label byte, n int"), "pair")
-        .groupBy("range", "pair", "head", "tail").agg(
+        dealt(learn.select("text", "label").mapInArrow(count, "range byte, head long, tail long, label byte, n int"))
+        .groupBy("range", "head", "tail").agg(
             F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("c0"),
             F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("c1"),
-        )
+        ).withColumns({"range": F.col("range").cast("int"), "pair": F.expr(_PAIR_SQL)})
     )
     kinds = [F.sum((F.col(c) > 0).cast("long")).alias(f"k{c[1]}") for c in ("c0", "c1")]
 

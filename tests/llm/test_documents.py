@@ -25,8 +25,8 @@ from casetally.llm.mixing import mix, mixed_rows
 from casetally.llm.near_dup import Forest, near_duplicates, one_of_each
 from casetally.llm.secret_scan import span_digests
 from casetally.llm.sharding import byte_shards
-from casetally.llm.toxicity import _BEGIN, _PAIR, Compact, fit, toxicity, without_toxic
-from casetally.llm.words import NOT_ALPHANUMERIC, mixed, split_words
+from casetally.llm.toxicity import _BEGIN, Compact, fit, pair_of, toxicity, without_toxic
+from casetally.llm.words import NOT_ALPHANUMERIC, split_words
 
 tokenizers = pytest.importorskip("public_tokenizers")
 SPACE = re.compile(r"[\x20\x09-\x0D]")
@@ -595,7 +595,7 @@ def test_toxicity_keeps_all_counts(spark):
     keys = sorted({(a or "", b) for a, b, _ in pairs})
     before = np.array([hashes[a or None] for a, _ in keys], np.uint64)
     w = np.array([hashes[b] for _, b in keys], np.uint64)
-    got = model.pairs.at(mixed(before * _PAIR + w))
+    got = model.pairs.at(pair_of(before, w))
     assert got.tolist() == [[pairs[a or None, b, x] for x in (0, 1)] for a, b in keys]
     assert model.heads.at(before).tolist() == [[heads[a or None, k] for k in range(4)] for a, _ in keys]
     assert model.tails.at(w).tolist() == [[tails[b, x] for x in (0, 1)] for _, b in keys]
