@@ -72,6 +72,33 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     ]
 
 
+def thinned(
+    docs: DataFrame, keys: dict[str, Column], out: DataFrame, once: DataFrame, salts: int = 64
+) -> DataFrame:
+    """Rows of ``docs``, all columns as they were, without those whose key is in ``out`` and
+    with one row of each key in ``once``. ``keys`` are never NULL; both tables have them by
+    their names, and no key is in both.
+
+    All other rows pass as they are: whether the join shuffles them is left to Spark, by the
+    size of the stored keys. Rows of a key in ``once`` are dealt to ``salts`` parts by their
+    partition before they are joined and reduced, so that no task gets all of a hot key.
+    """
+    names = list(keys)
+    whole = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
+        *[key.alias(name) for name, key in keys.items()],
+    )
+    passed = whole.join(out.select(*names).unionByName(once.select(*names)), names, "left_anti")
+    dealt = whole.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    salted = once.select(*names, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    first = F.first("_doc").alias("_doc")
+    reduced = (
+        dealt.join(salted, [*names, "_salt"], "left_semi")
+        .groupBy(*names, "_salt").agg(first).groupBy(*names).agg(first)
+    )
+    return passed.select("_doc.*").unionAll(reduced.select("_doc.*"))
+
+
 def rows_for(count: int, per_part: int) -> int:
     """Parts of at most about ``per_part`` rows each."""
     return max(1, -(-count // per_part))

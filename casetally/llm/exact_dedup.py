@@ -10,91 +10,171 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casetally.llm.common import SPACE, rows_for, stored, text_or_empty
+from casetally.llm.common import SPACE, rows_for, stored, text_or_empty, thinned
 
 RUNS_SCHEMA = "range long, filter binary"
 MOST_HELD = 8_000_000  # fingerprints of one partition that are held before filters are written
 
 
 class QuotientFilter:
-    """Counts of 64-bit fingerprints of one range, as sorted runs of remainders.
+    """A packed counting quotient filter: exact counts of ``bits``-bit fingerprints.
 
-    A fingerprint is split into quotient (``q`` bits) and remainder; remainders of one
-    quotient form a run, kept in order, each with its count. All bits are kept, so a
-    merge is lossless: the runs of both filters are merged by remainder and counts of
-    equal remainders are added.
+    A fingerprint is split into quotient (``q`` high bits) and remainder. ``occupied`` has a
+    bit per quotient that occurs, ``ends`` a bit per slot that is the last of its quotient's
+    run. Slots hold the remainders, ascending within a run, at their exact width. A bit per
+    slot in ``repeated`` tells counts above one, and only these have a counter, of as many
+    seven-bit groups as it needs. No bit of a fingerprint is dropped, so merging is lossless.
     """
 
-    def __init__(self, q: int, runs: np.ndarray, remainders: np.ndarray, counts: np.ndarray):
-        self.q, self.runs, self.remainders, self.counts = q, runs, remainders, counts
+    def __init__(
+        self, bits: int, q: int, n: int, occupied: np.ndarray, ends: np.ndarray,
+        remainders: np.ndarray, repeated: np.ndarray, counters: np.ndarray,
+    ):
+        self.bits, self.q, self.n, self.occupied, self.ends = bits, q, n, occupied, ends
+        self.remainders, self.repeated, self.counters = remainders, repeated, counters
 
     @classmethod
-    def of(cls, fingerprints: np.ndarray, counts: np.ndarray | None = None) -> QuotientFilter:
-        """From unsigned fingerprints in any order; ``counts`` of 1 where not given."""
-        if counts is None:
-            counts = np.ones(len(fingerprints), dtype=np.int64)
-        order = np.argsort(fingerprints, kind="stable")
-        values, sums = fingerprints[order], counts[order]
-        if len(values):
-            first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
-            values, sums = values[first], np.add.reduceat(sums, first)
-        q = min(32, max(1, int(len(values)).bit_length()))
-        quotient = values >> np.uint64(64 - q)
-        remainder = values & np.uint64((1 << (64 - q)) - 1)
-        used, run = np.unique(quotient, return_counts=True)
-        runs = np.stack([used, run.astype(np.uint64)]) if len(used) else np.empty((2, 0), np.uint64)
-        return cls(q, runs, remainder, sums)
+    def of(cls, fingerprints: np.ndarray, bits: int = 64) -> QuotientFilter:
+        """From unsigned fingerprints in any order, each as often as it is there."""
+        return cls._packed(*np.unique(fingerprints, return_counts=True), bits)
+
+    @classmethod
+    def _packed(cls, values: np.ndarray, counts: np.ndarray, bits: int) -> QuotientFilter:
+        """From distinct ascending fingerprints."""
+        n = len(values)
+        q = min(bits - 1, max(1, n.bit_length() - 1))
+        width = bits - q
+        quotient = values >> np.uint64(width)
+        occupied = np.zeros(1 << q, bool)
+        occupied[quotient.astype(np.int64)] = True
+        ends = np.ones(n, bool)
+        ends[:-1] = quotient[1:] != quotient[:-1]
+        repeated = counts > 1
+        return cls(
+            bits, q, n, np.packbits(occupied), np.packbits(ends),
+            _pack(values & np.uint64((1 << width) - 1), width), np.packbits(repeated),
+            _counters(counts[repeated].astype(np.uint64) - np.uint64(2)),
+        )
 
     def fingerprints(self) -> np.ndarray:
-        quotients = np.repeat(self.runs[0], self.runs[1].astype(np.int64))
-        return (quotients << np.uint64(64 - self.q)) | self.remainders
+        """All distinct fingerprints, ascending: the k-th run belongs to the k-th used quotient."""
+        used = np.flatnonzero(np.unpackbits(self.occupied, count=1 << self.q)).astype(np.uint64)
+        ends = np.unpackbits(self.ends, count=self.n).astype(np.int64)
+        width = self.bits - self.q
+        return (used[np.cumsum(ends) - ends] << np.uint64(width)) | _unpack(self.remainders, width, self.n)
+
+    @property
+    def counts(self) -> np.ndarray:
+        counts = np.ones(self.n, np.int64)
+        counts[np.unpackbits(self.repeated, count=self.n).astype(bool)] = _counted(self.counters) + 2
+        return counts
 
     def merged(self, other: QuotientFilter) -> QuotientFilter:
-        return QuotientFilter.of(
-            np.concatenate([self.fingerprints(), other.fingerprints()]),
-            np.concatenate([self.counts, other.counts]),
+        """Runs of both in step: a remainder of both gets the sum, others keep their place.
+
+        Both are in order already, so the smaller's entries are looked up in the larger's
+        and inserted; nothing is sorted. The wider quotient follows from the new number.
+        """
+        large, small = (self, other) if self.n >= other.n else (other, self)
+        values, counts = large.fingerprints(), large.counts
+        more, times = small.fingerprints(), small.counts
+        spot = np.searchsorted(values, more)
+        known = np.zeros(len(more), bool)
+        inside = spot < len(values)
+        known[inside] = values[spot[inside]] == more[inside]
+        counts[spot[known]] += times[known]
+        new = ~known
+        return self._packed(
+            np.insert(values, spot[new], more[new]), np.insert(counts, spot[new], times[new]), self.bits
         )
 
     def to_bytes(self) -> bytes:
-        """Counts of 1, nearly all, take one byte; larger ones follow as an exception list."""
-        head = np.array([self.q, self.runs.shape[1], len(self.counts)], dtype="<u8")
-        small = np.where(self.counts < 255, self.counts, 255).astype(np.uint8)
-        large = self.counts[self.counts >= 255].astype("<i8")
+        head = np.array([self.bits, self.q, self.n], "<u4")
         return b"".join(a.tobytes() for a in (
-            head, self.runs[0].astype("<u4"), self.runs[1].astype("<u4"),
-            self.remainders.astype("<u8"), small, large,
+            head, self.occupied, self.ends, self.repeated, self.remainders, self.counters
         ))
 
     @classmethod
     def from_bytes(cls, data: bytes) -> QuotientFilter:
-        q, used, n = (int(x) for x in np.frombuffer(data, "<u8", 3))
-        at = 24
-        runs = np.frombuffer(data, "<u4", 2 * used, at).reshape(2, used).astype(np.uint64)
-        at += 8 * used
-        remainders = np.frombuffer(data, "<u8", n, at).astype(np.uint64)
-        at += 8 * n
-        counts = np.frombuffer(data, np.uint8, n, at).astype(np.int64)
-        large = np.frombuffer(data, "<i8", int((counts == 255).sum()), at + n)
-        counts[counts == 255] = large
-        return cls(q, runs, remainders, counts)
+        bits, q, n = (int(x) for x in np.frombuffer(data, "<u4", 3))
+        body, slots = np.frombuffer(data, np.uint8, offset=12), -(-n // 8)
+        sizes = (-(-(1 << q) // 8), slots, slots, _packed_size(bits - q, n))
+        occupied, ends, repeated, remainders, counters = np.split(body, np.cumsum(sizes))
+        return cls(bits, q, n, occupied, ends, remainders, repeated, counters)
+
+
+def _packed_size(width: int, n: int) -> int:
+    return n * (width // 8) + -(-n * (width % 8) // 8)
+
+
+def _pack(values: np.ndarray, width: int) -> np.ndarray:
+    """``width`` bits a value: the whole bytes, then the odd bits of all values."""
+    whole, odd = divmod(width, 8)
+    octets = values.astype("<u8").view(np.uint8).reshape(len(values), 8)
+    if not odd:
+        return octets[:, :whole].ravel()
+    rest = np.unpackbits(octets[:, whole : whole + 1], axis=1, bitorder="little")[:, :odd]
+    return np.concatenate([octets[:, :whole].ravel(), np.packbits(rest)])
+
+
+def _unpack(packed: np.ndarray, width: int, n: int) -> np.ndarray:
+    whole, odd = divmod(width, 8)
+    octets = np.zeros((n, 8), np.uint8)
+    octets[:, :whole] = packed[: n * whole].reshape(n, whole)
+    if odd:
+        rest = np.unpackbits(packed[n * whole :], count=n * odd).reshape(n, odd)
+        octets[:, whole] = np.packbits(rest, axis=1, bitorder="little")[:, 0]
+    return octets.reshape(-1).view("<u8").astype(np.uint64)
+
+
+def _counters(values: np.ndarray) -> np.ndarray:
+    """Seven bits a byte, low ones first; the high bit says that another byte follows."""
+    size = np.ones(len(values), np.int64)
+    for k in range(1, 10):
+        size += values >> np.uint64(7 * k) > 0
+    first = np.cumsum(size) - size
+    out = np.zeros(int(size.sum()), np.uint8)
+    for k in range(int(size.max(initial=0))):
+        own = size > k
+        group = (values[own] >> np.uint64(7 * k)).astype(np.uint8) & np.uint8(127)
+        out[first[own] + k] = group | ((size[own] > k + 1).astype(np.uint8) << np.uint8(7))
+    return out
+
+
+def _counted(octets: np.ndarray) -> np.ndarray:
+    last = np.flatnonzero(octets < 128)
+    first = np.concatenate([[0], last[:-1] + 1]).astype(np.int64)[: len(last)]
+    at = np.arange(len(octets)) - np.repeat(first, last - first + 1)
+    groups = (octets & 127).astype(np.int64) << (7 * at)
+    return np.add.reduceat(groups, first) if len(first) else np.zeros(0, np.int64)
 
 
 def repeated_fingerprints(prints: DataFrame, column: str, per_range: int = 500_000) -> DataFrame:
     """Fingerprints that occur more than once: ``column, times``.
 
     Every partition builds one filter per range of fingerprints from its own rows, which
-    already adds up its copies. Filters of a range then meet and merge. Ranges are cut by
-    the leading bits of the hash so that one holds about ``per_range`` fingerprints.
+    already adds up its copies. Filters of a range then meet and merge, those of like size
+    first. Ranges are cut by the leading bits of the hash so that one holds about
+    ``per_range`` fingerprints, and filters hold what lies above their range's start.
     """
     ranges = rows_for(prints.count(), per_range)
+    heads = -(-(1 << 32) // ranges)  # of the leading 32 bits, at most so many are in a range
+    bits = 32 + (heads - 1).bit_length()
+
+    def start(of_range: np.ndarray) -> np.ndarray:
+        return (-(-(of_range << 32) // ranges)).astype(np.uint64) << np.uint64(32)
 
     def filters_of(values: np.ndarray) -> pd.DataFrame:
         spot = ((values >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
         order = np.argsort(spot, kind="stable")
         values, spot = values[order], spot[order]
         cuts = np.flatnonzero(np.diff(spot)) + 1
-        parts = [QuotientFilter.of(v).to_bytes() for v in np.split(values, cuts)]
-        return pd.DataFrame({"range": spot[np.concatenate([[0], cuts])].astype(np.int64), "filter": parts})
+        own = spot[np.concatenate([[0], cuts])].astype(np.int64)
+        parts = [
+            QuotientFilter.of(v - low, bits).to_bytes()
+            for v, low in zip(np.split(values, cuts), start(own), strict=True)
+        ]
+        return pd.DataFrame({"range": own, "filter": parts})
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, n = [], 0
@@ -108,18 +188,17 @@ def repeated_fingerprints(prints: DataFrame, column: str, per_range: int = 500_0
             yield filters_of(np.concatenate(held))
 
     def merge(batch: pd.DataFrame) -> pd.DataFrame:
-        total = QuotientFilter.of(np.empty(0, np.uint64))
+        total = QuotientFilter.of(np.empty(0, np.uint64), bits)
         waiting: list[QuotientFilter] = []
         for data in batch["filter"]:
             waiting.append(QuotientFilter.from_bytes(data))
-            while len(waiting) > 1 and len(waiting[-2].counts) <= 2 * len(waiting[-1].counts):
+            while len(waiting) > 1 and waiting[-2].n <= 2 * waiting[-1].n:
                 waiting[-2:] = [waiting[-2].merged(waiting[-1])]
         for f in reversed(waiting):
             total = total.merged(f)
-        more = total.counts > 1
-        return pd.DataFrame(
-            {column: total.fingerprints()[more].view(np.int64), "times": total.counts[more]}
-        )
+        counts = total.counts
+        found = total.fingerprints()[counts > 1] + start(batch["range"].to_numpy()[:1])
+        return pd.DataFrame({column: found.view(np.int64), "times": counts[counts > 1]})
 
     filters = prints.select(column).mapInPandas(build, RUNS_SCHEMA)
     return filters.groupBy("range").applyInPandas(merge, f"{column} long, times long")
@@ -184,25 +263,20 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 def without_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``docs`` with one row per group of equal texts, all columns as they were.
 
-    Rows that agree in id, length and normalised text are reduced to one of them.
+    Rows that agree in id, length and normalised text are reduced to one of them. What has
+    no copy passes without being grouped or numbered.
     """
-    from pyspark.sql import Window
-
-    names = docs.columns
-    dropped = exact_duplicates(docs, doc_id, text).filter("group_size > 1").groupBy(
-        F.xxhash64("doc_id", F.col("doc_id").isNull(), "_chars").alias("_dup_row"),
-        F.col("text_sha256").alias("_dup_text"),
-    ).agg(F.bool_or("kept").alias("_dup_kept"), F.count("*").alias("_dup_times"))
-    chars = F.char_length(text_or_empty(text)).alias("_chars")
-    keyed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in names]).alias("_dup_doc"),
-        F.xxhash64(F.col(doc_id).cast("long"), F.col(doc_id).isNull(), chars).alias("_dup_row"),
-        F.sha2(normalised(text), 256).alias("_dup_text"),
+    keys = F.xxhash64("doc_id", F.col("doc_id").isNull(), "_chars").alias("_dup_row")
+    copies = stored(
+        exact_duplicates(docs, doc_id, text).filter("group_size > 1")
+        .groupBy(keys, F.col("text_sha256").alias("_dup_text"))
+        .agg(F.bool_or("kept").alias("_dup_kept"), F.count("*").alias("_dup_times"))
     )
-    number = F.row_number().over(Window.partitionBy("_dup_row", "_dup_text").orderBy("_dup_row"))
-    return (
-        keyed.join(dropped, ["_dup_row", "_dup_text"], "left")
-        .filter("_dup_kept IS NULL OR _dup_kept")
-        .withColumn("_dup_no", number).filter("_dup_no = 1")
-        .select("_dup_doc.*")
+    chars = F.char_length(text_or_empty(text))
+    keyed = {
+        "_dup_row": F.xxhash64(F.col(doc_id).cast("long"), F.col(doc_id).isNull(), chars),
+        "_dup_text": F.sha2(normalised(text), 256),
+    }
+    return thinned(
+        docs, keyed, out=copies.filter("NOT _dup_kept"), once=copies.filter("_dup_kept AND _dup_times > 1")
     )
