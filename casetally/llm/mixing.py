@@ -71,7 +71,8 @@ def mix(
 
     Running sums never put a source into one task: documents fall into ranges of the
     shuffle order and copies into ranges of the finish time, totals of ranges are summed
-    first, and only rows of one range meet. Of the ranges of finish time only the one that
+    first, and only rows of one range meet. Documents of one id, or without one, follow each
+    other by the hash of their text, so that ranges end among them as well. Of the ranges of finish time only the one that
     the budget ends in is ordered. Texts are not shuffled.
 
     NULL and empty texts have size 0 and are never taken, nor is anything of a source of
@@ -91,13 +92,12 @@ def mix(
     targets = stored(mix_targets(sizes.select("source", "source_size"), weights, share, most))
     ranges = rows_for(units.count(), per_bucket)
 
-    # Ranges of the shuffle order: the first 28 bits of the hash, cut evenly.
-    place = F.floor(F.conv(F.substring("_order", 1, 7), 16, 10).cast("long") * ranges / F.lit(1 << 28))
-    queue = (
-        units.filter("size > 0")
-        .select("*", mass.alias("_mass"), place.alias("_range"))
-        .withColumn("_source", F.struct("source"))
-    )
+    # Written once, so that the ranges cannot move between passes.
+    queue = stored(
+        units.filter("size > 0").select("*", mass.alias("_mass"))
+        .repartitionByRange(ranges, "_order", "_k1", "_k2")
+        .withColumn("_range", F.spark_partition_id())
+    ).withColumn("_source", F.struct("source"))
     before = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         queue.groupBy("_source", "_range").agg(F.sum("_mass").alias("_m"))
