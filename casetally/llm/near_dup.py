@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from casetally.llm.common import row_key, stored
+from casetally.llm.common import row_key, stored, thinned
 from casetally.llm.words import mixed, shingles, slices, split_words
 
 WORDS = 5
@@ -21,14 +21,15 @@ class Forest:
     """Shape of the forest: ``trees`` prefix tries over labels of ``longest`` hash values.
 
     Two texts of similarity s share the first k values of a tree's label with probability
-    s**k. ``depths`` are the prefix lengths to be tried, from the longest down to the first
-    at which a pair at the threshold meets in some tree with at least the target recall.
+    s**k. ``depths`` are the prefix lengths that may be tried, from the longest down to the
+    first at which a pair at the threshold meets in some tree with at least the target
+    recall. How far a text goes down depends on its own size (:meth:`steps`).
     """
 
     def __init__(self, threshold: float = 0.8, recall: float = 0.995, trees: int = 20, longest: int = 8):
-        self.threshold, self.trees, self.longest = threshold, trees, longest
+        self.threshold, self.target, self.trees, self.longest = threshold, recall, trees, longest
         self.depths = [longest]
-        while 1 - (1 - threshold ** self.depths[-1]) ** trees < recall:
+        while self.recall(threshold, self.depths[-1]) < recall:
             if self.depths[-1] == 1:
                 raise ValueError("so few trees cannot reach the recall")
             self.depths.append(self.depths[-1] - 1)
@@ -36,9 +37,38 @@ class Forest:
         values = trees * longest
         self.flip = r.integers(0, 1 << 32, values, dtype=np.uint32)
         self.times = r.integers(0, 1 << 31, values, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+        self._steps: dict[int, int] = {}
         # A share of equal values so far below the threshold is out of reach by chance.
         self.least_share = threshold - 5 * (threshold * (1 - threshold) / values) ** 0.5
 
+    def recall(self, similarity: float, depth: int) -> float:
+        """The chance that a pair of this similarity shares a prefix of this depth."""
+        return 1 - (1 - similarity**depth) ** self.trees
+
+    def least_similarity(self, size: int) -> float:
+        """The least similarity, from the threshold up, of a set of ``size`` to a different
+        one; 1 if it can reach the threshold with none. Beyond 60 the threshold is near enough."""
+        if size > 60:
+            return self.threshold
+        least, t = 1.0, self.threshold - EPSILON
+        for other in range(1, int(size / self.threshold + EPSILON) + 1):
+            for both in range(1, min(size, other) + 1):
+                s = both / (size + other - both)
+                if t <= s < least:
+                    least = s
+        return least
+
+    def steps(self, size: int) -> int:
+        """How many of ``depths`` a set of ``size`` shingles has to try to be found by each
+        different set at the threshold or above with the target recall; 0 if there is none."""
+        if size not in self._steps:
+            least = self.least_similarity(size)
+            steps = 0 if least >= 1 else next(
+                (i + 1 for i, d in enumerate(self.depths) if self.recall(least, d) >= self.target), len(self.depths)
+            )
+            self._steps[size] = steps
+        return self._steps[size]
+
     def signature(self, hashes: np.ndarray) -> np.ndarray:
         """The least value of every hash function over the shingles."""
         low = (hashes >> np.uint64(32)).astype(np.uint32)
@@ -71,11 +101,12 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> list[np.ndarray]:
 
 
 def signatures(docs: DataFrame, forest: Forest, doc_id: str, text: str) -> DataFrame:
-    """Per row ``_k1, _k2, doc_id, node`` and the node's keys and short signature.
+    """Per row ``_k1, _k2, doc_id, node`` and the node's steps, keys and short signature.
 
-    ``node`` names the set of shingles; it is NULL for a text without words.
+    ``node`` names the set of shingles; it is NULL for a text without words. ``steps`` is how
+    many depths the node has to try. ``keys`` holds a list of names of prefixes a depth.
     """
-    schema = "_k1 long, _k2 long, doc_id long, node long, keys array<array<long>>, short binary"
+    schema = "_k1 long, _k2 long, doc_id long, node long, steps int, keys array<array<long>>, short binary"
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,9 +123,10 @@ def signatures(docs: DataFrame, forest: Forest, doc_id: str, text: str) -> DataF
                     pa.array(np.arange(0, len(inner) + 1, len(forest.depths), dtype=np.int32)), inner
                 )
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), part.column(1), part.column(2), pa.array(nodes, mask=none), outer,
+                    part.column(0), part.column(1), part.column(2), pa.array(nodes, mask=none),
+                    pa.array([forest.steps(len(s)) for s in sets], pa.int32()), outer,
                     pa.array([s.astype(np.uint8).tobytes() for s in sigs], pa.binary()),
-                ], names=["_k1", "_k2", "doc_id", "node", "keys", "short"])
+                ], names=["_k1", "_k2", "doc_id", "node", "steps", "keys", "short"])
 
     rows = docs.select(*row_key(doc_id, text), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("_text"))
     return rows.mapInArrow(sign, schema)
@@ -205,21 +237,31 @@ def _shared(rows: list[np.ndarray], columns: list[np.ndarray], step: int = 8192)
     return both
 
 
-def _sides(rows: DataFrame, group: str, asks: str, block: int) -> DataFrame:
+def _sides(rows: DataFrame, group: str, asks: str, block: int, block_bytes: int = 8 << 20) -> DataFrame:
     """Rows dealt out so that in every group all asking rows meet all rows, in blocks.
 
-    Adds ``batch, m, u``, which name a task's unit, and ``side``, true for a row that asks
-    there. Small groups share a batch; a group of more than ``block`` rows has units of
-    its own, one for each block of asking rows and block of rows, so that no unit grows
-    with the data. Groups without asking rows are left out.
+    ``bytes`` is the size of a row's text. Adds ``batch, m, u``, which name a task's unit, and
+    ``side``, true for a row that asks there. Small groups share a batch; a group of more than
+    ``block`` rows or ``block_bytes`` of text has units of its own, one for each block of
+    asking rows and block of rows, so that no unit grows with the data or with the length of
+    texts beyond a single one. Groups without asking rows are left out.
     """
+    size, asking_size = F.sum("bytes"), F.sum(F.when(F.col(asks), F.col("bytes")))
+
+    def blocks(count, held):
+        return F.greatest(F.ceil(count / F.lit(block)), F.ceil(held / F.lit(block_bytes))).cast("int")
+
     parts = stored(
         rows.groupBy(group).agg(
-            F.ceil(F.count("*") / F.lit(block)).cast("int").alias("_m"),
-            F.ceil(F.sum(F.col(asks).cast("long")) / F.lit(block)).cast("int").alias("_u"),
+            blocks(F.count("*"), size).alias("_m"),
+            blocks(F.sum(F.col(asks).cast("long")), asking_size).alias("_u"), size.alias("_held"),
         ).filter("_u > 0")
     )
-    batches = max(1, int(parts.count() // 200))
+    few = parts.agg(
+        F.count("*").alias("n"), F.sum(F.when(F.col("_m") == 1, F.col("_held"))).alias("held")
+    ).first()
+    batches = max(1, few["n"] // 200, (few["held"] or 0) // (2 * block_bytes))
+    parts = parts.drop("_held")
     small = F.pmod(F.xxhash64(group), F.lit(batches))
     dealt = stored(
         rows.join(parts, group).withColumn("batch", F.when(F.col("_m") > 1, F.col(group)).otherwise(small))
@@ -281,15 +323,18 @@ def cross_links(held: DataFrame, texts: DataFrame, threshold: float, block: int
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return (
-        _sides(held, "key", "minor", block).join(texts.select("node", "text"), "node")
+        _sides(held.join(texts.select("node", "bytes"), "node"), "key", "minor", block)
+        .join(texts.select("node", "text"), "node")
         .groupBy("batch", "m", "u").applyInArrow(join, "a long, b long")
     )
 
 
-def count_links(labels: DataFrame, texts: DataFrame, threshold: float, block: int = 256) -> DataFrame:
-    """``node, links``: how many other nodes of its component each node is linked to.
+def count_links(
+    labels: DataFrame, texts: DataFrame, weights: DataFrame, threshold: float, block: int = 256
+) -> DataFrame:
+    """``node, links``: what the nodes of its component that each node is linked to weigh.
 
-    One minus the similarity is a metric. With distances d to the component's label node
+    ``weights`` has ``node, weight``; a node's own weight does not count. One minus the similarity is a metric. With distances d to the component's label node
     known, two nodes are linked for certain when their distances add up to the limit, and
     for certain not when they differ by more. The certain links are counted from the
     number of nodes at each distance. Only the rest is compared: it needs a node further
@@ -301,23 +346,27 @@ def count_links(labels: DataFrame, texts: DataFrame, threshold: float, block: in
     near = _similarities(pairs, texts).select(
         F.col("a").alias("label"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("d")
     )
-    apart = stored(near.unionByName(
-        labels.select("label").distinct().select("label", F.col("label").alias("node"), F.lit(0.0).alias("d"))
-    ))
+    apart = stored(
+        near.unionByName(
+            labels.select("label").distinct().select("label", F.col("label").alias("node"), F.lit(0.0).alias("d"))
+        ).join(weights, "node").join(texts.select("node", "bytes"), "node")
+    )
     sure = F.lit(limit - EPSILON)
-    at = apart.groupBy("label", "d").agg(F.count("*").alias("n"))
+    at = apart.groupBy("label", "d").agg(F.sum("weight").alias("n"))
     marks = at.select("label", F.col("d").alias("v"), "n", F.lit(0).alias("asks"), "d").unionByName(
         at.select("label", (sure - F.col("d")).alias("v"), F.lit(0).cast("long").alias("n"), F.lit(1).alias("asks"), "d")
     )
     up_to = Window.partitionBy("label").orderBy("v", "asks").rowsBetween(Window.unboundedPreceding, 0)
     certain = marks.withColumn("sure", F.sum("n").over(up_to)).filter("asks = 1").select(
-        "label", "d", (F.col("sure") - (2 * F.col("d") <= sure).cast("long")).alias("sure")
+        "label", "d", "sure", (2 * F.col("d") <= sure).cast("long").alias("own")
     )
 
     far = F.col("d") > limit / 2 - EPSILON
 
     def count(table: pa.Table) -> pa.Table:
-        node, label, d, far_, side = (table[c].to_numpy() for c in ("node", "label", "d", "far", "side"))
+        node, label, d, far_, side, weight = (
+            table[c].to_numpy() for c in ("node", "label", "d", "far", "side", "weight")
+        )
         sets, size = _unit_sets(table)
         links = np.zeros(len(node), np.int64)
         for own in _in_groups(label):
@@ -327,8 +376,8 @@ def count_links(labels: DataFrame, texts: DataFrame, threshold: float, block: in
                 near_ = both >= (threshold - EPSILON) * (size[u][:, None] + size[m][None, :] - both)
                 open_pair = (d[u][:, None] + d[m][None, :] > limit - EPSILON) & (node[u][:, None] != node[m][None, :])
                 hit = near_ & open_pair
-                links[u] += hit.sum(axis=1)
-                links[m] += np.where(far_[m], 0, hit.sum(axis=0))
+                links[u] += hit @ weight[m]
+                links[m] += np.where(far_[m], 0, weight[u] @ hit)
         some = links > 0
         return pa.table({"node": node[some], "links": links[some]})
 
@@ -338,10 +387,27 @@ def count_links(labels: DataFrame, texts: DataFrame, threshold: float, block: in
         .groupBy("node").agg(F.sum("links").alias("more"))
     )
     return apart.join(certain, ["label", "d"]).join(compared, "node", "left").select(
-        "node", (F.col("sure") + F.coalesce("more", F.lit(0))).alias("links")
+        "node",
+        (F.col("sure") - F.col("own") * F.col("weight") + F.coalesce("more", F.lit(0))).alias("links"),
     )
 
 
+def _trie(nodes: DataFrame, last: int) -> DataFrame:
+    """``node, steps, key0, ..`` per node and tree, sorted by prefix from the shortest on.
+
+    The key of depth i names the tree and the prefix there; longer prefixes have smaller i.
+    Nodes without steps, and entries that share their shortest prefix with no other node, are
+    left out. An entry shares longer prefixes only with entries beside it.
+    """
+    names = [f"key{i}" for i in range(last + 1)]
+    entries = nodes.filter("steps > 0").select(
+        "node", "steps", F.explode(F.arrays_zip(*[F.col("keys")[i].alias(n) for i, n in enumerate(names)])).alias("_e")
+    ).select("node", "steps", "_e.*")
+    shared = entries.groupBy(names[-1]).agg(F.min("node").alias("_a"), F.max("node").alias("_b"))
+    open_ = entries.join(shared.filter("_a != _b").select(names[-1]), names[-1])
+    return open_.sortWithinPartitions(*reversed(names), "node")
+
+
 def near_duplicates(
     docs: DataFrame, threshold: float = 0.8, recall: float = 0.995, trees: int = 20, longest: int = 8,
     doc_id: str = "doc_id", text: str = "text",
@@ -350,21 +416,27 @@ def near_duplicates(
 
     Texts are sets of five words in a row (all words, if fewer); two are linked when the
     sets' Jaccard similarity is at least ``threshold``. Classes are what links connect;
-    ``class_id`` is the smallest id in the class. ``links`` counts the other sets a text is
-    linked to and ``copies`` the documents that share its own set. A text without words
-    (NULL, empty, blank) is a class by itself, under its own id.
+    ``class_id`` is the smallest id in the class. ``links`` counts the other distinct texts
+    that a text is linked to, also those with its own set, and ``copies`` the documents that
+    share its own set. A text without words (NULL, empty, blank) is a class by itself, under
+    its own id.
 
     1. Documents with equal sets become one node, so copies cost nothing further.
-    2. Prefixes of each tree's labels form buckets. From the longest prefixes to the
-       shortest that the recall asks for, every node is compared with the least node of its
-       buckets, first with the one it meets in most trees, then, if they are still in
-       different components, with the others. So a bucket costs as many comparisons as it
-       has nodes, however many are alike.
-    3. In buckets that still hold several components, nodes outside the bucket's largest
-       one are compared with all nodes, in blocks within tasks (:func:`cross_links`). So no
-       pair that shares a bucket is left that is neither compared nor in one component:
-       no candidates are capped, and none are emitted.
-    4. The comparisons of step 2 drop pairs whose signatures differ by five standard
+    2. Every tree's labels are held as a sorted trie: an entry a node and tree with the names
+       of its prefixes, only where some other node shares the shortest of them. A node goes
+       down as far as its own size asks for: the fewer shingles it has, the further above
+       the threshold the next similarity lies that it can have, and the longer the prefixes
+       that find it with the target recall. Sets that can be like no other are left out.
+    3. From the longest prefixes to the shortest, every node is compared with the least node
+       of its bucket, unless they are in one component already. At the first depth it is
+       first compared only with the least node that it meets in most trees. So a bucket costs
+       as many comparisons as it has nodes, however many are alike, and a shorter prefix
+       costs only those that join components which the longer ones left apart.
+    4. In buckets of the shortest prefixes that still hold several components, nodes outside
+       the bucket's largest one are compared with all nodes, in blocks within tasks
+       (:func:`cross_links`). So no pair that shares a bucket is left that is neither compared
+       nor in one component: no candidates are capped, and none are emitted.
+    5. The comparisons of step 3 drop pairs whose signatures differ by five standard
        deviations more than the threshold allows; all others are decided on the whole sets
        of shingles.
     """
@@ -372,21 +444,16 @@ def near_duplicates(
     signed = stored(signatures(docs, forest, doc_id, text))
     nodes = stored(
         signed.filter("node IS NOT NULL").groupBy("node")
-        .agg(F.min("_k2").alias("_k2"), F.first("keys").alias("keys"), F.first("short").alias("short"))
+        .agg(F.min("_k2").alias("_k2"), F.first("steps").alias("steps"), F.first("keys").alias("keys"),
+             F.first("short").alias("short"))
     )
-
-    def members(depth: int) -> DataFrame:
-        """Nodes by bucket, only of buckets with more than one: ``key, node, least``."""
-        own = nodes.select("node", F.explode(F.col("keys")[depth]).alias("key"))
-        shared = own.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("_most"))
-        return own.join(shared.filter("least != _most").drop("_most"), "key")
-
     last = len(forest.depths) - 1
-    buckets = {0: stored(members(0)), last: stored(members(last))} if last else {0: stored(members(0))}
-    wanted = nodes.join(buckets[last].select("node").distinct(), "node", "left_semi").select("node", "_k2")
+    trie = stored(_trie(nodes, last))
+    wanted = nodes.join(trie.select("node").distinct(), "node", "left_semi").select("node", "_k2")
     texts = stored(
         docs.select(row_key(doc_id, text)[1], F.col(text).alias("text")).join(wanted, "_k2")
         .groupBy("node").agg(F.first("text").alias("text"))
+        .withColumn("bytes", F.octet_length("text").cast("long"))
     )
 
     links = docs.sparkSession.createDataFrame([], "a long, b long")
@@ -401,15 +468,17 @@ def near_duplicates(
             links = stored(links.unionByName(found))
             labels = components(links)
 
-    for depth in sorted(buckets):
+    for depth in range(last + 1):
+        least = trie.groupBy(f"key{depth}").agg(F.min("node").alias("least"))
         met = stored(
-            buckets[depth].filter("node != least").groupBy(F.col("least").alias("a"), F.col("node").alias("b"))
-            .agg(F.count("*").alias("_trees"))
+            trie.filter(F.col("steps") > depth).join(least, f"key{depth}").filter("node != least")
+            .groupBy(F.col("least").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("_trees"))
         )
-        compared(met.groupBy("b").agg(F.max(F.struct("_trees", "a")).alias("_m")).select("_m.a", "b"))
+        if depth == 0:
+            compared(met.groupBy("b").agg(F.max(F.struct("_trees", "a")).alias("_m")).select("_m.a", "b"))
         compared(met.select("a", "b"))
 
-    held = _label(buckets[last].select("key", "node"), labels, "node", "label")
+    held = _label(trie.select(F.col(f"key{last}").alias("key"), "node"), labels, "node", "label")
     mixed_keys = held.groupBy("key", "label").agg(F.count("*").alias("_n")).groupBy("key").agg(
         F.max(F.struct("_n", "label"))["label"].alias("_major"), F.count("*").alias("_labels")
     ).filter("_labels > 1").drop("_labels")
@@ -419,7 +488,11 @@ def near_duplicates(
         labels = components(links.unionByName(found))
 
     labels = stored(labels)
-    linked = stored(count_links(labels, texts, threshold))
+    weights = stored(
+        signed.filter("node IS NOT NULL").groupBy("node", "_k2").agg(F.count("*").alias("_n"))
+        .groupBy("node").agg(F.count("*").alias("weight"))
+    )
+    linked = stored(count_links(labels, texts, weights, threshold))
     rows = _label(signed.select("_k1", "_k2", "doc_id", "node"), labels, "node", "label")
     worded = rows.filter("node IS NOT NULL")
     same_set = worded.groupBy("node", "label").agg(F.count("*").alias("copies"), F.min("doc_id").alias("_least"))
@@ -427,8 +500,11 @@ def near_duplicates(
         F.min("_least").alias("class_id"), F.sum("copies").alias("class_size")
     )
     per_node = (
-        same_set.drop("_least").join(per_class, "label").join(linked, "node", "left")
-        .select("node", "label", "class_id", "class_size", F.coalesce("links", F.lit(0)).alias("links"), "copies")
+        same_set.drop("_least").join(per_class, "label").join(linked, "node", "left").join(weights, "node")
+        .select(
+            "node", "label", "class_id", "class_size", "copies",
+            (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"),
+        )
     )
     named = worded.drop("label").join(per_node, "node").select(
         "doc_id", "class_id", "class_size", "links", "copies", "label", "_k1", "_k2"
@@ -447,22 +523,19 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **s
     The row of the smallest id stays (NULL only where there is no other); of repeated rows
     one. Texts without words are all kept.
     """
-    names = docs.columns
-    found = near_duplicates(docs, doc_id=doc_id, text=text, **settings)
+    found = near_duplicates(docs, doc_id=doc_id, text=text, **settings).filter("label IS NOT NULL")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("_null"), "doc_id", "_k1", "_k2")).alias("_f")
-    stays = stored(
-        found.filter("label IS NOT NULL").groupBy("label").agg(first)
-        .select(F.col("_f._k1").alias("_near_k1"), F.col("_f._k2").alias("_near_k2"), F.lit(True).alias("_near_one"))
-        .unionByName(found.filter("label IS NULL").select(
-            F.col("_k1").alias("_near_k1"), F.col("_k2").alias("_near_k2"), F.lit(False).alias("_near_one")
-        ).distinct())
+    own = stored(
+        found.groupBy("label", "_k1", "_k2").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("_times"))
     )
-    k1, k2 = row_key(doc_id, text)
-    keyed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in names]).alias("_near_doc"), k1.alias("_near_k1"), k2.alias("_near_k2")
+    judged = stored(
+        own.join(own.groupBy("label").agg(first), "label").select(
+            F.col("_k1").alias("_near_k1"), F.col("_k2").alias("_near_k2"), "_times",
+            ((F.col("_k1") == F.col("_f._k1")) & (F.col("_k2") == F.col("_f._k2"))).alias("_stays"),
+        )
     )
-    number = F.row_number().over(Window.partitionBy("_near_k1", "_near_k2").orderBy("_near_k1"))
-    return (
-        keyed.join(stays, ["_near_k1", "_near_k2"]).withColumn("_near_no", number)
-        .filter("_near_no = 1 OR NOT _near_one").select("_near_doc.*")
+    k1, k2 = row_key(doc_id, text)
+    return thinned(
+        docs, {"_near_k1": k1, "_near_k2": k2},
+        out=judged.filter("NOT _stays"), once=judged.filter("_stays AND _times > 1"),
     )

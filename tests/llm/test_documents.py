@@ -16,13 +16,18 @@ import pyarrow as pa
 import pytest
 from edge_cases import edge_rows
 
-from casetally.llm import bpe, lattice_lm, secret_scan, sharding
+from casetally.llm import bpe, lattice_lm, mixing, secret_scan, sharding
 from casetally.llm.bpe import WORD_CHUNKS, ByteBpe, PrefixEncoding, token_digests
 from casetally.llm.common import stored
-from casetally.llm.exact_dedup import QuotientFilter, exact_duplicates, without_copies
+from casetally.llm.exact_dedup import (
+    QuotientFilter,
+    exact_duplicates,
+    repeated_fingerprints,
+    without_copies,
+)
 from casetally.llm.lattice_lm import Lattice, hash_of, lattice_scores, vocabulary_of
 from casetally.llm.mixing import mix, mixed_rows
-from casetally.llm.near_dup import Forest, near_duplicates, one_of_each
+from casetally.llm.near_dup import Forest, _sides, near_duplicates, one_of_each
 from casetally.llm.secret_scan import span_digests
 from casetally.llm.sharding import byte_shards
 from casetally.llm.toxicity import _BEGIN, Compact, fit, pair_of, toxicity, without_toxic
@@ -109,6 +114,31 @@ def test_quotient_filters_merge_without_loss():
     assert (np.diff(merged.fingerprints().astype(object)) > 0).all()
 
 
+def test_quotient_filters_are_packed():
+    r = np.random.default_rng(4)
+    for n in (200, 1000, 100_000, 500_000):
+        for bits in (64, 51):
+            values = r.integers(0, 1 << bits, n, dtype=np.uint64, endpoint=False) if bits < 64 else r.integers(
+                0, 2**64, n, dtype=np.uint64, endpoint=False)
+            data = QuotientFilter.of(values, bits).to_bytes()
+            distinct = np.unique(values)
+            assert len(data) < n * (bits - math.log2(n) + 4.2) / 8 + 16 < n * bits / 8
+            assert (QuotientFilter.from_bytes(data).fingerprints() == distinct).all()
+    counts = np.array([1, 2, 129, 130, 2**14 + 2, 2**40], np.int64)
+    one = QuotientFilter._packed(np.arange(6, dtype=np.uint64), counts, 40)
+    both = QuotientFilter.from_bytes(one.to_bytes()).merged(QuotientFilter.of(np.array([1, 9], np.uint64), 40))
+    assert both.counts.tolist() == [1, 3, *counts[2:], 1]
+    assert both.fingerprints().tolist() == [0, 1, 2, 3, 4, 5, 9]
+
+
+@pytest.mark.parametrize("per_range", [3, 10, 1000])
+def test_repeated_fingerprints_over_ranges(spark, per_range):
+    values = [-(2**63), 2**63 - 1, 0, -1, 5, 5, 5, -1, 2**63 - 1, 2**62, -(2**62), 2**62, 17, 18]
+    df = spark.createDataFrame([(v,) for v in values], "f long").repartition(3)
+    got = {r.f: r.times for r in repeated_fingerprints(df, "f", per_range).collect()}
+    assert got == {v: n for v, n in Counter(values).items() if n > 1}
+
+
 # ---- op10 ----------------------------------------------------------------------------
 
 
@@ -206,6 +236,22 @@ def test_mix_targets_and_taken(edge_docs, clashing_docs, no_docs):
     assert mix(no_docs).count() == 0
 
 
+def test_one_id_is_spread_over_ranges(spark, monkeypatch):
+    """Half of the texts have no id; no range gets many more of them than others."""
+    written = []
+    monkeypatch.setattr(mixing, "stored", lambda df: written.append(stored(df)) or written[-1])
+    rows = [(None if i % 2 else i, f"w{i} " * (i % 5 + 1), None, "ab"[i % 3 == 0], None) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    taken, target = Counter(), {}
+    for x in mix(docs, per_bucket=250).collect():
+        taken[x.source] += x.taken
+        target[x.source] = x.target
+    assert all(abs(taken[s] - target[s]) <= 10 for s in target)
+    queue = next(df for df in written if "_range" in df.columns)
+    sizes = [r["count"] for r in queue.groupBy("_range").count().collect()]
+    assert len(sizes) > 8 and max(sizes) <= 3 * 250
+
+
 def test_mix_comes_near_its_targets(spark):
     r = random.Random(1)
     rows = [(i, "w " * r.randint(1, 9), None, r.choice("aaaaaabcdef") if i % 9 else None, None) for i in range(4000)]
@@ -376,9 +422,9 @@ def brute_classes(rows, threshold=0.8):
             n = len(sets[i] & sets[j])
             if sets[i] and n >= threshold * len(sets[i] | sets[j]) - 1e-9:
                 parent[find(i)] = find(j)
-                if sets[i] != sets[j]:
-                    links[i].add(sets[j])
-                    links[j].add(sets[i])
+                if rows[i][1] != rows[j][1]:
+                    links[i].add(rows[j][1])
+                    links[j].add(rows[i][1])
     members = defaultdict(list)
     for i in range(len(rows)):
         members[find(i)].append(i)
@@ -423,6 +469,86 @@ def test_one_of_each(clashing_docs, no_docs):
     assert one_of_each(no_docs).count() == 0
 
 
+def changed_texts(r, n):
+    """Pairs of texts of 60 to 200 words whose similarity lies between 0.8 and 0.85."""
+    rows, i = [], 0
+    while len(rows) < 2 * n:
+        own = [f"p{i}w{r.randrange(10**6)}" for _ in range(r.randint(60, 200))]
+        other = list(own)
+        for at in r.sample(range(len(own)), max(1, len(own) // 45)):
+            other[at] = f"p{i}changed{at}"
+        x, y = shingle_set(" ".join(own)), shingle_set(" ".join(other))
+        if 0.8 <= len(x & y) / len(x | y) <= 0.85:
+            rows += [(2 * i, " ".join(own), None, None, None), (2 * i + 1, " ".join(other), None, None, None)]
+        i += 1
+    return rows
+
+
+def test_recall_near_the_threshold_as_registered(spark):
+    """Each pair is a class, or is missed; at most one in a hundred may be."""
+    rows = changed_texts(random.Random(21), 300)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = Counter(near_duplicates(docs).select("doc_id", "class_id", "class_size", "links").collect())
+    pairs = sum((i + 1, i, 2, 1) in found and (i, i, 2, 1) in found for i, *_ in rows[::2])
+    alone = sum(i == c and size == 1 and links == 0 for i, c, size, links in found)
+    assert pairs >= 0.99 * 300 and alone + 2 * pairs == 600
+
+
+def test_links_are_between_texts_and_small_sets_need_few_steps(spark):
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, long), (2, long.replace(" ", "  ")), (3, long + "\n"), (4, long), (5, long + " more"), (6, "a b c"),
+            (7, "a  b c"), (8, "a b d"), (9, "a b c d e f g h"), (10, "a b c d e f g h i"), (11, None), (12, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.class_id, r.class_size, r.links, r.copies) for r in near_duplicates(docs).collect()}
+    assert found == {
+        1: (1, 5, 3, 4), 2: (1, 5, 3, 4), 3: (1, 5, 3, 4), 4: (1, 5, 3, 4), 5: (1, 5, 3, 1), 6: (6, 2, 1, 2),
+        7: (6, 2, 1, 2), 8: (8, 1, 0, 1), 9: (9, 2, 1, 1), 10: (9, 2, 1, 1), 11: (11, 1, 0, 1), 12: (12, 1, 0, 1),
+    }
+
+
+def test_steps_follow_what_a_size_allows():
+    forest = Forest()
+    assert [forest.steps(n) for n in (1, 2, 3)] == [0, 0, 0]
+    for n in range(4, 61):
+        alike = [
+            b / (n + o - b) for o in range(1, 2 * n) for b in range(1, min(n, o) + 1)
+            if 0.8 - 1e-9 <= b / (n + o - b) < 1
+        ]
+        assert math.isclose(forest.least_similarity(n), min(alike))
+        tried = forest.depths[forest.steps(n) - 1]
+        assert forest.recall(min(alike), tried) >= 0.995
+    assert {forest.steps(n) for n in (61, 1000, 10**6)} == {3}
+
+
+def test_units_are_bounded_by_bytes(spark):
+    """A group of few but very long texts is dealt to several units."""
+    long = [(i, 7, i % 5 == 0, 1 << 20) for i in range(120)]
+    short = [(1000 + i, 100 + i % 3, True, 100) for i in range(30)]
+    rows = spark.createDataFrame(long + short, "node long, key long, asks boolean, bytes long")
+    dealt = _sides(rows, "key", "asks", 256, block_bytes=16 << 20).collect()
+    units, met = Counter(), defaultdict(set)
+    for r in dealt:
+        units[r.key, r.m, r.u, r.side] += r.bytes
+        met[r.key, r.m, r.u, r.side].add(r.node)
+    assert len(dealt) > 150 and max(units.values()) <= 32 << 20
+    pairs = {(a, b) for (k, m, u, side), own in met.items() if side for a in own for b in met[k, m, u, False]}
+    assert pairs == {
+        (a, b) for a, k, asks, _ in long + short if asks for b, l, _, _ in long + short if k == l
+    }
+
+
+@pytest.mark.parametrize("thin", [without_copies, one_of_each])
+def test_rows_repeated_very_often(spark, thin):
+    """Half of the rows agree in everything, with and without words; one of each stays."""
+    same = [(None, "one text of some words that is repeated", "x")] * 1500 + [(None, None, "x")] * 500
+    other = [(i, f"text number {i} of the others {i * 7} and {i * i} so on", "y") for i in range(2000)]
+    docs = spark.createDataFrame(same + other, "doc_id long, text string, _doc string").repartition(8)
+    left = Counter(r.text for r in thin(docs).collect())
+    assert left.pop("one text of some words that is repeated") == 1
+    assert left.pop(None) == (1 if thin is without_copies else 500)
+    assert left == Counter(t for _, t, _ in other)
+
+
 def test_forest_depth_follows_the_recall():
     assert Forest(recall=0.995).depths == [8, 7, 6]
     assert Forest(recall=0.9999).depths[-1] == 4
