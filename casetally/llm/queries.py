@@ -190,6 +190,32 @@ SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITIO
 FROM d WINDOW best AS (PARTITION BY norm ORDER BY chars DESC, doc_id NULLS LAST)
 """
 
+# The checksum goes four bits at a time through a table of 16, made from its polynomial.
+ORACLE["op10_prefix_sum_shards"] = r"""
+WITH t AS (
+  SELECT list_transform(range(16), lambda i: list_reduce(
+    range(4), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS four
+), d AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS bytes FROM documents
+), c AS (
+  SELECT doc_id, octet_length(bytes) + 1 AS size, xor(4294967295::BIGINT, list_reduce(
+    list_transform(regexp_extract_all(hex(bytes), '..'), lambda h: CAST('0x' || h AS BIGINT)),
+    lambda c, b: xor(xor(c, b) >> 8, xor(
+      four[(xor(xor(c, b) >> 4, four[(xor(c, b) & 15) + 1]) & 15) + 1], four[(xor(c, b) & 15) + 1] >> 4)),
+    4294967295::BIGINT)) AS text_crc32
+  FROM d, t
+), l AS (
+  SELECT *, CAST(sum(size) OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto,
+         CAST(sum(size) OVER () AS BIGINT) AS total
+  FROM c
+), s AS (
+  SELECT *, CAST(((2 * upto - size) * 16) // (2 * total) AS INTEGER) AS shard FROM l
+)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY upto) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM s
+"""
+
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 ORACLE["op11_count_cell_divergence"] = rf"""

@@ -25,7 +25,10 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 LOWER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 LETTERS = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-NEW = ["op11_count_cell_divergence", "op12_accumulator_ranked_search", "op13_wu_manber_decontamination"]
+WITH_SQL = [
+    "op5_weighted_fair_mixing", "op7_quotient_filter_dedup", "op10_prefix_sum_shards",
+    "op11_count_cell_divergence", "op12_accumulator_ranked_search", "op13_wu_manber_decontamination",
+]
 
 
 def terms(text, pattern=TERM):
@@ -37,7 +40,7 @@ def rows_of(df):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
-@pytest.mark.parametrize("name", NEW)
+@pytest.mark.parametrize("name", WITH_SQL)
 def test_against_sql(spark, name):
     con = duckdb_connection(SF_DIR)
     assert differences(QUERIES[name](spark, SF_DIR), con, ORACLE[name]) == []
