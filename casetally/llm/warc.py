@@ -220,7 +220,7 @@ def read_records(spark: SparkSession, archives: DataFrame, folder: str, payloads
                     yield frame(rows)
 
     tasks = max(1, archives.count())
-    return archives.select("archive").repartition(tasks, "archive").mapInArrow(read, RECORD_SCHEMA)
+    return archives.select("archive").repartitionByRange(tasks, "archive").mapInArrow(read, RECORD_SCHEMA)
 
 
 def assemble(records: DataFrame, per_row: int = 1000) -> DataFrame:
