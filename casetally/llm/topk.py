@@ -5,12 +5,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casetally.llm.common import rows_for
+from casetally.llm.common import rows_for, stored
 
 SCALE = 256
+# As a score to reach: none is known.
+NO_FLOOR = np.iinfo(np.int64).min
 
 
 def quantised(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -34,7 +36,7 @@ def _number_type(q: np.ndarray, x: np.ndarray):
 
 def threshold_search(
     queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int,
-    first_depth: int = 64,
+    first_depth: int = 64, lists: np.ndarray | None = None, floor: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """The ``k`` best rows of ``vectors`` for each query: row numbers and scores, -1 for none.
 
@@ -46,18 +48,31 @@ def threshold_search(
     threshold the query is done (at equal scores a smaller id might still follow). Depths
     grow fourfold; queries that go on at a depth are scored together. Rows of the query's
     own id take no part. ``ids`` has to be ascending, so that ties go to smaller ids.
+
+    ``lists`` are the row numbers of each dimension sorted by component, if they are at
+    hand. ``floor`` is a score per query that ``k`` rows elsewhere reach: a query is also
+    done once the threshold is below it, at the head of the lists already if it can be,
+    and what it is then given may lack rows below the floor.
     """
     n, dims = vectors.shape
     kind = _number_type(queries, vectors)
     x, q = vectors.astype(kind), queries.astype(kind)
-    order = np.argsort(vectors, axis=0, kind="stable")
+    found = np.full((len(q), k), -1, np.int64)
+    scores = np.zeros((len(q), k), object if kind is object else np.float64 if kind != np.int64 else np.int64)
+    still = np.arange(len(q))
+    if floor is None:
+        floor = np.full(len(q), NO_FLOOR)
+    elif n:
+        head = np.maximum(q, 0) @ x.max(axis=0) + np.minimum(q, 0) @ x.min(axis=0)
+        still = np.flatnonzero(head >= floor)
+    if not len(still):
+        return found, scores
+    order = np.argsort(vectors, axis=0, kind="stable") if lists is None else lists.astype(np.int64)
     rank = np.empty_like(order)
     np.put_along_axis(rank, order, np.broadcast_to(np.arange(n)[:, None], (n, dims)).copy(), axis=0)
     ascending = np.take_along_axis(x, order, axis=0)
-    found = np.full((len(q), k), -1, np.int64)
-    scores = np.zeros((len(q), k), object if kind is object else np.float64 if kind != np.int64 else np.int64)
     up, down = (queries > 0).astype(np.float32), (queries < 0).astype(np.float32)
-    still, depth = np.arange(len(q)), min(n, max(k, first_depth))
+    depth = min(n, max(k, first_depth))
     while len(still):
         if depth < n:
             high = (rank >= n - depth).astype(np.float32)
@@ -89,7 +104,8 @@ def threshold_search(
             else:
                 near = np.flatnonzero(row > lowest)
             best = near[np.argsort(-row[near], kind="stable")[:k]]
-            if limit is None or (len(best) == k and row[best[-1]] > limit[i]):
+            reached = limit is None or limit[i] < floor[still[i]]
+            if reached or (len(best) == k and row[best[-1]] > limit[i]):
                 done[i] = True
                 found[still[i], : len(best)] = rows[best]
                 scores[still[i], : len(best)] = row[best]
@@ -107,64 +123,94 @@ def top_k(
     dealt evenly into blocks of about ``block`` rows and queries into blocks of
     ``query_block``; a pair of blocks is one task's unit, searched with the threshold
     algorithm, and its best ``k`` go on to a merge per query. A block's size is bounded
-    whatever the data, and vectors travel once per block of queries. Ties go to the
-    smaller id, NULL last. A query row with a NULL id is left out; should a query id
-    repeat, each row has its own ranking. Vectors of other dimensions are not compared.
-    An empty table gives no rows.
+    whatever the data, and vectors travel once per block of queries.
+
+    A block's lists are sorted once and written with it. Each block of queries is searched
+    in one block of vectors first, which gives its queries a score that ``k`` vectors
+    reach; in all other blocks a query stops once the threshold is below that score, and
+    passes a block whose lists begin below it.
+
+    Ties go to the smaller id, NULL last. A query row with a NULL id is left out; should a
+    query id repeat, each row has its own ranking. Vectors of other dimensions are not
+    compared. An empty table gives no rows.
     """
-    asked = queries.filter("vec_id IS NOT NULL").select("vec_id", "vector")
-    n_queries, n_vectors = asked.count(), vectors.count()
-    q_blocks, v_blocks = rows_for(n_queries, query_block), rows_for(n_vectors, block)
     numbered = F.monotonically_increasing_id()
     dims = F.size("vector").alias("dims")
+    asked = stored(queries.filter("vec_id IS NOT NULL").select(dims, numbered.alias("no"), "vec_id", "vector"))
+    q_blocks, v_blocks = rows_for(asked.count(), query_block), rows_for(vectors.count(), block)
 
-    def dealt(rows: DataFrame, own: str, n: int, other: str, others: int) -> DataFrame:
-        """Rows dealt by their number in the input, evenly whatever their values, into ``n``
-        blocks, each copied to all blocks of the other side."""
-        single = rows.select(dims, numbered.alias("no"), "vec_id", "vector").withColumn(
-            own, F.pmod(F.col("no"), F.lit(n)).cast("int")
-        )
-        return single.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
-
-    left = dealt(asked, "q_block", q_blocks, "v_block", v_blocks)
-    right = dealt(vectors, "v_block", v_blocks, "q_block", q_blocks)
+    def block_of(number: Column, blocks: int, name: str) -> Column:
+        return F.pmod(number, F.lit(blocks)).cast("int").alias(name)
 
     def matrix(column: pa.ChunkedArray, n: int) -> np.ndarray:
         flat = column.combine_chunks()
         flat = pa.concat_arrays(flat.chunks) if isinstance(flat, pa.ChunkedArray) else flat
         return flat.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(n, -1)
 
+    def with_lists(rows: pa.Table) -> pa.Table:
+        """A block as one row: its vectors by id, NULL ids last, and its sorted lists."""
+        null = np.asarray(rows["vec_id"].is_null())
+        ids = rows["vec_id"].fill_null(0).to_numpy()
+        by_id = np.lexsort((ids, null))
+        x = matrix(rows["vector"], rows.num_rows)[by_id]
+        return pa.table({
+            "dims": pa.array([x.shape[1]], pa.int32()), "v_block": rows["v_block"].slice(0, 1),
+            "n": pa.array([len(ids)], pa.int32()), "nulls": pa.array([int(null.sum())], pa.int32()),
+            "ids": pa.array([ids[by_id].tobytes()], pa.binary()), "vectors": pa.array([x.tobytes()], pa.binary()),
+            "lists": pa.array([np.argsort(x, axis=0, kind="stable").astype(np.int32).tobytes()], pa.binary()),
+        })
+
+    lists = stored(
+        vectors.select(dims, block_of(numbered, v_blocks, "v_block"), "vec_id", "vector")
+        .groupBy("dims", "v_block").applyInArrow(
+            with_lists, "dims int, v_block int, n int, nulls int, ids binary, vectors binary, lists binary"
+        )
+    )
+
     def search(a: pa.Table, b: pa.Table) -> pa.Table:
         names = {"query_no": pa.int64(), "query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.int64()}
         if not a.num_rows or not b.num_rows:
             return pa.table({n: pa.array([], t) for n, t in names.items()})
+        n, known = b["n"][0].as_py(), b["n"][0].as_py() - b["nulls"][0].as_py()
+        ids = np.frombuffer(b["ids"][0].as_py(), np.int64)
+        x = np.frombuffer(b["vectors"][0].as_py(), np.int64).reshape(n, -1)
+        sorted_lists = np.frombuffer(b["lists"][0].as_py(), np.int32).reshape(n, -1)
+        # Places stand for ids, the first for those of one id; no query equals a NULL.
+        places = np.concatenate([np.searchsorted(ids[:known], ids[:known]), n + np.arange(n - known)])
         query_ids = a["vec_id"].to_numpy()
-        null = np.asarray(b["vec_id"].is_null())
-        ids = b["vec_id"].fill_null(0).to_numpy()
-        order = np.lexsort((ids, null))
-        # Places stand for ids: ascending in the order of ties, and no query equals a NULL.
-        place, own = np.arange(len(ids)), {}
-        for p, i in enumerate(order):
-            if not null[i]:
-                own.setdefault(int(ids[i]), p)
-        groups = np.array([len(ids) + p if null[i] else own[int(ids[i])] for p, i in enumerate(order)])
-        asked_groups = np.array([own.get(int(i), -1) for i in query_ids])
+        own = np.searchsorted(ids[:known], query_ids)
+        there = np.isin(query_ids, ids[:known])
         found, scores = threshold_search(
-            matrix(a["vector"], a.num_rows), asked_groups, matrix(b["vector"], b.num_rows)[order], groups, k
+            matrix(a["vector"], a.num_rows), np.where(there, own, -1), x, places, k,
+            lists=sorted_lists, floor=a["floor"].fill_null(NO_FLOOR).to_numpy(),
         )
         hit = found >= 0
-        row = np.nonzero(hit)[0]
-        at = order[found[hit]]
+        row, at = np.nonzero(hit)[0], found[hit]
         clip = [max(-(2**63), min(2**63 - 1, int(s))) for s in scores[hit]]
         return pa.table({
             "query_no": pa.array(a["no"].to_numpy()[row]), "query_id": pa.array(query_ids[row]),
-            "vec_id": pa.array(ids[at], pa.int64(), mask=null[at]), "score": pa.array(clip, pa.int64()),
+            "vec_id": pa.array(ids[at], pa.int64(), mask=at >= known), "score": pa.array(clip, pa.int64()),
         })
 
-    key = ["dims", "q_block", "v_block"]
-    best = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(
-        search, "query_no long, query_id long, vec_id long, score long"
+    def searched(asked: DataFrame, first: bool) -> DataFrame:
+        """The best of each unit: of a query block and the vector block it begins with, or
+        of all other pairs of blocks."""
+        begins = F.col("v_block") == F.pmod(F.col("q_block"), F.lit(v_blocks))
+        chosen = begins if first else ~begins
+        left = asked.withColumn("q_block", block_of(F.col("no"), q_blocks, "q_block")).withColumn(
+            "v_block", F.explode(F.sequence(F.lit(0), F.lit(v_blocks - 1)))
+        )
+        right = lists.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
+        key = ["dims", "q_block", "v_block"]
+        return left.filter(chosen).groupBy(*key).cogroup(right.filter(chosen).groupBy(*key)).applyInArrow(
+            search, "query_no long, query_id long, vec_id long, score long"
+        )
+
+    begun = stored(searched(asked.withColumn("floor", F.lit(None).cast("long")), first=True))
+    floors = begun.groupBy(F.col("query_no").alias("no")).agg(
+        F.when(F.count("*") >= k, F.min("score")).alias("floor")
     )
+    best = begun.unionByName(searched(asked.join(floors, "no", "left"), first=False))
     order = Window.partitionBy("query_no").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last())
     return (
         best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

@@ -201,3 +201,21 @@ def test_search_stops_early_where_the_bound_allows():
     x[:, 0] = np.arange(20_000)
     found, scores = threshold_search(np.array([[1, 0, 0, 0]]), np.array([-1]), x, np.arange(20_000), 3)
     assert found[0].tolist() == [19_999, 19_998, 19_997]
+
+
+def test_a_known_score_ends_the_search():
+    """What k rows elsewhere reach: nothing above it is lost, and blocks below it are passed."""
+    r = np.random.default_rng(5)
+    x, q = r.integers(-50, 50, (2000, 6)), r.integers(-50, 50, (30, 6))
+    lists = np.argsort(x, axis=0, kind="stable")
+    exact = q @ x.T
+    best = np.sort(exact, axis=1)[:, ::-1]
+    none = np.full(30, -1)
+    for floor in (best[:, 0] + 1, best[:, 0], best[:, 2], best[:, 100]):
+        found, scores = threshold_search(q, none, x, np.arange(2000), 5, lists=lists, floor=floor)
+        for i in range(30):
+            want = [j for _, j in sorted((-exact[i, j], j) for j in range(2000))[:5] if exact[i, j] >= floor[i]]
+            assert [int(j) for j in found[i] if j >= 0 and exact[i, j] >= floor[i]] == want
+    most = np.maximum(q, 0) @ x.max(axis=0) + np.minimum(q, 0) @ x.min(axis=0)
+    found, _ = threshold_search(q, none, x, np.arange(2000), 5, lists=lists, floor=most + 1)
+    assert (found == -1).all()
