@@ -67,7 +67,7 @@ def threshold_search(
         still = np.flatnonzero(head >= floor)
     if not len(still):
         return found, scores
-    order = np.argsort(vectors, axis=0, kind="stable") if lists is None else lists.astype(np.int64)
+    order = np.argsort(vectors, axis=0, kind="stable") if lists is None else lists
     rank = np.empty_like(order)
     np.put_along_axis(rank, order, np.broadcast_to(np.arange(n)[:, None], (n, dims)).copy(), axis=0)
     ascending = np.take_along_axis(x, order, axis=0)
@@ -114,6 +114,18 @@ def threshold_search(
     return found, scores
 
 
+def _narrow(x: np.ndarray) -> bytes:
+    """The numbers in the narrowest of three widths that holds them all."""
+    low, high = (int(x.min()), int(x.max())) if x.size else (0, 0)
+    fits = (t for t in (np.int16, np.int32) if np.iinfo(t).min <= low and high <= np.iinfo(t).max)
+    return x.astype(next(fits, np.int64)).tobytes()
+
+
+def _wide(data: bytes, rows: int, columns: int) -> np.ndarray:
+    width = len(data) // max(1, rows * columns)
+    return np.frombuffer(data, f"i{width or 8}").astype(np.int64).reshape(rows, columns)
+
+
 def top_k(
     queries: DataFrame, vectors: DataFrame, k: int = 5, query_block: int = 2048, block: int = 8192,
 ) -> DataFrame:
@@ -156,8 +168,8 @@ def top_k(
         return pa.table({
             "dims": pa.array([x.shape[1]], pa.int32()), "v_block": rows["v_block"].slice(0, 1),
             "n": pa.array([len(ids)], pa.int32()), "nulls": pa.array([int(null.sum())], pa.int32()),
-            "ids": pa.array([ids[by_id].tobytes()], pa.binary()), "vectors": pa.array([x.tobytes()], pa.binary()),
-            "lists": pa.array([np.argsort(x, axis=0, kind="stable").astype(np.int32).tobytes()], pa.binary()),
+            "ids": pa.array([ids[by_id].tobytes()], pa.binary()), "vectors": pa.array([_narrow(x)], pa.binary()),
+            "lists": pa.array([_narrow(np.argsort(x, axis=0, kind="stable"))], pa.binary()),
         })
 
     lists = stored(
@@ -173,8 +185,7 @@ def top_k(
             return pa.table({n: pa.array([], t) for n, t in names.items()})
         n, known = b["n"][0].as_py(), b["n"][0].as_py() - b["nulls"][0].as_py()
         ids = np.frombuffer(b["ids"][0].as_py(), np.int64)
-        x = np.frombuffer(b["vectors"][0].as_py(), np.int64).reshape(n, -1)
-        sorted_lists = np.frombuffer(b["lists"][0].as_py(), np.int32).reshape(n, -1)
+        x, sorted_lists = (_wide(b[c][0].as_py(), n, b["dims"][0].as_py()) for c in ("vectors", "lists"))
         # Places stand for ids, the first for those of one id; no query equals a NULL.
         places = np.concatenate([np.searchsorted(ids[:known], ids[:known]), n + np.arange(n - known)])
         query_ids = a["vec_id"].to_numpy()

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from casetally.llm.common import shared_folder
-from casetally.llm.topk import quantised, threshold_search, top_k
+from casetally.llm.topk import _narrow, _wide, quantised, threshold_search, top_k
 from casetally.llm.warc import (
     archived_pages, assemble, one_line, page_captures, parse_record, read_records, write_archives,
 )
@@ -219,3 +219,10 @@ def test_a_known_score_ends_the_search():
     most = np.maximum(q, 0) @ x.max(axis=0) + np.minimum(q, 0) @ x.min(axis=0)
     found, _ = threshold_search(q, none, x, np.arange(2000), 5, lists=lists, floor=most + 1)
     assert (found == -1).all()
+
+
+@pytest.mark.parametrize("low, high, width", [(-(2**15), 2**15 - 1, 2), (0, 2**15, 4), (-(2**31), 5, 4), (-(2**63), 2**63 - 1, 8)])
+def test_numbers_go_through_the_narrowest_width(low, high, width):
+    x = np.array([[low, 0, 1], [high, -1, 2]], np.int64)
+    assert len(_narrow(x)) == 6 * width and (_wide(_narrow(x), 2, 3) == x).all()
+    assert _wide(_narrow(np.empty((4, 0), np.int64)), 4, 0).shape == (4, 0)
