@@ -20,6 +20,7 @@ RANGES = 64  # of hashes, in which a model's tables are written
 RUN_BYTES = 1 << 20  # of text whose words are looked up at a time
 _SIGN = np.uint64(1 << 63)
 TELLING = 2.0  # difference of logarithms from which a word counts as telling
+INPUTS = 5  # numbers of a text that its score is made of
 
 
 def pair_of(head: np.ndarray, tail: np.ndarray) -> np.ndarray:
@@ -167,7 +168,7 @@ def _held(counted: Counted) -> Compact:
 class Model:
     """``pairs``: counts of pairs; ``heads``: total and kinds of followers of a context;
     ``tails``: kinds of contexts of a word; each for class 0 and 1. ``word_kinds`` are the
-    totals of tails. ``weights`` turn the features of a text into a score."""
+    totals of tails. ``weights`` turn the :meth:`inputs` of a text into a score."""
 
     pairs: Counted
     heads: Counted
@@ -187,11 +188,31 @@ class Model:
         counted = {k: Counted(**state[k]) for k in ("pairs", "heads", "tails")}
         return cls(**{**state, **counted})
 
-    def features(self, w: Words) -> np.ndarray:
+    def inputs(self, w: Words) -> np.ndarray:
+        """Per text what the score is made of: the :meth:`features` and the :meth:`strongest`."""
+        tail = self.tails.at(w.hashes)
+        return np.column_stack([self.features(w, tail), self.strongest(w, tail)])
+
+    def strongest(self, w: Words, tail: np.ndarray) -> np.ndarray:
+        """Per text the evidence of its strongest word, 0 at least: the difference of the
+        logarithms of its kinds of contexts, to which each class adds its share of one.
+
+        An unseen word says nothing, and one that class 1 has in hundreds of contexts more
+        than one it has by chance. A ratio of probabilities tells those two hardly apart, so
+        a long text's chance words outweigh it in sums.
+        """
+        total = np.maximum(self.word_kinds, 1.0)
+        evidence = np.log1p(tail / (total / total.sum()))
+        most = np.zeros(len(w))
+        np.maximum.at(most, w.document, evidence[:, 1] - evidence[:, 0])
+        return most
+
+    def features(self, w: Words, tail: np.ndarray | None = None) -> np.ndarray:
         """Per text: the difference of log-likelihoods a word, what telling words add to it
         (each once), a word and in all, and the word count's logarithm."""
         before, pair = bigrams(w)
-        c, tail, head = self.pairs.at(pair), self.tails.at(w.hashes), self.heads.at(before)
+        tail = self.tails.at(w.hashes) if tail is None else tail
+        c, head = self.pairs.at(pair), self.heads.at(before)
         # Shared backoff: kinds of contexts of a word in both classes, add-one smoothed.
         shared = (tail.sum(1, keepdims=True) + 1.0) / (self.word_kinds.sum() + self.words.sum() + 1.0)
         total = np.maximum(self.word_kinds, 1.0)
@@ -211,19 +232,21 @@ class Model:
         return np.stack([sums / per, strongs / per, np.log1p(strongs), np.log1p(length)], axis=1)
 
     def scores(self, w: Words) -> np.ndarray:
-        x = (self.features(w) - self.scale[0]) / self.scale[1]
+        x = (self.inputs(w) - self.scale[0]) / self.scale[1]
         z = self.weights[0] + x @ self.weights[1:]
         return 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
 
 
 def _fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> np.ndarray:
-    """Weights with intercept, by Newton steps."""
+    """Weights with intercept, by Newton steps. Both classes weigh the same in all, so the
+    rarer one is not given up for the other: 0.5 is where they would be equally likely."""
     a = np.hstack([np.ones((len(x), 1)), x])
+    each = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     w = np.zeros(a.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        gradient = a.T @ (p - y) / len(y) + ridge * w
-        hessian = (a * (p * (1 - p))[:, None]).T @ a / len(y) + ridge * np.eye(len(w))
+        gradient = a.T @ (each * (p - y)) / len(y) + ridge * w
+        hessian = (a * (each * p * (1 - p))[:, None]).T @ a / len(y) + ridge * np.eye(len(w))
         step = np.linalg.solve(hessian, gradient)
         w -= step
         if np.abs(step).max() < 1e-9:
@@ -265,7 +288,8 @@ def fit(
     and tails of the sample are kept, also what was seen once: as tables in the shared
     folder, which workers read (:class:`Counted`). The chosen ids go to the documents, so no text
     is shuffled: at most about ``2 sample + calibration`` rows are broadcast. Labels other than 0 and 1,
-    NULL texts and ids, and ids with several labels are left out of fitting. Without rows
+    NULL texts and ids, and ids with several labels are left out of fitting. Both classes
+    weigh the same in the score, however rare one is among the labels. Without rows
     of both classes every text scores by the share of class 1, near 0 without labels.
     """
     spark = docs.sparkSession
@@ -337,7 +361,7 @@ def fit(
         pairs=Counted(f"{folder}/pairs", ["pair", "c0", "c1"]),
         heads=Counted(f"{folder}/heads", ["head", "n0", "n1", "k0", "k1"]),
         tails=Counted(f"{folder}/tails", ["tail", "k0", "k1"]), word_kinds=numbers[:2], words=numbers[2:],
-        weights=np.zeros(5), scale=np.array([np.zeros(4), np.ones(4)]),
+        weights=np.zeros(1 + INPUTS), scale=np.array([np.zeros(INPUTS), np.ones(INPUTS)]),
     )
     check = rows.filter("NOT learns")
 
@@ -345,23 +369,23 @@ def fit(
         model = Model.from_state(state.value)
         for batch in batches:
             for part in slices(batch, 0, RUN_BYTES):
-                x = model.features(_words_of(part.column(0)))
+                x = model.inputs(_words_of(part.column(0)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[:, i]) for i in range(4)] + [part.column(1)], names=["a", "b", "c", "d", "label"]
+                    [pa.array(x[:, i]) for i in range(INPUTS)] + [part.column(1)], names=["a", "b", "c", "d", "e", "label"]
                 )
 
     state = spark.sparkContext.broadcast(model.state())
     seen = check.select("text", "label").mapInArrow(
-        measure, "a double, b double, c double, d double, label int"
+        measure, "a double, b double, c double, d double, e double, label int"
     ).collect()
-    x = np.array([r[:4] for r in seen], np.float64).reshape(len(seen), 4)
-    y = np.array([r[4] for r in seen], np.float64)
+    x = np.array([r[:INPUTS] for r in seen], np.float64).reshape(len(seen), INPUTS)
+    y = np.array([r[INPUTS] for r in seen], np.float64)
     if len(seen) and 0 < y.sum() < len(y):
         model.scale = np.stack([x.mean(0), np.maximum(x.std(0), 1e-9)])
         model.weights = _fit_logistic((x - model.scale[0]) / model.scale[1], y)
     else:
         share = float(y.mean()) if len(y) else 0.0
-        model.weights = np.array([np.log((share + 1e-3) / (1 - share + 1e-3)), 0, 0, 0, 0.0])
+        model.weights = np.array([np.log((share + 1e-3) / (1 - share + 1e-3)), *np.zeros(INPUTS)])
     return model
 
 

@@ -30,7 +30,7 @@ from casetally.llm.mixing import mix, mixed_rows
 from casetally.llm.near_dup import Forest, _sides, near_duplicates, one_of_each
 from casetally.llm.secret_scan import span_digests
 from casetally.llm.sharding import byte_shards
-from casetally.llm.toxicity import _BEGIN, Compact, fit, pair_of, toxicity, without_toxic
+from casetally.llm.toxicity import _BEGIN, Compact, _fit_logistic, fit, pair_of, toxicity, without_toxic
 from casetally.llm.words import NOT_ALPHANUMERIC, split_words
 
 tokenizers = pytest.importorskip("public_tokenizers")
@@ -695,6 +695,57 @@ def test_toxicity_learns(spark):
     assert without_toxic(again, same, text="body").count() < 3000
 
 
+def test_toxicity_finds_few_bad_words_in_long_texts(spark):
+    """One document in ten is toxic, by two words; chance words of long texts are many more."""
+    r = random.Random(9)
+    rows, labels = [], []
+    for i in range(4000):
+        own = [f"w{int(r.paretovariate(0.35)) % 200_000}" for _ in range(int(8 * r.paretovariate(0.8)) % 1500 + 5)]
+        labels.append((i, int(r.random() < 0.1)))
+        for _ in range(2 * labels[-1][1]):
+            own.insert(r.randrange(len(own)), r.choice(["vile", "rotten", "nasty", "foul", "base"]))
+        rows.append((i, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    stays = {x.doc_id for x in without_toxic(docs, fit(docs, marks)).collect()}
+    unseen = [(i, toxic) for i, toxic in labels if zlib.crc32(str(i).encode()) % 5 == 0]
+    caught, clean = ([(i in stays) != toxic for i, toxic in unseen if toxic == k] for k in (1, 0))
+    assert sum(caught) >= 0.95 * len(caught) and sum(clean) >= 0.95 * len(clean)
+
+
+def test_toxicity_does_not_give_up_the_rarer_class():
+    r = np.random.default_rng(5)
+    y = np.array([0.0] * 9500 + [1.0] * 500)
+    x = r.normal(size=(len(y), 1)) + 2 * y[:, None]
+    w = _fit_logistic(x, y)
+    found = w[0] + x @ w[1:] >= 0
+    assert abs(found[y == 1].mean() - 0.841) < 0.05 and abs((~found)[y == 0].mean() - 0.841) < 0.05
+
+
+def test_toxicity_strongest_word_follows_the_formula(spark):
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(r.choices(words, k=r.randint(0, 9))), int(i % 5 == 0)) for i in range(200)]
+    model = fit(spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string"),
+                spark.createDataFrame([(i, x) for i, _, x in rows], "doc_id long, toxic int"))
+    contexts = [defaultdict(set), defaultdict(set)]
+    for i, text, x in rows:
+        if zlib.crc32(str(i).encode()) % 5 > 1:
+            own = text.split()
+            for a, b in zip([None, *own], own, strict=False):
+                contexts[x][b].add(a)
+    kinds = [sum(map(len, contexts[x].values())) for x in (0, 1)]
+
+    def evidence(b):
+        added = [n / sum(kinds) for n in kinds]
+        return math.log(1 + len(contexts[1][b]) / added[1]) - math.log(1 + len(contexts[0][b]) / added[0])
+
+    texts = ["", "unseen", "w1 w2 unseen", *[x[1] for x in rows[:40]]]
+    got = model.inputs(split_words(pa.array(texts), NOT_ALPHANUMERIC, lower=True))
+    assert got.shape == (len(texts), 5) and got[0, 4] == got[1, 4] == 0 < got[:, 4].max()
+    assert np.allclose(got[:, 4], [max([0, *map(evidence, t.split())]) for t in texts], atol=1e-9)
+
+
 def test_toxicity_counts_every_label_below_the_sample(spark):
     docs = spark.range(24_000).selectExpr("id AS doc_id", "concat('same ', id) AS text")
     model = fit(docs, spark.range(24_000).selectExpr("id AS doc_id", "int(id % 50 = 0) AS toxic"))
